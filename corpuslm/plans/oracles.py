@@ -157,6 +157,42 @@ _reg("cln_17", with_([CTE_WIKI_RAW] + clean_ctes("wiki_raw") + [lines_of("c_fina
 SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, substring(line, 1, 80) AS line
 FROM fl ORDER BY doc_id, line_no LIMIT 10"""))
 
+# ------------------------------------------------------------------ split
+# The oracle joins the cleaned documents into ONE string, as the reference
+# does, and cuts it with string functions.
+_SPLIT = clean_ctes("wiki_raw") + [
+    f"corpus AS (SELECT coalesce(string_agg(text, {NL} ORDER BY doc_id), '') AS t FROM c_final)",
+    "sp AS (SELECT t, length(t) AS total, CAST(floor(length(t) * CAST(0.9 AS DOUBLE)) AS BIGINT) AS split_idx FROM corpus)",
+    f"""sp2 AS (SELECT t, total, split_idx,
+        CASE WHEN strpos(reverse(substring(t, 1, split_idx)), {NL}) > 0
+             THEN split_idx - strpos(reverse(substring(t, 1, split_idx)), {NL}) ELSE -1 END AS split_point
+        FROM sp)""",
+    "sp3 AS (SELECT *, CASE WHEN split_point >= 0 THEN split_point ELSE greatest(total - 1, 0) END AS c FROM sp2)",
+]
+_reg("spl_01", with_([CTE_WIKI_RAW] + clean_ctes("wiki_raw") + [lines_of("c_final", "fl")], f"""
+SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, line,
+       CAST(coalesce(sum(length(line) + 1) OVER (ORDER BY doc_id, line_no
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset
+FROM fl"""))
+_reg("spl_02", with_([CTE_WIKI_RAW] + _SPLIT,
+                     "SELECT CAST(total AS BIGINT) AS total_chars, split_idx, CAST(split_point AS BIGINT) AS split_point FROM sp3"))
+_reg("spl_03", with_([CTE_WIKI_RAW] + _SPLIT + ["""offs AS (
+  SELECT doc_id, text, length(text) AS len,
+         coalesce(sum(length(text) + 1) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM c_final)"""], f"""
+SELECT doc_id, 'train' AS split, substring(text, 1, CAST(least(c - start, len) AS BIGINT)) AS text
+FROM offs, sp3 WHERE start <= c
+UNION ALL
+SELECT doc_id, 'val' AS split,
+       (CASE WHEN start - 1 = c THEN {NL} ELSE '' END) || substring(text, CAST(greatest(c - start, 0) + 1 AS BIGINT)) AS text
+FROM offs, sp3 WHERE start + len > c"""))
+_reg("spl_04", with_([CTE_WIKI_RAW] + _SPLIT + [
+    "parts AS (SELECT substring(t, 1, c) AS tr, substring(t, c + 1) AS va FROM sp3)"], """
+SELECT split, CAST(chars AS BIGINT) AS chars, CAST(bytes AS BIGINT) AS bytes, round(bytes / 1048576.0, 6) AS mb FROM (
+  SELECT 'train' AS split, length(tr) AS chars, strlen(tr) AS bytes FROM parts
+  UNION ALL SELECT 'val', length(va), strlen(va) FROM parts
+  UNION ALL SELECT 'total', length(tr) + length(va), strlen(tr) + strlen(va) FROM parts)"""))
+
 # ------------------------------------------------------------------ words
 CTE_WORDS = f"""words AS (
   SELECT doc_id, unnest(arr) AS word, generate_subscripts(arr, 1) - 1 AS pos

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslm.operators import clean as C
+from corpuslm.operators import split as S
 from corpuslm.operators import words as W
 from corpuslm.plans import views as V
 
@@ -79,6 +80,37 @@ def cln_17(spark, sf):
     return C.sample_lines(C.clean_corpus(V.wiki_raw(spark, sf)))
 
 
+# ------------------------------------------------------------------ split
+def cleaned_wiki(spark, sf):
+    """Cleaned ``wiki_raw``, materialised once (reliable checkpoint) because
+    the split reads it several times and cleaning runs Python for NFKD."""
+    return C.clean_corpus(V.wiki_raw(spark, sf)).select("doc_id", "text").checkpoint()
+
+
+@query("spl_01")
+def spl_01(spark, sf):
+    return S.with_offsets(cleaned_wiki(spark, sf))
+
+
+@query("spl_02")
+def spl_02(spark, sf):
+    docs = cleaned_wiki(spark, sf)
+    sp = S.split_point(docs, S.with_doc_offsets(docs))
+    return spark.createDataFrame(
+        [(sp["total_chars"], sp["split_idx"], sp["split_point"])],
+        "total_chars bigint, split_idx bigint, split_point bigint")
+
+
+@query("spl_03")
+def spl_03(spark, sf):
+    return S.split_corpus(cleaned_wiki(spark, sf))
+
+
+@query("spl_04")
+def spl_04(spark, sf):
+    return S.split_report(S.split_corpus(cleaned_wiki(spark, sf)))
+
+
 # ------------------------------------------------------------------ words
 @query("tok_01")
 def tok_01(spark, sf):
