@@ -30,16 +30,18 @@ def _bucket_expr(df: DataFrame, key: str, rows_per_bucket: int) -> tuple[Column,
 
 
 def prefix_sum(df: DataFrame, key: str, size: Column | str, out: str = "start",
-               rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Add ``out`` = sum of ``size`` over all rows with a smaller ``key``
-    (``key`` unique, e.g. ``doc_id``)."""
+               rows_per_bucket: int = ROWS_PER_BUCKET, order: list[str] | None = None) -> DataFrame:
+    """Add ``out`` = sum of ``size`` over all rows that come earlier in
+    ``order`` (default: ``[key]``).  Buckets are ranges of the numeric
+    ``key``, which must be the first order column; ``order`` must be unique."""
     size_col = F.col(size) if isinstance(size, str) else size
+    order = order or [key]
     bucket, _ = _bucket_expr(df, key, rows_per_bucket)
     d = df.withColumn("__b", bucket).withColumn("__s", size_col.cast("long"))
     totals = d.groupBy("__b").agg(F.sum("__s").alias("__t"))
     wb = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("__b", F.coalesce(F.sum("__t").over(wb), F.lit(0)).alias("__base"))
-    wl = Window.partitionBy("__b").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    wl = Window.partitionBy("__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = d.withColumn("__local", F.coalesce(F.sum("__s").over(wl), F.lit(0)))
     return (local.join(F.broadcast(bases), "__b")
                  .withColumn(out, (F.col("__base") + F.col("__local")).cast("long"))

@@ -208,5 +208,102 @@ SELECT token, CAST(row_number() OVER (ORDER BY token) - 1 AS BIGINT) AS id
 FROM (SELECT DISTINCT unnest(string_split(word, '')) AS token FROM words) WHERE length(token) > 0"""))
 
 
+# ------------------------------------------------------------------ BPE
+# One merge per step, unrolled: the Spark trainer merges several pairs per
+# round, so equality here also checks the batching rule.
+EXTRA_MERGES = 8
+CTE_RANKED = """ranked AS MATERIALIZED (
+  SELECT word, freq, row_number() OVER (ORDER BY first_doc, first_pos) - 1 AS wrank,
+         ' ' || array_to_string(string_split(word, ''), '  ') || ' ' AS sym
+  FROM freq WHERE length(word) >= 2)"""
+CTE_ALPHA = """alpha AS MATERIALIZED (
+  SELECT token, row_number() OVER (ORDER BY token) - 1 AS id
+  FROM (SELECT DISTINCT unnest(string_split(word, '')) AS token FROM freq) WHERE length(token) > 0)"""
+
+
+def pairs_sql(src: str) -> str:
+    return f"""SELECT l, r, CAST(sum(freq) AS BIGINT) AS n, min(wrank * 1048576 + j) AS first FROM (
+      SELECT freq, wrank, s[i] AS l, s[i + 1] AS r, i - 1 AS j FROM (
+        SELECT freq, wrank, s, unnest(range(1, len(s))) AS i
+        FROM (SELECT freq, wrank, string_split(trim(sym), '  ') AS s FROM {src})))
+    GROUP BY l, r"""
+
+
+def merge_sym(e: str, m: str) -> str:
+    return f"replace({e}, ' ' || {m}.l || '  ' || {m}.r || ' ', ' ' || {m}.l || {m}.r || ' ')"
+
+
+def train_ctes(k: int = EXTRA_MERGES) -> list[str]:
+    ctes = [CTE_WORDS, CTE_FREQ, CTE_RANKED, CTE_ALPHA, "w0 AS MATERIALIZED (SELECT word, freq, wrank, sym FROM ranked)"]
+    for i in range(1, k + 1):
+        ctes.append(f"""b{i} AS MATERIALIZED (SELECT l, r, n FROM ({pairs_sql(f"w{i-1}")}) WHERE n >= 2
+                       ORDER BY n DESC, first ASC LIMIT 1)""")
+        ctes.append(f"w{i} AS MATERIALIZED (SELECT word, freq, wrank, {merge_sym('sym', f'b{i}')} AS sym FROM w{i-1}, b{i})")
+    ctes.append("merges AS (" + " UNION ALL ".join(
+        f"SELECT CAST({i-1} AS BIGINT) AS rank, l AS \"left\", r AS \"right\" FROM b{i}" for i in range(1, k + 1)) + ")")
+    ctes.append("""vocab AS (SELECT token, CAST(id AS BIGINT) AS id FROM alpha
+                 UNION ALL SELECT "left" || "right", (SELECT count(*) FROM alpha) + rank FROM merges)""")
+    return ctes
+
+
+def encode_ctes(words_cte: str, k: int = EXTRA_MERGES) -> list[str]:
+    """Replay the learned merges in rank order on every distinct word, then
+    map tokens to ids (fallback: first character; else dropped)."""
+    e = "' ' || array_to_string(string_split(word, ''), '  ') || ' '"
+    for i in range(1, k + 1):
+        e = merge_sym(e, f"b{i}")
+    froms = ", ".join(f"b{i}" for i in range(1, k + 1))
+    return [
+        f"enc AS MATERIALIZED (SELECT word, string_split(trim({e}), '  ') AS tokens FROM (SELECT DISTINCT word FROM {words_cte}), {froms})",
+        "tokmap AS (SELECT word, unnest(tokens) AS tok, generate_subscripts(tokens, 1) AS k FROM enc)",
+        f"""occ_ids AS MATERIALIZED (
+  SELECT w.doc_id, w.pos, t.k, coalesce(v.id, v1.id) AS id
+  FROM {words_cte} w JOIN tokmap t USING (word)
+  LEFT JOIN vocab v ON v.token = t.tok LEFT JOIN vocab v1 ON v1.token = left(t.tok, 1))""",
+    ]
+
+
+def ids_per_doc(base: str) -> str:
+    return f"""SELECT b.doc_id, coalesce(a.ids, CAST([] AS INTEGER[])) AS ids FROM {base} b LEFT JOIN (
+  SELECT doc_id, list(CAST(id AS INTEGER) ORDER BY pos, k) AS ids FROM occ_ids WHERE id IS NOT NULL GROUP BY doc_id) a
+USING (doc_id)"""
+
+
+_reg("tok_04", with_([CTE_WORDS, CTE_FREQ], "SELECT word, string_split(word, '') AS symbols FROM freq"))
+_reg("tok_05", with_([CTE_WORDS, CTE_FREQ, CTE_RANKED, f"p AS ({pairs_sql('ranked')})"], """
+SELECT l AS "left", r AS "right", n, CAST(first // 1048576 AS BIGINT) AS first_word,
+       CAST(first % 1048576 AS BIGINT) AS first_j FROM p"""))
+_reg("tok_06", with_([CTE_WORDS, CTE_FREQ, CTE_RANKED, f"p AS ({pairs_sql('ranked')})"],
+                     'SELECT l AS "left", r AS "right", n FROM p ORDER BY n DESC, first ASC LIMIT 1'))
+_reg("tok_07", with_([CTE_WORDS, CTE_FREQ, CTE_RANKED, f"p AS ({pairs_sql('ranked')})",
+                      "b AS (SELECT l, r FROM p ORDER BY n DESC, first ASC LIMIT 1)"],
+                     f"SELECT word, string_split(trim({merge_sym('sym', 'b')}), '  ') AS symbols FROM ranked, b"))
+_reg("tok_08", with_(train_ctes(), 'SELECT rank, "left", "right" FROM merges'))
+_reg("tok_10", with_(train_ctes(), "SELECT token, id FROM vocab"))
+_reg("tok_11", with_(train_ctes() + encode_ctes("words")[:1], "SELECT word, tokens FROM enc"))
+_reg("tok_12", with_(train_ctes() + encode_ctes("words"), ids_per_doc("documents")))
+CTE_BENCH_WORDS = f"""bwords AS (
+  SELECT doc_id, unnest(arr) AS word, generate_subscripts(arr, 1) - 1 AS pos
+  FROM (SELECT item_id AS doc_id, regexp_extract_all(lower(text), {q(WORD_PATTERN)}, 0) AS arr FROM benchmark))"""
+_reg("tok_13", with_(train_ctes() + [CTE_BENCH_WORDS] + encode_ctes("bwords"),
+                     ids_per_doc("(SELECT item_id AS doc_id FROM benchmark)")))
+_reg("tok_14", with_(train_ctes() + encode_ctes("words"), """
+SELECT d.doc_id, coalesce(a.text, '') AS text FROM documents d LEFT JOIN (
+  SELECT o.doc_id, string_agg(v.token, '' ORDER BY o.pos, o.k) AS text
+  FROM occ_ids o JOIN vocab v ON v.id = o.id GROUP BY o.doc_id) a USING (doc_id)"""))
+_reg("tok_15", with_(train_ctes() + encode_ctes("words"), """
+SELECT t AS tokens, round(t * 2 / 1048576.0, 6) AS size_mb, c AS chars,
+       round(CASE WHEN t = 0 THEN NULL ELSE c / t END, 6) AS chars_per_token
+FROM (SELECT CAST(count(id) AS BIGINT) AS t FROM occ_ids),
+     (SELECT CAST(sum(length(text)) AS BIGINT) AS c FROM documents)"""))
+_reg("tok_16", with_(train_ctes(), """
+SELECT (SELECT CAST(count(DISTINCT token) AS BIGINT) FROM vocab) AS vocab_size,
+       (SELECT CAST(count(*) AS BIGINT) FROM merges) AS num_merges"""))
+_reg("tok_17", with_(train_ctes() + encode_ctes("words"), """
+SELECT (SELECT count(*) FROM vocab) AS vocab_size, CAST(max(id) AS BIGINT) AS max_id,
+       CAST(count(*) FILTER (WHERE id >= (SELECT count(*) FROM vocab)) AS BIGINT) AS out_of_range
+FROM occ_ids"""))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

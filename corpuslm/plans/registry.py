@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuslm.operators import bpe as B
 from corpuslm.operators import clean as C
 from corpuslm.operators import split as S
 from corpuslm.operators import words as W
@@ -128,5 +129,106 @@ def tok_03(spark, sf):
     return W.alphabet(W.word_table(V.documents(spark, sf)))
 
 
+# ------------------------------------------------------------------ BPE
+EXTRA_MERGES = 8  # merges beyond the alphabet in the checked training runs
+
+
+@query("tok_04")
+def tok_04(spark, sf):
+    f = W.word_table(V.documents(spark, sf))
+    return f.select("word", W.init_symbols(F.col("word")).alias("symbols"))
+
+
+def _state(spark, sf):
+    return B.initial_state(W.word_table(V.documents(spark, sf)))
+
+
+@query("tok_05")
+def tok_05(spark, sf):
+    p = B.pair_counts(_state(spark, sf))
+    return p.select("left", "right", F.col("n").cast("long").alias("n"),
+                    F.shiftright("first", B.POS_BITS).alias("first_word"),
+                    (F.col("first") % (1 << B.POS_BITS)).alias("first_j"))
+
+
+@query("tok_06")
+def tok_06(spark, sf):
+    return B.ranked_pairs(B.pair_counts(_state(spark, sf))).limit(1).select("left", "right", "n")
+
+
+@query("tok_07")
+def tok_07(spark, sf):
+    st = _state(spark, sf)
+    best = B.ranked_pairs(B.pair_counts(st)).first()
+    merged = B.apply_merges(F.col("sym"), [(best["left"], best["right"])])
+    return st.select("word", B.symbols(merged).alias("symbols"))
+
+
+def doc_model(spark, sf, extra: int = EXTRA_MERGES) -> B.BPEModel:
+    """BPE over all documents with ``alphabet + extra`` tokens."""
+    freqs = W.word_table(V.documents(spark, sf)).cache()
+    n_alpha = W.alphabet(freqs).count()
+    return B.train_bpe(freqs, vocab_size=n_alpha + extra)
+
+
+@query("tok_08")
+def tok_08(spark, sf):
+    return doc_model(spark, sf).merges_df(spark)
+
+
+@query("tok_10")
+def tok_10(spark, sf):
+    return doc_model(spark, sf).vocab_df(spark)
+
+
+@query("tok_11")
+def tok_11(spark, sf):
+    m = doc_model(spark, sf)
+    distinct = W.pretokenize(V.documents(spark, sf)).select("word").distinct()
+    return B.encode_words(distinct, m.merges, m.vocab).select("word", "tokens")
+
+
+def _encoded_docs(spark, sf):
+    m = doc_model(spark, sf)
+    return m, B.encode_corpus(V.documents(spark, sf), m.merges, m.vocab)
+
+
+@query("tok_12")
+def tok_12(spark, sf):
+    return _encoded_docs(spark, sf)[1]
+
+
+@query("tok_13")
+def tok_13(spark, sf):
+    """Held-out text (``benchmark``) with the documents' tokenizer: letters
+    outside the alphabet fall back or are dropped."""
+    m = doc_model(spark, sf)
+    bench = V.table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    return B.encode_corpus(bench, m.merges, m.vocab)
+
+
+@query("tok_14")
+def tok_14(spark, sf):
+    m, enc = _encoded_docs(spark, sf)
+    return B.decode(enc, m.vocab_df(spark))
+
+
+@query("tok_15")
+def tok_15(spark, sf):
+    _, enc = _encoded_docs(spark, sf)
+    return B.token_report(enc, V.documents(spark, sf))
+
+
+@query("tok_16")
+def tok_16(spark, sf):
+    return B.tokenizer_info(doc_model(spark, sf), spark)
+
+
+@query("tok_17")
+def tok_17(spark, sf):
+    m, enc = _encoded_docs(spark, sf)
+    return B.check_vocab(enc, len(m.vocab))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
