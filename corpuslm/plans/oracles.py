@@ -305,5 +305,45 @@ SELECT (SELECT count(*) FROM vocab) AS vocab_size, CAST(max(id) AS BIGINT) AS ma
 FROM occ_ids"""))
 
 
+# ------------------------------------------------------------------ datasets
+CONTEXT, BATCH, EPOCHS, SEED = 16, 32, 2, 0
+_STREAM = train_ctes() + encode_ctes("words") + [
+    """stream AS MATERIALIZED (SELECT row_number() OVER (ORDER BY doc_id, pos, k) - 1 AS gpos,
+                                 CAST(id AS INTEGER) AS id FROM occ_ids WHERE id IS NOT NULL)""",
+    "whole AS MATERIALIZED (SELECT list(id ORDER BY gpos) AS toks, count(*) AS n FROM stream)",
+]
+_WINS = f"""wins AS (
+  SELECT xs.w AS win_id, xs.x, ys.y
+  FROM (SELECT gpos // {CONTEXT} AS w, list(id ORDER BY gpos) AS x FROM stream GROUP BY 1) xs
+  JOIN (SELECT (gpos - 1) // {CONTEXT} AS w, list(id ORDER BY gpos) AS y FROM stream WHERE gpos >= 1 GROUP BY 1) ys
+    USING (w), whole
+  WHERE xs.w * {CONTEXT} <= n - {CONTEXT} - 1)"""
+_reg("dat_01", with_(_STREAM, "SELECT CAST(gpos AS BIGINT) AS gpos, id FROM stream"))
+_reg("dat_02", with_(_STREAM + [_WINS], "SELECT CAST(win_id AS BIGINT) AS win_id, x, y FROM wins"))
+_reg("dat_02_stride1", with_(_STREAM, f"""
+SELECT CAST(greatest(n - {CONTEXT}, 0) AS BIGINT) AS n_windows,
+  (SELECT CAST(sum(id) AS BIGINT) FROM stream WHERE gpos <= n - {CONTEXT} - 1) AS sum_x_first,
+  (SELECT CAST(sum(id) AS BIGINT) FROM stream WHERE gpos >= {CONTEXT}) AS sum_y_last,
+  (SELECT CAST(sum(CAST(id AS BIGINT) * (least(gpos, n - {CONTEXT} - 1) - greatest(0, gpos - {CONTEXT} + 1) + 1)) AS BIGINT)
+     FROM stream WHERE least(gpos, n - {CONTEXT} - 1) >= greatest(0, gpos - {CONTEXT} + 1)) AS sum_x_all
+FROM whole"""))
+_reg("dat_03", with_(_STREAM, f"""
+SELECT CAST(n AS BIGINT) AS n_tokens, CAST({CONTEXT} AS BIGINT) AS context_length,
+       CAST(greatest(n - {CONTEXT}, 0) AS BIGINT) AS n_windows FROM whole"""))
+_SHUF = _STREAM + [_WINS, f"""shuf AS (
+  SELECT e AS epoch, win_id,
+         row_number() OVER (PARTITION BY e ORDER BY md5('{SEED}:' || CAST(e AS VARCHAR) || ':' || CAST(win_id AS VARCHAR)), win_id) - 1 AS rn
+  FROM wins, range(0, {EPOCHS}) t(e))"""]
+_reg("dat_04", with_(_SHUF, f"SELECT CAST(epoch AS BIGINT) AS epoch, CAST(rn // {BATCH} AS BIGINT) AS batch, CAST(win_id AS BIGINT) AS win_id FROM shuf"))
+_reg("dat_05", with_(_STREAM + [_WINS], f"""
+SELECT CAST(win_id // {BATCH} AS BIGINT) AS batch, CAST(win_id AS BIGINT) AS win_id FROM wins WHERE win_id < {20 * BATCH}"""))
+_reg("dat_06", with_(_STREAM + [_WINS, f"nb AS (SELECT CAST(ceil(count(*) / {BATCH}) AS BIGINT) AS nb FROM wins)"], """
+SELECT CAST(step AS BIGINT) AS step, CAST(step // nb AS BIGINT) AS epoch, CAST(step % nb AS BIGINT) AS batch,
+  round(CASE WHEN step < 500 THEN 3e-4 * (step + 1) / 500.0
+             WHEN step > 15000 THEN 3e-5
+             ELSE 3e-5 + 0.5 * (1.0 + cos(pi() * (step - 500) / 14500.0)) * (3e-4 - 3e-5) END, 12) AS lr
+FROM nb, range(0, 15000) t(step)"""))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

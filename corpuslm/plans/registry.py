@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpuslm.operators import bpe as B
 from corpuslm.operators import clean as C
+from corpuslm.operators import dataset as D
 from corpuslm.operators import split as S
 from corpuslm.operators import words as W
 from corpuslm.plans import views as V
@@ -230,5 +231,65 @@ def tok_17(spark, sf):
     return B.check_vocab(enc, len(m.vocab))
 
 
+# ------------------------------------------------------------------ datasets
+CONTEXT = 16      # context length of the checked datasets
+BATCH = 32        # reference default batch size
+EPOCHS = 2
+SEED = 0
+
+
+def stream(spark, sf):
+    """Token stream of all documents under the 8-merge tokenizer,
+    materialised once (reliable checkpoint)."""
+    return D.token_stream(_encoded_docs(spark, sf)[1]).checkpoint()
+
+
+@query("dat_01")
+def dat_01(spark, sf):
+    return stream(spark, sf)
+
+
+@query("dat_02")
+def dat_02(spark, sf):
+    return D.windows(stream(spark, sf), CONTEXT, stride=CONTEXT)
+
+
+@query("dat_02_stride1")
+def dat_02_stride1(spark, sf):
+    """The reference's stride-1 dataset in full, summarised in one row."""
+    w = D.windows(stream(spark, sf), CONTEXT, stride=1)
+    return w.agg(F.count(F.lit(1)).alias("n_windows"),
+                 F.sum(F.col("x")[0]).cast("long").alias("sum_x_first"),
+                 F.sum(F.col("y")[CONTEXT - 1]).cast("long").alias("sum_y_last"),
+                 F.sum(F.aggregate("x", F.lit(0).cast("long"), lambda a, v: a + v)).cast("long").alias("sum_x_all"))
+
+
+@query("dat_03")
+def dat_03(spark, sf):
+    n = stream(spark, sf).count()
+    return spark.createDataFrame([(n, CONTEXT, D.window_count(n, CONTEXT))],
+                                 "n_tokens bigint, context_length bigint, n_windows bigint")
+
+
+def _win_ids(spark, sf):
+    return D.windows(stream(spark, sf), CONTEXT, stride=CONTEXT).select("win_id")
+
+
+@query("dat_04")
+def dat_04(spark, sf):
+    return D.shuffle_batches(_win_ids(spark, sf), BATCH, EPOCHS, SEED)
+
+
+@query("dat_05")
+def dat_05(spark, sf):
+    return D.eval_batches(_win_ids(spark, sf), BATCH)
+
+
+@query("dat_06")
+def dat_06(spark, sf):
+    n_win = _win_ids(spark, sf).count()
+    return D.training_manifest(-(-n_win // BATCH), spark)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
