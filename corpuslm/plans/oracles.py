@@ -246,7 +246,7 @@ def train_ctes(k: int = EXTRA_MERGES) -> list[str]:
     return ctes
 
 
-def encode_ctes(words_cte: str, k: int = EXTRA_MERGES) -> list[str]:
+def encode_ctes(words_cte: str, k: int = EXTRA_MERGES, sfx: str = "") -> list[str]:
     """Replay the learned merges in rank order on every distinct word, then
     map tokens to ids (fallback: first character; else dropped)."""
     e = "' ' || array_to_string(string_split(word, ''), '  ') || ' '"
@@ -254,11 +254,11 @@ def encode_ctes(words_cte: str, k: int = EXTRA_MERGES) -> list[str]:
         e = merge_sym(e, f"b{i}")
     froms = ", ".join(f"b{i}" for i in range(1, k + 1))
     return [
-        f"enc AS MATERIALIZED (SELECT word, string_split(trim({e}), '  ') AS tokens FROM (SELECT DISTINCT word FROM {words_cte}), {froms})",
-        "tokmap AS (SELECT word, unnest(tokens) AS tok, generate_subscripts(tokens, 1) AS k FROM enc)",
-        f"""occ_ids AS MATERIALIZED (
+        f"enc{sfx} AS MATERIALIZED (SELECT word, string_split(trim({e}), '  ') AS tokens FROM (SELECT DISTINCT word FROM {words_cte}), {froms})",
+        f"tokmap{sfx} AS (SELECT word, unnest(tokens) AS tok, generate_subscripts(tokens, 1) AS k FROM enc{sfx})",
+        f"""occ_ids{sfx} AS MATERIALIZED (
   SELECT w.doc_id, w.pos, t.k, coalesce(v.id, v1.id) AS id
-  FROM {words_cte} w JOIN tokmap t USING (word)
+  FROM {words_cte} w JOIN tokmap{sfx} t USING (word)
   LEFT JOIN vocab v ON v.token = t.tok LEFT JOIN vocab v1 ON v1.token = left(t.tok, 1))""",
     ]
 
@@ -345,5 +345,94 @@ SELECT CAST(step AS BIGINT) AS step, CAST(step // nb AS BIGINT) AS epoch, CAST(s
 FROM nb, range(0, 15000) t(step)"""))
 
 
+# ------------------------------------------------------------------ n-gram model
+TEMP, TOPK, TOPK_SMALL, GEN_STEPS = 0.8, 40, 5, 3
+
+
+def hexu(e: str) -> str:
+    return f"CAST(('0x' || substring(md5({e}), 1, 12)) AS BIGINT) / {float(16 ** 12)!r}"
+
+
+_LM = _STREAM + [
+    """counts AS MATERIALIZED (
+  SELECT [a.id] AS ctx, b.id AS next, count(*) AS c FROM stream a JOIN stream b ON b.gpos = a.gpos + 1 GROUP BY 1, 2
+  UNION ALL SELECT CAST([] AS INTEGER[]), id, count(*) FROM stream GROUP BY id)""",
+    """dist AS MATERIALIZED (
+  SELECT ctx, next, c, sum(c) OVER (PARTITION BY ctx) AS total,
+         c / sum(c) OVER (PARTITION BY ctx) AS p, ln(c / sum(c) OVER (PARTITION BY ctx)) AS logit FROM counts)""",
+    "V AS (SELECT count(*) AS v FROM vocab)",
+    CTE_BENCH_WORDS] + encode_ctes("bwords", sfx="_b") + [
+    """bstream AS MATERIALIZED (SELECT row_number() OVER (ORDER BY doc_id, pos, k) - 1 AS gpos, CAST(id AS INTEGER) AS id
+                            FROM occ_ids_b WHERE id IS NOT NULL)""",
+    """ctx_tot AS (SELECT ctx, sum(c) AS cc FROM counts WHERE len(ctx) > 0 GROUP BY ctx)""",
+    """uni AS (SELECT next, c AS u FROM counts WHERE len(ctx) = 0)""",
+    """ntok AS (SELECT sum(u) AS nn FROM uni)""",
+]
+
+
+def nll_sql(src: str) -> str:
+    """-ln p for rows of ``src(ctx, next, ...)`` (add-one smoothing, unigram backoff)."""
+    return f"""(SELECT s.*, -ln(CASE WHEN t.cc IS NOT NULL THEN (coalesce(k.c, 0) + 1.0) / (t.cc + V.v)
+                               ELSE (coalesce(u.u, 0) + 1.0) / (ntok.nn + V.v) END) AS nll
+   FROM {src} s LEFT JOIN counts k ON k.ctx = s.ctx AND k.next = s.next
+   LEFT JOIN ctx_tot t ON t.ctx = s.ctx LEFT JOIN uni u ON u.next = s.next, V, ntok)"""
+
+
+def softmax_sql(k: int | None) -> str:
+    keep = f"WHERE rk <= {k}" if k else ""
+    return f"""(SELECT ctx, next, e / sum(e) OVER (PARTITION BY ctx) AS q FROM (
+  SELECT ctx, next, exp(z - max(z) OVER (PARTITION BY ctx)) AS e FROM (
+    SELECT ctx, next, z FROM (SELECT ctx, next, logit / {TEMP} AS z,
+                                     rank() OVER (PARTITION BY ctx ORDER BY logit / {TEMP} DESC) AS rk FROM dist) {keep})))"""
+
+
+_SAMP = """samp AS MATERIALIZED (
+  SELECT ctx, next, hi - q AS lo, hi, max(hi) OVER (PARTITION BY ctx) AS tot FROM (
+    SELECT ctx, next, q, sum(q) OVER (PARTITION BY ctx ORDER BY next ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi
+    FROM """ + softmax_sql(TOPK) + "))"
+
+_reg("lm_01", with_(_LM, "SELECT ctx, CAST(next AS INTEGER) AS next, CAST(c AS BIGINT) AS c FROM counts"))
+_reg("lm_02", with_(_LM, """SELECT ctx, CAST(next AS INTEGER) AS next, CAST(c AS BIGINT) AS c, CAST(total AS BIGINT) AS total,
+                               round(p, 9) AS p, round(logit, 9) AS logit FROM dist"""))
+_reg("lm_03", with_(_LM + ["bt AS (SELECT [a.id] AS ctx, b.id AS next FROM bstream a JOIN bstream b ON b.gpos = a.gpos + 1)"],
+                    f"SELECT CAST(count(*) AS BIGINT) AS n_targets, round(avg(nll), 9) AS loss FROM {nll_sql('bt')}"))
+_EVAL = _LM + ["bn AS (SELECT count(*) AS n FROM bstream)", f"""ev AS (
+  SELECT (s.gpos - t.t) // {BATCH} AS batch, [s.id] AS ctx, nx.id AS next
+  FROM bstream s, range(0, {CONTEXT}) t(t), bn, bstream nx
+  WHERE nx.gpos = s.gpos + 1 AND s.gpos - t.t >= 0 AND s.gpos - t.t <= least({20 * BATCH - 1}, bn.n - {CONTEXT} - 1))"""]
+_reg("lm_04", with_(_EVAL, f"""
+SELECT CAST(count(*) AS BIGINT) AS n_batches, round(avg(l), 9) AS loss, round(exp(avg(l)), 9) AS perplexity
+FROM (SELECT batch, avg(nll) AS l FROM {nll_sql('ev')} GROUP BY batch)"""))
+_reg("lm_05", with_(_LM + ["bt AS (SELECT [a.id] AS ctx, b.id AS next FROM bstream a JOIN bstream b ON b.gpos = a.gpos + 1)"],
+                    f"SELECT round(avg(nll), 9) AS loss, round(exp(avg(nll)), 9) AS perplexity FROM {nll_sql('bt')}"))
+_reg("lm_06", with_(_LM, f"SELECT ctx, CAST(next AS INTEGER) AS next, round(q, 9) AS q FROM {softmax_sql(None)}"))
+_reg("lm_07", with_(_LM, f"SELECT ctx, CAST(next AS INTEGER) AS next, round(q, 9) AS q FROM {softmax_sql(TOPK_SMALL)}"))
+_reg("lm_08", with_(_LM + [_SAMP, f"req AS (SELECT DISTINCT ctx, {hexu("'0:' || array_to_string(ctx, ',')")} AS u FROM samp)"], """
+SELECT r.ctx, CAST(s.next AS INTEGER) AS next FROM req r JOIN samp s ON s.ctx = r.ctx AND s.lo <= r.u * s.tot AND r.u * s.tot < s.hi"""))
+
+CTE_PROMPT_WORDS = f"""pwords AS (
+  SELECT doc_id, unnest(arr) AS word, generate_subscripts(arr, 1) - 1 AS pos
+  FROM (SELECT conv_id AS doc_id, regexp_extract_all(lower(text), {q(WORD_PATTERN)}, 0) AS arr
+        FROM conversations WHERE turn = 0 AND role = 'user'))"""
+_GEN = _LM + [_SAMP, CTE_PROMPT_WORDS] + encode_ctes("pwords", sfx="_p") + [
+    "ctxs AS (SELECT DISTINCT ctx FROM samp)",
+    """g0 AS (SELECT p.conv_id AS prompt_id, coalesce(a.ids, CAST([] AS INTEGER[])) AS ids
+           FROM (SELECT conv_id FROM conversations WHERE turn = 0 AND role = 'user') p LEFT JOIN (
+             SELECT doc_id, list(CAST(id AS INTEGER) ORDER BY pos, k) AS ids FROM occ_ids_p WHERE id IS NOT NULL GROUP BY doc_id) a
+           ON a.doc_id = p.conv_id)"""]
+for _s in range(GEN_STEPS):
+    _GEN.append(f"""g{_s + 1} AS MATERIALIZED (
+  SELECT r.prompt_id, list_append(r.ids, CAST(s.next AS INTEGER)) AS ids
+  FROM (SELECT g.prompt_id, g.ids, CASE WHEN c.ctx IS NOT NULL THEN c.ctx ELSE CAST([] AS INTEGER[]) END AS ctx,
+               {hexu(f"'0:' || CAST(g.prompt_id AS VARCHAR) || ':{_s}'")} AS u
+        FROM g{_s} g LEFT JOIN ctxs c ON len(g.ids) >= 1 AND c.ctx = [g.ids[len(g.ids)]]) r
+  JOIN samp s ON s.ctx = r.ctx AND s.lo <= r.u * s.tot AND r.u * s.tot < s.hi)""")
+_reg("lm_09", with_(_GEN, f"""
+SELECT g.prompt_id, g.ids, coalesce(t.text, '') AS text FROM g{GEN_STEPS} g LEFT JOIN (
+  SELECT prompt_id, string_agg(v.token, '' ORDER BY i) AS text
+  FROM (SELECT prompt_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM g{GEN_STEPS}) x
+  JOIN vocab v ON v.id = x.id GROUP BY prompt_id) t USING (prompt_id)"""))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpuslm.operators import bpe as B
 from corpuslm.operators import clean as C
 from corpuslm.operators import dataset as D
+from corpuslm.operators import ngram as N
 from corpuslm.operators import split as S
 from corpuslm.operators import words as W
 from corpuslm.plans import views as V
@@ -291,5 +292,99 @@ def dat_06(spark, sf):
     return D.training_manifest(-(-n_win // BATCH), spark)
 
 
+# ------------------------------------------------------------------ n-gram model
+TEMP, TOPK, TOPK_SMALL, GEN_STEPS, ALPHA = 0.8, 40, 5, 3, 1.0
+
+
+def _r9(c):
+    return F.round(c, 9)
+
+
+def lm_model(spark, sf):
+    m, enc = _encoded_docs(spark, sf)
+    st = D.token_stream(enc).checkpoint()
+    return m, N.fit_ngram(st, 2).checkpoint()
+
+
+def bench_stream(spark, sf, m):
+    bench = V.table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    return D.token_stream(B.encode_corpus(bench, m.merges, m.vocab)).checkpoint()
+
+
+@query("lm_01")
+def lm_01(spark, sf):
+    return lm_model(spark, sf)[1].select("ctx", "next", F.col("c").cast("long").alias("c"))
+
+
+@query("lm_02")
+def lm_02(spark, sf):
+    d = N.next_dist(lm_model(spark, sf)[1])
+    return d.select("ctx", "next", F.col("c").cast("long").alias("c"), F.col("total").cast("long").alias("total"),
+                    _r9(F.col("p")).alias("p"), _r9(F.col("logit")).alias("logit"))
+
+
+def _bench_loss(spark, sf):
+    m, counts = lm_model(spark, sf)
+    targets = N.ngram_pairs(bench_stream(spark, sf, m), 2)
+    return N.cross_entropy(counts, targets, len(m.vocab), ALPHA)
+
+
+@query("lm_03")
+def lm_03(spark, sf):
+    return _bench_loss(spark, sf).select(F.col("n_targets").cast("long").alias("n_targets"),
+                                         _r9(F.col("loss")).alias("loss"))
+
+
+@query("lm_04")
+def lm_04(spark, sf):
+    m, counts = lm_model(spark, sf)
+    w = D.windows(bench_stream(spark, sf, m), CONTEXT, stride=1)
+    r = N.estimate_loss(counts, w, len(m.vocab), BATCH, 20, ALPHA)
+    return r.select(F.col("n_batches").cast("long").alias("n_batches"), _r9(F.col("loss")).alias("loss"),
+                    _r9(F.col("perplexity")).alias("perplexity"))
+
+
+@query("lm_05")
+def lm_05(spark, sf):
+    r = _bench_loss(spark, sf)
+    return r.select(_r9(F.col("loss")).alias("loss"), _r9(N.perplexity(F.col("loss"))).alias("perplexity"))
+
+
+@query("lm_06")
+def lm_06(spark, sf):
+    q = N.softmax(N.next_dist(lm_model(spark, sf)[1]), TEMP, None)
+    return q.select("ctx", "next", _r9(F.col("q")).alias("q"))
+
+
+@query("lm_07")
+def lm_07(spark, sf):
+    q = N.softmax(N.next_dist(lm_model(spark, sf)[1]), TEMP, TOPK_SMALL)
+    return q.select("ctx", "next", _r9(F.col("q")).alias("q"))
+
+
+def _table(spark, sf):
+    m, counts = lm_model(spark, sf)
+    return m, N.sampling_table(N.softmax(N.next_dist(counts), TEMP, TOPK)).checkpoint()
+
+
+@query("lm_08")
+def lm_08(spark, sf):
+    _, t = _table(spark, sf)
+    req = t.select("ctx").distinct().withColumn(
+        "u", N.uniform(0, F.array_join(F.col("ctx").cast("array<string>"), ",")))
+    return N.draw(req, t).select("ctx", F.col("next").cast("int").alias("next"))
+
+
+@query("lm_09")
+def lm_09(spark, sf):
+    m, t = _table(spark, sf)
+    pr = V.prompts(spark, sf).select(F.col("prompt_id").alias("doc_id"), "text")
+    ids = B.encode_corpus(pr, m.merges, m.vocab).withColumnRenamed("doc_id", "prompt_id")
+    gen = N.generate(ids, t, max_tokens=GEN_STEPS, n=2, seed=0)
+    text = B.decode(gen.withColumnRenamed("prompt_id", "doc_id"), m.vocab_df(spark)) \
+            .withColumnRenamed("doc_id", "prompt_id")
+    return gen.join(text, "prompt_id").select("prompt_id", "ids", "text")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
