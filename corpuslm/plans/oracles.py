@@ -434,5 +434,45 @@ SELECT g.prompt_id, g.ids, coalesce(t.text, '') AS text FROM g{GEN_STEPS} g LEFT
   JOIN vocab v ON v.id = x.id GROUP BY prompt_id) t USING (prompt_id)"""))
 
 
+# ------------------------------------------------------------------ run metrics
+LOG_EVERY, EVAL_EVERY, SAVE_EVERY = 5, 10, 30
+CTE_LOG = """train_log AS MATERIALIZED (
+  SELECT user_id AS run_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS step,
+         value / 100.0 AS loss, ts FROM events)"""
+_reg("met_01", with_([CTE_LOG], f"""
+SELECT run_id, step, round(a, 9) AS avg_loss FROM (
+  SELECT run_id, step, avg(loss) OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN {LOG_EVERY - 1} PRECEDING AND CURRENT ROW) AS a
+  FROM train_log) WHERE step % {LOG_EVERY} = 0"""))
+_reg("met_02", with_([CTE_LOG], f"""
+SELECT run_id, step, round(loss, 9) AS val_loss, round(exp(loss), 9) AS perplexity FROM train_log WHERE step % {EVAL_EVERY} = 0"""))
+_reg("met_03", with_([CTE_LOG], f"""
+SELECT run_id, step, round(loss, 9) AS val_loss,
+       coalesce(loss < min(loss) OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                loss < 'inf'::DOUBLE) AS is_best
+FROM train_log WHERE step % {EVAL_EVERY} = 0"""))
+_reg("met_04", with_([CTE_LOG], f"""
+SELECT run_id, CAST(arg_min(step, (loss, step)) AS BIGINT) AS best_step, round(min(loss), 9) AS best_loss
+FROM train_log WHERE step % {EVAL_EVERY} = 0 GROUP BY run_id"""))
+_reg("met_05", with_([CTE_LOG], f"""
+SELECT run_id, step, round(el, 6) AS elapsed,
+       round(CASE WHEN el = 0 THEN NULL ELSE step * 32 * 256 / el END, 6) AS tokens_per_sec
+FROM (SELECT run_id, step, (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY run_id)) / 1e6 AS el FROM train_log)
+WHERE step % {LOG_EVERY} = 0"""))
+_reg("met_06", with_([CTE_LOG], f"""
+SELECT run_id, step, step = last AS is_final FROM (
+  SELECT run_id, step, max(step) OVER (PARTITION BY run_id) AS last FROM train_log)
+WHERE step % {SAVE_EVERY} = 0 OR step = last"""))
+_reg("snk_04", with_([CTE_LOG], f"""
+SELECT run_id, step, printf('%d,%.6f,%.6f,%.8f,%.2f,%.4f', step, tl, loss,
+  CASE WHEN step - 1 < 500 THEN 3e-4 * step / 500.0
+       WHEN step - 1 > 15000 THEN 3e-5
+       ELSE 3e-5 + 0.5 * (1.0 + cos(pi() * (step - 1 - 500) / 14500.0)) * (3e-4 - 3e-5) END,
+  el, exp(loss)) AS line
+FROM (SELECT run_id, step, loss,
+             avg(loss) OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN {LOG_EVERY - 1} PRECEDING AND CURRENT ROW) AS tl,
+             (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY run_id)) / 1e6 AS el FROM train_log)
+WHERE step % {EVAL_EVERY} = 0"""))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

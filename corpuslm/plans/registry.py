@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpuslm.operators import bpe as B
 from corpuslm.operators import clean as C
 from corpuslm.operators import dataset as D
+from corpuslm.operators import metrics as M
 from corpuslm.operators import ngram as N
 from corpuslm.operators import split as S
 from corpuslm.operators import words as W
@@ -386,5 +387,51 @@ def lm_09(spark, sf):
     return gen.join(text, "prompt_id").select("prompt_id", "ids", "text")
 
 
+# ------------------------------------------------------------------ run metrics
+LOG_EVERY, EVAL_EVERY, SAVE_EVERY = 5, 10, 30   # the reference's 100/500/1500, scaled to the fixture
+
+
+@query("met_01")
+def met_01(spark, sf):
+    r = M.rolling_loss(V.train_log(spark, sf), LOG_EVERY)
+    return r.select("run_id", "step", _r9(F.col("avg_loss")).alias("avg_loss"))
+
+
+@query("met_02")
+def met_02(spark, sf):
+    e = M.eval_points(V.train_log(spark, sf), EVAL_EVERY)
+    return e.select("run_id", "step", _r9(F.col("val_loss")).alias("val_loss"),
+                    _r9(F.col("perplexity")).alias("perplexity"))
+
+
+@query("met_03")
+def met_03(spark, sf):
+    b = M.mark_best(M.eval_points(V.train_log(spark, sf), EVAL_EVERY))
+    return b.select("run_id", "step", _r9(F.col("val_loss")).alias("val_loss"), "is_best")
+
+
+@query("met_04")
+def met_04(spark, sf):
+    b = M.best_checkpoint(M.eval_points(V.train_log(spark, sf), EVAL_EVERY))
+    return b.select("run_id", "best_step", _r9(F.col("best_loss")).alias("best_loss"))
+
+
+@query("met_05")
+def met_05(spark, sf):
+    t = M.throughput(V.train_log(spark, sf), BATCH, 256, LOG_EVERY)
+    return t.select("run_id", "step", F.round("elapsed", 6).alias("elapsed"),
+                    F.round("tokens_per_sec", 6).alias("tokens_per_sec"))
+
+
+@query("met_06")
+def met_06(spark, sf):
+    return M.checkpoint_steps(V.train_log(spark, sf), SAVE_EVERY)
+
+
+@query("snk_04")
+def snk_04(spark, sf):
+    return M.log_lines(V.train_log(spark, sf), LOG_EVERY, EVAL_EVERY)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
