@@ -474,5 +474,33 @@ FROM (SELECT run_id, step, loss,
 WHERE step % {EVAL_EVERY} = 0"""))
 
 
+# ------------------------------------------------------------------ streaming
+# the stream forms must give the batch results
+ORACLES["str_01"] = ORACLES["cln_14"]
+ORACLES["str_02"] = ORACLES["tok_12"]
+_reg("str_03", with_([CTE_WORDS], "SELECT word, CAST(count(*) AS BIGINT) AS freq FROM words GROUP BY word"))
+_reg("str_04", """
+SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, user_id AS run_id,
+       round(avg(value / 100.0), 9) AS mean_loss, round(exp(avg(value / 100.0)), 9) AS perplexity,
+       CAST(count(*) AS BIGINT) AS n
+FROM events GROUP BY 1, 2""")
+
+
+# ------------------------------------------------------------------ sources / sinks
+_reg("src_01", with_([CTE_WIKI_RAW], f"""
+SELECT CAST(sum(length(text) + 1) AS BIGINT) AS chars,
+       CAST(sum(len(string_split(text, {NL}))) AS BIGINT) AS newlines,
+       CAST(0 AS BIGINT) AS carriage_returns FROM wiki_raw"""))
+_reg("src_02", with_([CTE_WIKI_RAW], """
+SELECT doc_id, 'https://example.org/?curid=' || CAST(doc_id AS VARCHAR) AS url,
+       'Title number ' || CAST(doc_id AS VARCHAR) AS title, text FROM wiki_raw"""))
+_reg("src_03", f"SELECT * FROM ({ORACLES['spl_03']}) WHERE split = 'train'")
+ORACLES["snk_01"] = ORACLES["spl_03"]
+ORACLES["snk_02"] = ORACLES["tok_10"]
+ORACLES["src_04"] = ORACLES["tok_10"]
+ORACLES["snk_03"] = ORACLES["tok_12"]
+ORACLES["src_05"] = ORACLES["tok_12"]
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -22,6 +22,23 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
+_MEMO: dict = {}
+
+
+def memo(fn):
+    """Share an expensive intermediate (trained tokenizer, encoded corpus,
+    fitted model) between the queries of one Spark application.  Everything
+    memoised is checkpointed to the session's checkpoint folder, so a lost
+    executor costs a re-read, not a recompute."""
+    def run(spark, sf, *a):
+        k = (fn.__name__, spark.sparkContext.applicationId, sf, a)
+        if k not in _MEMO:
+            _MEMO[k] = fn(spark, sf, *a)
+        return _MEMO[k]
+    run.__name__ = fn.__name__
+    return run
+
+
 def query(name: str):
     def deco(fn: Query) -> Query:
         REGISTRY[name] = fn
@@ -85,6 +102,7 @@ def cln_17(spark, sf):
 
 
 # ------------------------------------------------------------------ split
+@memo
 def cleaned_wiki(spark, sf):
     """Cleaned ``wiki_raw``, materialised once (reliable checkpoint) because
     the split reads it several times and cleaning runs Python for NFKD."""
@@ -167,6 +185,7 @@ def tok_07(spark, sf):
     return st.select("word", B.symbols(merged).alias("symbols"))
 
 
+@memo
 def doc_model(spark, sf, extra: int = EXTRA_MERGES) -> B.BPEModel:
     """BPE over all documents with ``alphabet + extra`` tokens."""
     freqs = W.word_table(V.documents(spark, sf)).cache()
@@ -191,9 +210,10 @@ def tok_11(spark, sf):
     return B.encode_words(distinct, m.merges, m.vocab).select("word", "tokens")
 
 
+@memo
 def _encoded_docs(spark, sf):
     m = doc_model(spark, sf)
-    return m, B.encode_corpus(V.documents(spark, sf), m.merges, m.vocab)
+    return m, B.encode_corpus(V.documents(spark, sf), m.merges, m.vocab).checkpoint()
 
 
 @query("tok_12")
@@ -240,6 +260,7 @@ EPOCHS = 2
 SEED = 0
 
 
+@memo
 def stream(spark, sf):
     """Token stream of all documents under the 8-merge tokenizer,
     materialised once (reliable checkpoint)."""
@@ -301,13 +322,15 @@ def _r9(c):
     return F.round(c, 9)
 
 
+@memo
 def lm_model(spark, sf):
-    m, enc = _encoded_docs(spark, sf)
-    st = D.token_stream(enc).checkpoint()
-    return m, N.fit_ngram(st, 2).checkpoint()
+    m, _ = _encoded_docs(spark, sf)
+    return m, N.fit_ngram(stream(spark, sf), 2).checkpoint()
 
 
-def bench_stream(spark, sf, m):
+@memo
+def bench_stream(spark, sf, m=None):
+    m = m or doc_model(spark, sf)
     bench = V.table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     return D.token_stream(B.encode_corpus(bench, m.merges, m.vocab)).checkpoint()
 
@@ -326,7 +349,7 @@ def lm_02(spark, sf):
 
 def _bench_loss(spark, sf):
     m, counts = lm_model(spark, sf)
-    targets = N.ngram_pairs(bench_stream(spark, sf, m), 2)
+    targets = N.ngram_pairs(bench_stream(spark, sf), 2)
     return N.cross_entropy(counts, targets, len(m.vocab), ALPHA)
 
 
@@ -339,7 +362,7 @@ def lm_03(spark, sf):
 @query("lm_04")
 def lm_04(spark, sf):
     m, counts = lm_model(spark, sf)
-    w = D.windows(bench_stream(spark, sf, m), CONTEXT, stride=1)
+    w = D.windows(bench_stream(spark, sf), CONTEXT, stride=1)
     r = N.estimate_loss(counts, w, len(m.vocab), BATCH, 20, ALPHA)
     return r.select(F.col("n_batches").cast("long").alias("n_batches"), _r9(F.col("loss")).alias("loss"),
                     _r9(F.col("perplexity")).alias("perplexity"))
@@ -363,6 +386,7 @@ def lm_07(spark, sf):
     return q.select("ctx", "next", _r9(F.col("q")).alias("q"))
 
 
+@memo
 def _table(spark, sf):
     m, counts = lm_model(spark, sf)
     return m, N.sampling_table(N.softmax(N.next_dist(counts), TEMP, TOPK)).checkpoint()
@@ -433,5 +457,115 @@ def snk_04(spark, sf):
     return M.log_lines(V.train_log(spark, sf), LOG_EVERY, EVAL_EVERY)
 
 
+# ------------------------------------------------------------------ streaming
+@query("str_01")
+def str_01(spark, sf):
+    from corpuslm.streaming import stream as STR
+    docs = STR.read_table_stream(spark, sf, "documents").select("doc_id", "text")
+    out = STR.run_available(STR.clean_stream(V.wiki_of(docs)), "clean")
+    return spark.read.parquet(out).select("doc_id", "text")
+
+
+@query("str_02")
+def str_02(spark, sf):
+    from corpuslm.streaming import stream as STR
+    m = doc_model(spark, sf)
+    docs = STR.read_table_stream(spark, sf, "documents").select("doc_id", "text")
+    out = STR.run_available(docs, "encode", foreach_batch=STR.encode_stream_sink(m.merges, m.vocab))
+    return spark.read.parquet(out).select("doc_id", "ids")
+
+
+@query("str_03")
+def str_03(spark, sf):
+    from corpuslm.streaming import stream as STR
+    docs = STR.read_table_stream(spark, sf, "documents").select("doc_id", "text")
+    out = STR.run_available(STR.word_count_stream(docs), "wordfreq", "update",
+                            foreach_batch=STR.upsert_sink(["word"]))
+    return STR.latest(spark, out, ["word"]).select("word", F.col("freq").cast("long").alias("freq"))
+
+
+@query("str_04")
+def str_04(spark, sf):
+    from corpuslm.streaming import stream as STR
+    ev = STR.read_table_stream(spark, sf, "events")
+    out = STR.run_available(STR.run_metrics_stream(ev), "runmetrics", "update",
+                            foreach_batch=STR.upsert_sink(["window_start", "run_id"]))
+    r = STR.latest(spark, out, ["window_start", "run_id"])
+    return r.select("window_start", "run_id", _r9(F.col("mean_loss")).alias("mean_loss"),
+                    _r9(F.col("perplexity")).alias("perplexity"), F.col("n").cast("long").alias("n"))
+
+
+# ------------------------------------------------------------------ sources / sinks
+def _scratch(spark, name):
+    import os
+    import uuid
+
+    from corpuslm.session import ensure_checkpoint_dir
+    return os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), "io", f"{name}-{uuid.uuid4().hex[:8]}")
+
+
+@query("src_01")
+def src_01(spark, sf):
+    from corpuslm.sources import io as IO
+    out = _scratch(spark, "raw")
+    (V.wiki_raw(spark, sf).orderBy("doc_id").select(F.replace("text", F.lit("\n"), F.lit("\r\n")).alias("v"))
+      .coalesce(1).write.text(out))
+    r = IO.read_raw(spark, out)
+    return r.agg(F.sum(F.length("text")).cast("long").alias("chars"),
+                 F.sum(F.regexp_count("text", F.lit("\n"))).cast("long").alias("newlines"),
+                 F.sum(F.regexp_count("text", F.lit("\r"))).cast("long").alias("carriage_returns"))
+
+
+@query("src_02")
+def src_02(spark, sf):
+    from corpuslm.sources import io as IO
+    out = _scratch(spark, "extracted")
+    V.wiki_raw(spark, sf).orderBy("doc_id").select("text").coalesce(2).write.text(out)
+    return IO.read_extracted(spark, out, glob="part-*")
+
+
+@query("src_03")
+def src_03(spark, sf):
+    from corpuslm.sources import io as IO
+    out = _scratch(spark, "split")
+    IO.write_split(S.split_corpus(cleaned_wiki(spark, sf)), out)
+    return IO.read_split(spark, out, "train").select("doc_id", "split", "text")
+
+
+@query("snk_01")
+def snk_01(spark, sf):
+    from corpuslm.sources import io as IO
+    out = _scratch(spark, "split")
+    IO.write_split(S.split_corpus(cleaned_wiki(spark, sf)), out)
+    return spark.read.parquet(out).select("doc_id", "split", "text")
+
+
+@query("snk_02")
+def snk_02(spark, sf):
+    """Tokenizer JSON round trip (SNK-02 then SRC-04)."""
+    from corpuslm.sources import io as IO
+    m = doc_model(spark, sf)
+    out = _scratch(spark, "vocab")
+    IO.write_tokenizer(m.vocab_df(spark), m.merges_df(spark), out)
+    vocab, merges = IO.read_tokenizer(spark, out)
+    assert merges == m.merges
+    return spark.createDataFrame(sorted(vocab.items(), key=lambda kv: kv[1]), "token string, id bigint")
+
+
+query("src_04")(snk_02)
+
+
+@query("snk_03")
+def snk_03(spark, sf):
+    """Token files round trip (SNK-03 then SRC-05)."""
+    from corpuslm.sources import io as IO
+    out = _scratch(spark, "tokens")
+    IO.write_tokens(_encoded_docs(spark, sf)[1], out)
+    return IO.read_tokens(spark, out).select("doc_id", "ids")
+
+
+query("src_05")(snk_03)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -35,7 +35,12 @@ def wiki_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     tag, the title twice (once after a blank line), a URL line, blank lines,
     double spaces after full stops, a line of spaces, a short line and the
     closing tag."""
-    d = documents(spark, sf_dir)
+    return wiki_of(documents(spark, sf_dir))
+
+
+def wiki_of(d: DataFrame) -> DataFrame:
+    """The ``wiki_raw`` projection of any ``(doc_id, text)`` frame (batch or
+    stream)."""
     i = F.col("doc_id").cast("string")
     title = F.concat(F.lit("Title number "), i)
     text = F.concat(
