@@ -158,9 +158,15 @@ def train_bpe(freqs: DataFrame, vocab_size: int = 5000, min_frequency: int = 2,
     vocab = set(alpha)
     merges: list[tuple[str, str]] = []
     state = initial_state(freqs).checkpoint()
+    prev = None
     rounds = 0
     while len(vocab) < vocab_size:
+        # this job also fills the cache of `state`; only then is the
+        # previous round's cache released (else its lineage is recomputed)
         cands = ranked_pairs(pair_counts(state)).limit(candidates).collect()
+        if prev is not None:
+            prev.unpersist()
+            prev = None
         if not cands:
             break
         budget = vocab_size - len(vocab)
@@ -180,10 +186,11 @@ def train_bpe(freqs: DataFrame, vocab_size: int = 5000, min_frequency: int = 2,
         nxt = (state.select("word", "freq", "wrank", apply_merges(F.col("sym"), chosen).alias("sym"))
                     .filter(F.col("sym").contains("  ")))
         if rounds % checkpoint_every == 0:
-            nxt = nxt.checkpoint()
+            nxt = nxt.checkpoint()   # eager: reads the cached state
+            state.unpersist()
         else:
             nxt = nxt.cache()
-        state.unpersist()
+            prev = state
         state = nxt
     return BPEModel(alpha, merges, rounds, state)
 
