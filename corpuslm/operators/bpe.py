@@ -96,6 +96,7 @@ class BPEModel:
     merges: list[tuple[str, str]]
     rounds: int = 0
     state: DataFrame | None = field(default=None, repr=False)
+    stop_reason: str = "vocab_full"
 
     @property
     def vocab(self) -> dict[str, int]:
@@ -160,6 +161,7 @@ def train_bpe(freqs: DataFrame, vocab_size: int = 5000, min_frequency: int = 2,
     state = initial_state(freqs).checkpoint()
     prev = None
     rounds = 0
+    stop = "vocab_full"
     while len(vocab) < vocab_size:
         # this job also fills the cache of `state`; only then is the
         # previous round's cache released (else its lineage is recomputed)
@@ -168,12 +170,14 @@ def train_bpe(freqs: DataFrame, vocab_size: int = 5000, min_frequency: int = 2,
             prev.unpersist()
             prev = None
         if not cands:
+            stop = "no_pairs"       # TOK-09
             break
         budget = vocab_size - len(vocab)
         if max_merges_per_round:
             budget = min(budget, max_merges_per_round)
         chosen = _choose(cands, budget, min_frequency)
         if not chosen:
+            stop = "below_min_frequency"
             break
         for l, r in chosen:
             tok = l + r
@@ -192,7 +196,7 @@ def train_bpe(freqs: DataFrame, vocab_size: int = 5000, min_frequency: int = 2,
             nxt = nxt.cache()
             prev = state
         state = nxt
-    return BPEModel(alpha, merges, rounds, state)
+    return BPEModel(alpha, merges, rounds, state, stop)
 
 
 def tokenizer_info(model: BPEModel, spark: SparkSession) -> DataFrame:

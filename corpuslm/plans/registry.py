@@ -198,6 +198,16 @@ def tok_08(spark, sf):
     return doc_model(spark, sf).merges_df(spark)
 
 
+@query("tok_09")
+def tok_09(spark, sf):
+    """Stop rules: the held-out ``benchmark`` texts trained to exhaustion
+    (vocab 5,000 is never reached; training ends below min_frequency)."""
+    bench = V.table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    m = B.train_from_text(bench, vocab_size=5000, min_frequency=2)
+    return spark.createDataFrame([(len(m.alphabet), len(m.merges), m.stop_reason)],
+                                 "alphabet_size bigint, num_merges bigint, stop_reason string")
+
+
 @query("tok_10")
 def tok_10(spark, sf):
     return doc_model(spark, sf).vocab_df(spark)
