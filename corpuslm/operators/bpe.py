@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslm.operators.order import prefix_sum
-from corpuslm.operators.words import alphabet, pretokenize, word_freq
+from corpuslm.operators.words import alphabet, pretokenize, word_freq, words_of
 
 
 # ------------------------------------------------------------------ state
@@ -287,29 +287,25 @@ def encode_corpus(docs: DataFrame, merges: list[tuple[str, str]], vocab: dict[st
     broadcasts the encoded words when their measured size allows, otherwise
     a sort-merge join whose hot words AQE splits.  Per document the word
     encodings are gathered in position order (one group per document)."""
-    occ = pretokenize(docs, key, text_col)
-    distinct = occ.select("word").distinct()
+    occ = docs.select(key, F.posexplode_outer(words_of(F.col(text_col))).alias("pos", "word"))
+    distinct = occ.filter(F.col("word").isNotNull()).select("word").distinct()
     enc = encode_words(distinct, merges, vocab).select("word", "ids")
-    joined = occ.join(enc, "word")
-    per_doc = joined.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("w"))
+    # documents without words keep one row (word NULL) and end with []
+    joined = occ.join(enc, "word", "left")
+    per_doc = joined.groupBy(key).agg(F.sort_array(F.collect_list(
+        F.when(F.col("ids").isNotNull(), F.struct("pos", "ids")))).alias("w"))
     ids = F.flatten(F.transform("w", lambda s: s.getField("ids")))
-    out = per_doc.select(key, ids.alias("ids"))
-    # documents without words still yield an (empty) token list
-    return docs.select(key).join(out, key, "left").select(
-        key, F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    return per_doc.select(key, F.coalesce(ids, F.array().cast("array<int>")).alias("ids"))
 
 
 def decode(tokens: DataFrame, vocab: DataFrame, key: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """TOK-14: concatenate token strings; unknown ids give ``''``; spaces are
     not restored.  The vocabulary (bounded by vocab_size) is broadcast."""
-    ex = tokens.select(key, F.posexplode(ids_col).alias("i", "id"))
+    ex = tokens.select(key, F.posexplode_outer(ids_col).alias("i", "id"))
     j = ex.join(F.broadcast(vocab.select(F.col("id").cast("int").alias("id"), "token")), "id", "left")
-    agg = j.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("token", F.lit(""))
-                                                                        .alias("t")))).alias("s"))
-    text = F.array_join(F.transform("s", lambda s: s.getField("t")), "")
-    out = agg.select(key, text.alias("text"))
-    return tokens.select(key).join(out, key, "left").select(key, F.coalesce("text", F.lit("")).alias("text"))
+    piece = F.when(F.col("i").isNotNull(), F.struct("i", F.coalesce("token", F.lit("")).alias("t")))
+    agg = j.groupBy(key).agg(F.sort_array(F.collect_list(piece)).alias("s"))
+    return agg.select(key, F.array_join(F.transform("s", lambda s: s.getField("t")), "").alias("text"))
 
 
 def train_from_text(docs: DataFrame, vocab_size: int = 5000, min_frequency: int = 2,
