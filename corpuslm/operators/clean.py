@@ -178,10 +178,13 @@ def clean_corpus(df: DataFrame, text_col: str = "text", out_col: str = "text",
     Native steps 1-6, one Arrow pass for NFKD, native steps 8-12: two
     codegen'd projections around a map node, no shuffle.
     """
-    stage = "__clean_mid"
+    # the intermediate replaces the input column when the output does, so
+    # only one copy of each document crosses into Python
+    stage = text_col if out_col == text_col else "__clean_mid"
     out = df.withColumn(stage, clean_before_nfkd(F.col(text_col)))
     out = nfkd_frame(out, stage)
-    return out.withColumn(out_col, clean_after_nfkd(F.col(stage), lowercase, min_len)).drop(stage)
+    out = out.withColumn(out_col, clean_after_nfkd(F.col(stage), lowercase, min_len))
+    return out if stage == out_col else out.drop(stage)
 
 
 # ---------------------------------------------------------------- CLN-15..17
