@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslm.operators.order import prefix_sum
+from corpuslm.session import ensure_checkpoint_dir, prepare
 from corpuslm.operators.words import alphabet, pretokenize, word_freq, words_of
 
 
@@ -155,6 +156,7 @@ def train_bpe(freqs: DataFrame, vocab_size: int = 5000, min_frequency: int = 2,
     ``max_merges_per_round=1`` gives plain one-at-a-time training.
     """
     spark = freqs.sparkSession
+    prepare(spark)
     alpha = [r["token"] for r in alphabet(freqs).orderBy("id").collect()]
     vocab = set(alpha)
     merges: list[tuple[str, str]] = []

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from corpuslm.operators.clean import let
 from corpuslm.operators.dataset import BLOCK, blocks
+from corpuslm.session import ensure_checkpoint_dir, prepare
 
 HEX12 = float(16 ** 12)
 
@@ -142,6 +143,7 @@ def generate(prompts: DataFrame, table: DataFrame, max_tokens: int = 200, n: int
     one join each).  The context is the last n-1 tokens; an unknown or empty
     context draws from the unigram table (``ctx = []``).  Output keeps the
     prompt: ``(key, ids)``."""
+    prepare(prompts.sparkSession)
     contexts = table.select("ctx").distinct()
     state = prompts.select(key, "ids")
     for step in range(max_tokens):

@@ -17,6 +17,7 @@ from corpuslm.operators import ngram as N
 from corpuslm.operators import split as S
 from corpuslm.operators import words as W
 from corpuslm.plans import views as V
+from corpuslm.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -41,8 +42,15 @@ def memo(fn):
 
 def query(name: str):
     def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
-        return fn
+        def run(spark, sf):
+            # checkpoints go to spark.checkpoint.dir (a private folder only
+            # for a local session that has none)
+            prepare(spark)
+            return fn(spark, sf)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        REGISTRY[name] = run
+        return run
     return deco
 
 

@@ -29,10 +29,43 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpuslm`` importable in the Python workers (Arrow helpers and
+    ``mapInPandas`` nodes import it): zip the package on the driver once per
+    application and hand it to ``addPyFile``, which Spark copies to every
+    executor (the code, not data)."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="corpuslm-code-"), "corpuslm.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
+
+
+def prepare(spark: SparkSession) -> str:
+    """Everything a job needs from the session: the package on the workers
+    and a checkpoint folder."""
+    ship_package(spark)
+    return ensure_checkpoint_dir(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only a local
     session without one gets a private scratch folder (tests, bench)."""
