@@ -314,17 +314,24 @@ def encode_corpus(docs: DataFrame, merges: list[tuple[str, str]], vocab: dict[st
     broadcasts the encoded words when their measured size allows, otherwise
     a sort-merge join whose hot words AQE splits.  Per document the word
     encodings are gathered in position order (one group per document)."""
-    occ = docs.select(key, F.posexplode_outer(words_of(F.col(text_col))).alias("pos", "word"))
-    distinct = occ.filter(F.col("word").isNotNull()).select("word").distinct()
-    enc = encode_words(distinct, merges, vocab).select("word", "ids")
-    # documents without words keep one row (word NULL) and end with []
-    joined = occ.join(enc, "word", "left")
+    joined = encode_occurrences(docs, merges, vocab, key, text_col)
     per_doc = joined.groupBy(key).agg(F.sort_array(F.collect_list(
         F.when(F.col("ids").isNotNull(), F.struct("pos", "ids")))).alias("w"))
     ids = F.flatten(F.transform("w", lambda s: s.getField("ids")))
     return per_doc.select(key, F.coalesce(ids, F.array().cast("array<int>")).alias("ids"))
 
 
+def encode_occurrences(docs: DataFrame, merges: list[tuple[str, str]], vocab: dict[str, int],
+                       key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(key, pos, word, ids)``: every word occurrence with the ids of its
+    word (NULL ``word``/``ids`` for a document without words).  Distinct words
+    are encoded once and joined back; nothing is grouped per document."""
+    occ = docs.select(key, F.posexplode_outer(words_of(F.col(text_col))).alias("pos", "word"))
+    distinct = occ.filter(F.col("word").isNotNull()).select("word").distinct()
+    enc = encode_words(distinct, merges, vocab).select("word", "ids")
+    return occ.join(enc, "word", "left")
+
+
 def decode(tokens: DataFrame, vocab: DataFrame, key: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """TOK-14: concatenate token strings; unknown ids give ``''``; spaces are
     not restored.  The vocabulary (bounded by vocab_size) is broadcast."""

@@ -27,6 +27,27 @@ def token_stream(tokens: DataFrame, key: str = "doc_id", ids_col: str = "ids") -
     return ex.select((F.col("start") + F.col("i")).cast("long").alias("gpos"), F.col("id").cast("int").alias("id"))
 
 
+def token_stream_from_occurrences(occ: DataFrame, key: str = "doc_id") -> DataFrame:
+    """DAT-01 straight from word occurrences ``(key, pos, ids)``: no list per
+    document is ever built, so one huge document is spread like any other.
+
+    The global order (key, pos) is packed into one long ``key * W + pos``
+    (``W`` = longest document + 1, checked against overflow) and ranked by the
+    two-level prefix sum, whose key-range buckets then cut a large document
+    into several buckets."""
+    o = occ.filter(F.col("ids").isNotNull()).select(key, "pos", F.size("ids").cast("long").alias("n"), "ids")
+    st = o.agg(F.max("pos").alias("mp"), F.max(key).alias("mk"), F.min(key).alias("lo")).first()
+    if st["mp"] is None:
+        return occ.sparkSession.createDataFrame([], "gpos bigint, id int")
+    width = int(st["mp"]) + 1
+    if (int(st["mk"]) - int(st["lo"]) + 1) * width >= 2 ** 62:
+        raise ValueError("document keys too wide to pack with positions; rank documents first")
+    packed = o.withColumn("__o", (F.col(key) - F.lit(st["lo"])) * F.lit(width) + F.col("pos"))
+    starts = prefix_sum(packed, "__o", "n", "start")
+    ex = starts.select("start", F.posexplode("ids").alias("k", "id"))
+    return ex.select((F.col("start") + F.col("k")).cast("long").alias("gpos"), F.col("id").cast("int").alias("id"))
+
+
 def blocks(stream: DataFrame, L: int, block: int = BLOCK) -> DataFrame:
     """``(blk, toks, halo)``: the tokens of each block in order and the first
     ``L`` tokens after it (from the next blocks)."""

@@ -282,7 +282,9 @@ SEED = 0
 def stream(spark, sf):
     """Token stream of all documents under the 8-merge tokenizer,
     materialised once (reliable checkpoint)."""
-    return D.token_stream(_encoded_docs(spark, sf)[1]).checkpoint()
+    m = doc_model(spark, sf)
+    occ = B.encode_occurrences(V.documents(spark, sf), m.merges, m.vocab)
+    return D.token_stream_from_occurrences(occ).checkpoint()
 
 
 @query("dat_01")
