@@ -52,7 +52,8 @@ def main() -> None:
     freqs = run("word_freq", lambda: W.word_table(V.documents(spark, sf_dir)).checkpoint())
     model = run("bpe_train", lambda: B.train_bpe(freqs, vocab_size=vocab_size))
     enc = run("encode", lambda: B.encode_corpus(V.documents(spark, sf_dir), model.merges, model.vocab).checkpoint())
-    stream = run("token_stream", lambda: D.token_stream(enc).checkpoint())
+    stream = run("token_stream", lambda: D.token_stream_from_occurrences(
+        B.encode_occurrences(V.documents(spark, sf_dir), model.merges, model.vocab)).checkpoint())
     run("windows_stride1", lambda: D.windows(stream, 64, stride=1)
         .agg(F.sum(F.col("x")[0]), F.count(F.lit(1))).collect())
     counts = run("ngram_fit", lambda: N.fit_ngram(stream, 2).checkpoint())
