@@ -24,7 +24,10 @@ def _bucket_expr(df: DataFrame, key: str, rows_per_bucket: int) -> tuple[Column,
     lo, hi, n = stats["lo"], stats["hi"], stats["n"]
     if not n:
         return F.lit(0).cast("long"), 1
-    buckets = max(1, min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)))
+    # enough buckets to keep every core busy, enough rows per bucket to bound
+    # the running-sum task, and never more than the broadcast bound
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    buckets = max(1, min(MAX_BUCKETS, n, max(math.ceil(n / rows_per_bucket), 4 * cores)))
     width = max(1, math.ceil((hi - lo + 1) / buckets))
     return F.floor((F.col(key) - F.lit(lo)) / F.lit(width)).cast("long"), buckets
 
