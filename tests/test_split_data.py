@@ -65,3 +65,15 @@ def test_lr_schedule(spark):
             exp = 3e-5 + 0.5 * (1 + math.cos(math.pi * (s - 100) / 900)) * (3e-4 - 3e-5)
         assert abs(r["lr"] - exp) < 1e-12
         assert r["epoch"] == s // 10 and r["batch"] == s % 10
+
+
+def test_stream_paths_agree(spark):
+    from conftest import SF0001
+    from corpuslm.operators import bpe as B
+    from corpuslm.operators import words as W
+    from corpuslm.plans import views as V
+    docs = V.documents(spark, SF0001)
+    m = B.train_bpe(W.word_table(docs), vocab_size=90)
+    a = D.token_stream(B.encode_corpus(docs, m.merges, m.vocab))
+    b = D.token_stream_from_occurrences(B.encode_occurrences(docs, m.merges, m.vocab))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
