@@ -50,3 +50,16 @@ WITH RECURSIVE
                UNION ALL SELECT doc_id, doc_id FROM documents WHERE text IS NULL)
 SELECT doc_id, class_id, doc_id IS NOT DISTINCT FROM class_id AS is_first FROM found
 """
+
+# whole conversations compared turn by turn, every prefix against every conversation
+ORACLES["op1_snapshot_collapse"] = """
+WITH conv AS (SELECT conv_id, list({'r': role, 'x': text} ORDER BY turn) AS t, count(*) AS n
+              FROM conversations GROUP BY conv_id),
+     kept AS (SELECT a.* FROM conv a WHERE NOT EXISTS (
+                SELECT 1 FROM conv b WHERE b.n > a.n AND list_slice(b.t, 1, a.n) = a.t)),
+     one AS (SELECT min(conv_id) AS conv_id, count(*) AS n_copies, t, n FROM kept GROUP BY t, n)
+SELECT conv_id, CAST(0 AS BIGINT) AS part, CAST(n AS BIGINT) AS n_turns, CAST(n_copies AS BIGINT) AS n_copies,
+       array_to_string(list_transform(t, lambda s: '<|im_start|>' || coalesce(s.r, '') || chr(10) || coalesce(s.x, '')
+                                                   || '<|im_end|>' || chr(10)), '') AS text
+FROM one
+"""

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslm.llm import decontam, linededup, minhash, pack, quality
+from corpuslm.llm import chat, decontam, extract, linededup, minhash, pack, pii, quality, shards, urls
 from corpuslm.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +59,38 @@ def op5_grouping_genetic(spark, sf):
 def op6_prob_minhash(spark, sf):
     """Every document's near-duplicate class."""
     return minhash.classes(table(spark, sf, "documents"))
+
+
+@query
+def op2_virtual_slots(spark, sf):
+    """Every document's shard.  The map of slots is stored, with its versions,
+    in the session's shared folder."""
+    placed, versions = shards.shard_by_bytes(table(spark, sf, "documents"))
+    path = f"{prepare(spark).rstrip('/')}/slot-map-{uuid.uuid4().hex}"
+    shards.write_map(spark, versions, path)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "vslot", F.lit(2).alias("map_version"))
+
+
+@query
+def op9_personal_data(spark, sf):
+    """Every document's personal data."""
+    return pii.report(table(spark, sf, "documents"))
+
+
+@query
+def op1_snapshot_collapse(spark, sf):
+    """Every maximal conversation, rendered."""
+    return chat.format_chats(table(spark, sf, "conversations"))
+
+
+@query
+def op3_path_templates(spark, sf):
+    """Every page's verdict."""
+    return urls.verdicts(table(spark, sf, "pages"))
+
+
+@query
+def op7_flat_blocks(spark, sf):
+    """Every page's main text."""
+    return extract.extract(table(spark, sf, "pages"))
