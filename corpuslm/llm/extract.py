@@ -131,6 +131,9 @@ LABELLED = (
     (3, 0.0, 25, 0.0, 4, 0.0, 1, 0, 1), (12, 0.5, 40, 0.0, 35, 0.0, 1, 0, 1), (1, 1.0, 30, 0.0, 30, 0.0, 1, 0, 1),
     (2, 0.0, 6, 1.0, 70, 0.0, 1, 0, 1), (25, 0.0, 5, 0.0, 9, 0.0, 1, 0, 1), (5, 0.0, 10, 0.0, 6, 0.2, 1, 0, 1),
     (110, 0.0, 80, 0.0, 5, 0.0, 1, 0, 1), (15, 0.0, 14, 0.0, 16, 0.0, 1, 0, 1),
+    (7, 0.0, 0, 0.0, 7, 0.0, 1, 0, 1), (7, 0.0, 7, 0.0, 20, 0.0, 1, 0, 1), (8, 0.0, 10, 0.0, 8, 0.0, 1, 0, 1),
+    (2, 0.0, 3, 0.0, 2, 0.0, 1, 0, 1), (4, 1.0, 2, 0.0, 5, 0.0, 1, 0, 1), (8, 0.0, 8, 0.0, 0, 0.0, 1, 0, 1),
+    (1, 0.0, 1, 0.0, 1, 0.0, 1, 0, 1), (6, 0.0, 1, 1.0, 6, 0.0, 1, 0, 1), (1, 1.0, 4, 1.0, 2, 0.0, 1, 0, 1),
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 1, 0), (1, 1.0, 1, 1.0, 10, 0.0, 0, 1, 0), (2, 1.0, 0, 0.0, 1, 1.0, 0, 1, 0),
     (10, 0.0, 1, 1.0, 8, 0.0, 0, 1, 0), (30, 0.0, 1, 1.0, 9, 0.0, 0, 1, 0), (7, 0.0, 40, 0.0, 0, 0.0, 0, 1, 0),
     (9, 0.2, 3, 0.0, 0, 0.0, 0, 1, 0), (20, 0.0, 60, 0.0, 15, 0.0, 1, 1, 0), (45, 0.0, 50, 0.0, 20, 0.0, 1, 1, 0),
