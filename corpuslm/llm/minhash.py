@@ -13,11 +13,11 @@ bucket's texts are linked to its first text only (a star), never all with all:
 1. every star pair whose registers do not rule it out is verified exactly
    (Jaccard of the shingle sets, ``threshold`` or more);
 2. verified pairs give connected components;
-3. buckets that now lie in one component are done.  Otherwise the first text
-   is done in its bucket, and the bucket goes on without it: a small bucket
-   compares the rest at once (registers only; pairs that pass are verified), a
-   large one is divided by a further band, which a similar pair shares with
-   near certainty.
+3. buckets that now lie in one component are done.  In the others the texts
+   outside the bucket's largest component (the fringe) are compared with all
+   its texts by their registers, in chunks of at most ``chunk`` texts, and the
+   pairs that pass are verified.  A bucket with a larger fringe is first divided
+   by a further band, which a similar pair shares with near certainty.
 
 So no link is lost beyond the bands' own error: at similarity 0.8 a pair of
 texts shares no band with probability (1 - 0.8**4)**24, about 3e-6.
@@ -52,8 +52,9 @@ class Params:
     threshold: float = 0.8
     bands: int = 24
     rows: int = 4
-    min_agree: float = 0.55  # registers that agree, below which a pair is ruled out (five deviations)
-    small_bucket: int = 64
+    registers: int = 192  # the first bands * rows of them form the bands, all of them rule pairs out
+    min_agree: float = 0.7  # share of registers that agree, below which a pair is ruled out (3.5 deviations)
+    chunk: int = 2048
 
 
 # ------------------------------------------------------------ signatures
@@ -113,7 +114,7 @@ def shingles(sl: vec.Slice, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def _signer(p: Params):
-    m = p.bands * p.rows
+    m = p.registers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -153,24 +154,39 @@ def _likely(p: Params):
     """Rows (a, b, sig of a, sig of b): those that are not ruled out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ok = _agree(_rows_of(b.column(2), p.bands * p.rows), _rows_of(b.column(3), p.bands * p.rows))
+            ok = _agree(_rows_of(b.column(2), p.registers), _rows_of(b.column(3), p.registers))
             yield b.filter(pa.array(ok >= p.min_agree)).select(["a", "b"])
     return run
 
 
-def _small(p: Params):
-    """Rows (nodes, sigs, comps) of small buckets: pairs of different
-    components that are not ruled out."""
+def _fringe_pairs(p: Params):
+    """Rows (items, band) of one chunk each: pairs of a fringe text and a text
+    of the chunk, of different components, that are not ruled out.  A pair that
+    shares several bands is given by the first of them only (band -1: by any)."""
+    def first_shared(same: np.ndarray) -> np.ndarray:
+        whole = same[:, : p.bands * p.rows].reshape(-1, p.rows, p.bands).all(axis=1)
+        return np.where(whole.any(axis=1), whole.argmax(axis=1), -1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             a_out, b_out = [], []
-            for items in b.column(0).to_pylist():
-                sig = np.frombuffer(b"".join(x["sig"] for x in items), dtype=np.uint16).reshape(len(items), -1)
-                for i in range(len(items) - 1):
-                    for j in (np.flatnonzero(_agree(sig[i + 1:], sig[i]) >= p.min_agree) + i + 1).tolist():
-                        if items[i]["comp"] != items[j]["comp"]:
-                            a_out.append(items[i]["node"])
-                            b_out.append(items[j]["node"])
+            for items, band in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                own = [x for x in items if x["own"]]
+                if not own:
+                    continue
+                sig = np.frombuffer(b"".join(x["sig"] for x in own), dtype=np.uint16).reshape(len(own), -1)
+                for x in items:
+                    if not x["fringe"]:
+                        continue
+                    mine = np.frombuffer(x["sig"], dtype=np.uint16)
+                    same = sig == mine
+                    near = same.mean(axis=1) >= p.min_agree
+                    if band >= 0:
+                        near &= first_shared(same) == band
+                    for k in np.flatnonzero(near).tolist():
+                        if own[k]["comp"] != x["comp"] and not (own[k]["fringe"] and own[k]["node"] < x["node"]):
+                            a_out.append(x["node"])
+                            b_out.append(own[k]["node"])
             yield pa.RecordBatch.from_arrays([pa.array(a_out, type=pa.binary()), pa.array(b_out, type=pa.binary())],
                                              names=["a", "b"])
     return run
@@ -252,41 +268,52 @@ def similar_nodes(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
         F.col("b.key").alias("key"), F.col("b.no").alias("no"), "node")
     sigs, texts = nodes.select("node", "sig", "bands"), None
     links, comp = None, None
+    top = True
     while True:
-        # buckets of two or more, with their first text
-        heads = rows.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        rows = rows.join(heads, "key").select("key", "no", "node", "head", "n").checkpoint()
+        # buckets of two or more, with their heads
+        size = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        rows = rows.join(size, "key").checkpoint()
         if rows.isEmpty():
             break
+        score = rows.groupBy("node").agg(F.sum("n").alias("score"))
+        heads = rows.join(score, "node").groupBy("key").agg(F.max(F.struct("score", "node")).alias("head")).select(
+            "key", F.col("head.node").alias("head"))
+        rows = rows.join(heads, "key").checkpoint()
         if texts is None:
             # texts of the nodes that share a bucket, one row each, by the node's least doc_id
             wanted = (nodes.join(rows.select("node").distinct(), "node")
                       .select(F.col("node").alias("__node"), F.col("doc_id").alias("__id")))
             texts = (d.join(wanted, (F.col("node") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__id")))
                      .dropDuplicates(["node", "doc_id"]).select("node", "text").checkpoint())
-        star = rows.filter("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-        # a text has a head in each band, mostly the same few: one of them first, then those that are still apart
-        for pairs in (star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), star):
-            if comp is not None:
-                pairs = _across(pairs, comp)
-            new = _verified(_plausible(pairs, sigs, p), texts, p)
-            links = (new if links is None else links.unionByName(new)).checkpoint()
-            comp = components(links).checkpoint()
-        # buckets that still hold several components, without their heads
-        tagged = rows.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        open_ = (tagged.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-                 .filter("c0 != c1").select("key"))
-        left = tagged.filter("node != head").join(open_, "key").checkpoint()
-        some = left.filter(F.col("n") - 1 <= p.small_bucket)
-        listed = (some.join(sigs.select("node", "sig"), "node").groupBy("key")  # at most small_bucket rows each
-                  .agg(F.collect_list(F.struct("node", "sig", "comp")).alias("items"))
-                  .filter(F.size("items") > 1).select("items"))
-        pairs = listed.mapInArrow(_small(p), "a binary, b binary").select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().checkpoint()
-        if not pairs.isEmpty():
-            links = links.unionByName(_verified(pairs, texts, p)).checkpoint()
-            comp = components(links).checkpoint()
-        big = left.filter(F.col("n") - 1 > p.small_bucket).join(sigs.select("node", "bands"), "node")
+        star = rows.filter("node != head").groupBy(F.col("head").alias("a"), F.col("node").alias("b")).agg(
+            F.count(F.lit(1)).alias("k")).checkpoint()
+        # a text has a head in each band, mostly the same few: the one it shares most bands with first, then
+        # those that are still in another component
+        best = star.groupBy("b").agg(F.max(F.struct("k", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+        for pairs in (best, star.select("a", "b")):
+            links, comp = _linked(pairs, links, comp, sigs, texts, p)
+        # the fringe of the buckets that still hold several components
+        tagged = (rows.withColumn("comp", F.col("node")) if comp is None else
+                  rows.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+        per = tagged.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+        most = (per.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"))
+                .filter("comps > 1").select("key", F.col("top.comp").alias("top"), F.col("top.c").alias("c")))
+        left = tagged.join(most, "key").select("key", "no", "node", "comp", "n", (F.col("comp") != F.col("top")).alias(
+            "fringe"), (F.col("n") - F.col("c")).alias("q")).checkpoint()
+        band = F.col("no") if top else F.lit(-1)  # below the top a bucket stands for several bands
+        top = False
+        few = left.filter(F.col("q") <= p.chunk).withColumn("band", band.cast("int")).join(sigs.select("node", "sig"), "node")
+        chunks = F.ceil(F.col("n") / p.chunk).cast("int")
+        mine = F.pmod(F.xxhash64("node"), chunks).cast("int")
+        where = F.when(F.col("fringe"), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(mine))
+        listed = (few.select("key", "band", "node", "comp", "sig", "fringe", mine.alias("mine"), F.explode(where).alias("at"))
+                  .groupBy("key", "at", "band").agg(F.collect_list(F.struct(  # about 2 * chunk rows at most
+                      "node", "sig", "comp", "fringe", (F.col("mine") == F.col("at")).alias("own"))).alias("items"))
+                  .select("items", "band"))
+        pairs = listed.mapInArrow(_fringe_pairs(p), "a binary, b binary").select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links, comp = _linked(pairs, links, comp, None, texts, p)
+        big = left.filter(F.col("q") > p.chunk).join(sigs.select("node", "bands"), "node")
         more = F.filter(F.transform("bands", lambda x, i: F.struct(i.alias("no"), x.alias("key"))),
                         lambda x: x["no"] > F.col("no"))
         rows = (big.withColumn("b", F.explode(more))
@@ -294,6 +321,25 @@ def similar_nodes(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     return signed, comp
 
 
+def _linked(pairs: DataFrame, links: DataFrame | None, comp: DataFrame | None, sigs: DataFrame | None,
+            texts: DataFrame, p: Params) -> tuple[DataFrame | None, DataFrame | None]:
+    """The links and components once the pairs are verified too.  Pairs that
+    are in one component already, and those that the registers rule out (if
+    given), are left out first."""
+    if comp is not None:
+        pairs = _across(pairs, comp)
+    if sigs is not None:
+        pairs = _plausible(pairs, sigs, p)
+    pairs = pairs.checkpoint()
+    if pairs.isEmpty():
+        return links, comp
+    new = _verified(pairs, texts, p).checkpoint()
+    if new.isEmpty():
+        return links, comp
+    links = new if links is None else links.unionByName(new)
+    return links, components(links).checkpoint()
+
+
 def _plausible(pairs: DataFrame, sigs: DataFrame, p: Params) -> DataFrame:
     s = sigs.select("node", "sig")
     return (pairs.join(s.withColumnsRenamed({"node": "b", "sig": "sig_b"}), "b")
