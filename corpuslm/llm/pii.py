@@ -179,8 +179,10 @@ def report(docs: DataFrame) -> DataFrame:
     the basic spans, all spans, and their least score."""
     d = find(docs.select("doc_id", "text"))
     basic = [no for no, k in enumerate(KINDS) if k.basic]
-    count = [F.size(F.filter("__spans", lambda s, no=no: s["no"] == no)).cast("long").alias(f"n_{KINDS[no].name}")
-             for no in basic]
+
+    def of(no: int) -> Callable[[Column], Column]:
+        return lambda s: s["no"] == no
+    count = [F.size(F.filter("__spans", of(no))).cast("long").alias(f"n_{KINDS[no].name}") for no in basic]
     own = F.filter("__spans", lambda s: s["no"] <= basic[-1])
     return d.select("doc_id", *count, F.sha2(_joined(own), 256).alias("base_sha256"),
                     _joined(F.col("__spans")).alias("spans"),
