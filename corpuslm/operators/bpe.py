@@ -22,6 +22,7 @@ whole prefix.
 
 from __future__ import annotations
 
+import heapq
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -73,7 +74,8 @@ def pair_counts(state: DataFrame) -> DataFrame:
     n = F.size(s) - 1
     zipped = F.arrays_zip(F.slice(s, 1, n).alias("left"), F.slice(s, 2, n).alias("right"))
     ex = state.select("freq", "wrank", F.posexplode(zipped).alias("j", "p"))
-    first = F.shiftleft(F.col("wrank"), POS_BITS) + F.col("j")
+    first = F.when(F.col("j") < (1 << POS_BITS), F.shiftleft(F.col("wrank"), POS_BITS) + F.col("j")).otherwise(
+        F.raise_error(F.lit(f"a word of more than {1 << POS_BITS} characters cannot be ranked")))
     return ex.groupBy(F.col("p.left").alias("left"), F.col("p.right").alias("right")).agg(
         F.sum("freq").alias("n"), F.min(first).alias("first"))
 
@@ -253,32 +255,32 @@ def check_vocab(tokens: DataFrame, vocab_size: int, ids_col: str = "ids") -> Dat
 
 
 # ------------------------------------------------------------------ encode
-def encode_word_py(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
-    """TOK-11 for one word: merge the lowest-ranked adjacent pair (leftmost on
-    ties), one at a time, until no known pair is left."""
-    toks = list(word)
-    while len(toks) > 1:
-        best_i, best_rank = -1, None
-        for i in range(len(toks) - 1):
-            rk = ranks.get((toks[i], toks[i + 1]))
-            if rk is not None and (best_rank is None or rk < best_rank):
-                best_i, best_rank = i, rk
-        if best_i < 0:
-            break
-        toks[best_i:best_i + 2] = [toks[best_i] + toks[best_i + 1]]
-    return toks
-
-
-def word_ids_py(word: str, ranks: dict, vocab: dict[str, int]) -> list[int]:
-    """TOK-13: a token missing from the vocab falls back to its first
-    character's id, else it is dropped."""
-    out = []
-    for tok in encode_word_py(word, ranks):
-        if tok in vocab:
-            out.append(vocab[tok])
-        elif tok and tok[0] in vocab:
-            out.append(vocab[tok[0]])
-    return out
+def encode_word_py(word: str, ranks: dict) -> list[str]:
+    """Tokens of one word: of all neighbours the pair of lowest rank, leftmost
+    first, is joined until none has a rank.  Pieces form a linked list and
+    candidate pairs a heap, so a word of n characters takes n log n steps."""
+    piece = list(word)
+    after, before = list(range(1, len(piece) + 1)), list(range(-1, len(piece) - 1))
+    heap = []
+
+    def offer(i):
+        j = after[i] if i >= 0 else len(piece)
+        if j < len(piece) and (rank := ranks.get((piece[i], piece[j]))) is not None:
+            heapq.heappush(heap, (rank, i, piece[i], piece[j]))
+
+    for i in range(len(piece)):
+        offer(i)
+    while heap:
+        _, i, left, right = heapq.heappop(heap)
+        j = after[i]
+        if piece[i] != left or j >= len(piece) or piece[j] != right:
+            continue  # one of the two has been joined meanwhile
+        piece[i], piece[j], after[i] = left + right, "", after[j]
+        if after[j] < len(piece):
+            before[after[j]] = i
+        offer(before[i])
+        offer(i)
+    return [p for p in piece if p]
 
 
 def encode_words(words: DataFrame, merges: list[tuple[str, str]], vocab: dict[str, int],

@@ -76,7 +76,7 @@ def windows(stream: DataFrame, L: int, stride: int = 1, block: int = BLOCK) -> D
     window starts i = 0, stride, 2*stride, ... < N - L; ``win_id = i // stride``.
     Stride 1 is the reference's dataset (L-fold data); ``stride = L`` gives
     disjoint windows."""
-    block = max(block, L) // stride * stride or stride
+    block = -(-max(block, L) // stride) * stride  # whole strides, at least L tokens; `blocks` takes it as it is
     n = stream.count()
     last_start = n - L - 1  # inclusive
     if last_start < 0:
@@ -115,15 +115,15 @@ def shuffle_batches(win_ids: DataFrame, batch_size: int = 32, epochs: int = 1, s
     w = w.withColumn("h", _hash_key(seed, F.col("epoch"), F.col("win_id")))
     n = w.count()
     buckets = max(1, math.ceil(n / rows_per_bucket))
-    # first 12 hex digits spread uniformly over [0, 16**12)
-    hnum = F.conv(F.substring("h", 1, 12), 16, 10).cast("long")
-    w = w.withColumn("hb", (hnum * buckets / float(16 ** 12)).cast("long"))
+    # first 8 hex digits spread uniformly over [0, 2**32); the product stays in a long up to 2**31 buckets
+    hnum = F.conv(F.substring("h", 1, 8), 16, 10).cast("long")
+    w = w.withColumn("hb", F.shiftright(hnum * F.lit(buckets).cast("long"), 32))
     totals = w.groupBy("epoch", "hb").agg(F.count(F.lit(1)).alias("c"))
     wb = Window.partitionBy("epoch").orderBy("hb").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("epoch", "hb", F.coalesce(F.sum("c").over(wb), F.lit(0)).alias("base"))
     wl = Window.partitionBy("epoch", "hb").orderBy("h", "win_id")
     local = w.withColumn("r", F.row_number().over(wl) - 1)
-    ranked = local.join(F.broadcast(bases), ["epoch", "hb"])
+    ranked = local.join(bases, ["epoch", "hb"])
     rank = F.col("base") + F.col("r")
     return ranked.select("epoch", F.floor(rank / batch_size).cast("long").alias("batch"), "win_id")
 

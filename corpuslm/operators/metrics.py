@@ -42,17 +42,18 @@ def eval_points(log: DataFrame, every: int = 500) -> DataFrame:
 
 def mark_best(evals: DataFrame, loss_col: str = "val_loss") -> DataFrame:
     """MET-03: strictly lower than every earlier evaluation of the run; a NaN
-    never wins (Spark orders NaN above every number, so ``NaN < x`` is false
-    and a NaN never becomes the running minimum ahead of a number)."""
-    prev = F.min(loss_col).over(_by_run().rowsBetween(Window.unboundedPreceding, -1))
-    best = F.col(loss_col) < F.coalesce(prev, F.lit(float("inf")))
+    never wins and is no earlier evaluation either."""
+    number = F.when(~F.isnan(loss_col), F.col(loss_col))
+    prev = F.min(number).over(_by_run().rowsBetween(Window.unboundedPreceding, -1))
+    best = number < F.coalesce(prev, F.lit(float("inf")))
     return evals.withColumn("is_best", F.coalesce(best, F.lit(False)))
 
 
 def best_checkpoint(evals: DataFrame, loss_col: str = "val_loss") -> DataFrame:
     """MET-04: per run the first step holding the lowest loss (one
-    aggregate, partial per task)."""
-    key = F.struct(F.col(loss_col), F.col(STEP))
+    aggregate, partial per task).  A NaN is no loss; a run that has nothing
+    else has no best checkpoint (nulls)."""
+    key = F.when(~F.isnan(loss_col), F.struct(F.col(loss_col), F.col(STEP)))
     return evals.groupBy(RUN).agg(F.min(key).alias("b")).select(
         RUN, F.col("b." + STEP).alias("best_step"), F.col("b." + loss_col).alias("best_loss"))
 

@@ -275,8 +275,8 @@ SELECT l AS "left", r AS "right", n, CAST(first // 1048576 AS BIGINT) AS first_w
        CAST(first % 1048576 AS BIGINT) AS first_j FROM p"""))
 _reg("tok_06", with_([CTE_WORDS, CTE_FREQ, CTE_RANKED, f"p AS ({pairs_sql('ranked')})"],
                      'SELECT l AS "left", r AS "right", n FROM p ORDER BY n DESC, first ASC LIMIT 1'))
-_reg("tok_07", with_([CTE_WORDS, CTE_FREQ, CTE_RANKED, f"p AS ({pairs_sql('ranked')})",
-                      "b AS (SELECT l, r FROM p ORDER BY n DESC, first ASC LIMIT 1)"],
+_reg("tok_07", with_([CTE_WORDS, CTE_FREQ, CTE_RANKED, f"p AS MATERIALIZED ({pairs_sql('ranked')})",
+                      "b AS MATERIALIZED (SELECT l, r FROM p ORDER BY n DESC, first ASC LIMIT 1)"],
                      f"SELECT word, string_split(trim({merge_sym('sym', 'b')}), '  ') AS symbols FROM ranked, b"))
 _reg("tok_08", with_(train_ctes(), 'SELECT rank, "left", "right" FROM merges'))
 _reg("tok_10", with_(train_ctes(), "SELECT token, id FROM vocab"))

@@ -38,8 +38,8 @@ def read_extracted(spark: SparkSession, directory: str, glob: str = "wiki_*") ->
     blocks = raw.select(F.explode(F.regexp_extract_all("value", F.lit(DOC_BLOCK), 0)).alias("text"))
 
     def attr(name):
-        return F.regexp_extract("text", name + r'="([^"]*)"', 1)
-    return blocks.select(attr("id").cast("long").alias("doc_id"), attr("url").alias("url"),
+        return F.regexp_extract("text", r'^<doc\s[^>]*?\b' + name + r'="([^"]*)"', 1)
+    return blocks.select(attr("id").try_cast("long").alias("doc_id"), attr("url").alias("url"),
                          attr("title").alias("title"), "text")
 
 

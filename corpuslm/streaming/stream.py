@@ -30,8 +30,10 @@ def read_table_stream(spark: SparkSession, sf_dir: str, table: str, files_per_tr
     """A parquet table as an unbounded source (schema taken from the files)."""
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
     schema = spark.read.parquet(path).schema
+    # a stream's path must be a directory or a pattern; this pattern names the
+    # table exactly, whether it is one file or a folder of part files
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-                 .option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir))
+                 .parquet(path.removesuffix("t") + "[t]"))
 
 
 def run_available(df: DataFrame, name: str, mode: str = "append", foreach_batch=None) -> str:

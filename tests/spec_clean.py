@@ -1,36 +1,58 @@
-"""The cleaning rules written out in plain Python from the specification
-(SURVEY §2.2), used to fuzz the Spark implementation."""
+"""A line machine for the cleaning rules: the text is cut into lines once and
+lines pass a chain of generators.  Fuzzes the column expressions, which work
+on whole texts."""
 
 from __future__ import annotations
 
-import re
 import unicodedata
+from itertools import groupby
+
+
+def _untagged(text):
+    out = ""
+    while (i := text.find("<doc")) >= 0:
+        j = text.find(">", i)
+        tag = j >= 0 and text[i + 4].isspace()
+        out += text[:i] if tag else text[: i + 1]
+        text = text[j + 1:] if tag else text[i + 1:]
+    return "".join((out + text).split("</doc>"))
+
+
+def _is_url(line):
+    head, sep, rest = line.partition("://")
+    return bool(sep) and head in ("http", "https") and rest != "" and not any(c.isspace() for c in rest)
+
+
+def _unrepeated(lines):
+    shown = None
+    for blank, run in groupby(lines, key=lambda x: x.strip() == "" or _is_url(x)):
+        if blank:
+            yield ""
+            continue
+        for line in run:
+            if line.strip() != shown:
+                shown = line.strip()
+                yield line
+
+
+def _plain(line):
+    kept = [c for c in unicodedata.normalize("NFKD", line) if c == "\t" or not unicodedata.category(c).startswith("C")]
+    return "".join(c for i, c in enumerate(kept) if c != " " or i == 0 or kept[i - 1] != " ")
 
 
 def spec_clean(text: str, lowercase: bool = False) -> str:
-    text = re.sub(r"<doc\s+[^>]*>", "", text)
-    text = text.replace("</doc>", "")
-    text = re.sub(r"^https?://[^\s]+$", "", text, flags=re.MULTILINE)
-    text = re.sub(r"^\s*$", "", text, flags=re.MULTILINE)
-    kept, last = [], None
-    for line in text.split("\n"):
-        key = line.strip()
-        if not key:
-            kept.append("")
-        elif last is None or key != last:
-            kept.append(line)
-            last = key
-    text = unicodedata.normalize("NFKD", "\n".join(kept))
-    text = "".join(c for c in text if c in "\n\t" or unicodedata.category(c)[0] != "C")
-    text = re.sub(r" +", " ", text)
-    text = re.sub(r"\n{3,}", "\n\n", text)
-    lines = [l.strip() for l in text.split("\n")]
-    text = "\n".join(l for l in lines if len(l) == 0 or len(l) >= 10)
-    if lowercase:
-        text = text.lower()
-    return text.strip()
+    lines = [_plain(x) for x in _unrepeated(_untagged(text).split("\n"))]
+    short = []
+    for empty, run in groupby(lines, key=lambda x: x == ""):
+        run = list(run)
+        short += run[:1] if empty else run
+    kept = [x.strip() for x in short if x.strip() == "" or len(x.strip()) >= 10]
+    done = "\n".join(kept)
+    return (done.lower() if lowercase else done).strip()
 
 
 def spec_split(text: str, ratio: float = 0.9):
-    cut = text.rfind("\n", 0, int(len(text) * ratio))
+    size = int(len(text) * ratio)
+    before = [i for i, c in enumerate(text[:size]) if c == "\n"]
+    cut = before[-1] if before else -1
     return text[:cut], text[cut:]
