@@ -151,11 +151,11 @@ def _rows_of(col: pa.Array, width: int) -> np.ndarray:
 
 
 def _likely(p: Params):
-    """Rows (a, b, sig of a, sig of b): those that are not ruled out."""
+    """Rows (a, b, sig of a, sig of b, k): those that are not ruled out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = _agree(_rows_of(b.column(2), p.registers), _rows_of(b.column(3), p.registers))
-            yield b.filter(pa.array(ok >= p.min_agree)).select(["a", "b"])
+            yield b.filter(pa.array(ok >= p.min_agree)).select(["a", "b", "k"])
     return run
 
 
@@ -228,32 +228,51 @@ def _verified(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
 
 
 # ------------------------------------------------------------ components
-def components(links: DataFrame) -> DataFrame:
-    """``(node, comp)`` of every node of the links (a, b): alternating large
-    and small stars until nothing changes; a node's rows are aggregated
-    before they are shuffled, so a hub costs one row per task."""
+LINKS_PER_TASK = 200_000
+
+
+def components(links: DataFrame, n: int) -> DataFrame:
+    """``(node, comp)`` of every node of the ``n`` links (a, b): alternating
+    large and small stars until each component is one star; a node's rows are
+    aggregated before they are shuffled, so a hub costs one row per task.  The
+    number of tasks follows the number of links, which never grows."""
+    tasks = max(links.sparkSession.sparkContext.defaultParallelism, n // LINKS_PER_TASK + 1)
     e = links.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).filter("lo != hi").distinct()
-    e = e.checkpoint()
-    before = None
+    e = e.coalesce(tasks).checkpoint()
     while True:
+        ends = e.select(F.col("lo").alias("u"), F.lit(0).alias("up")).unionByName(
+            e.select(F.col("hi").alias("u"), F.lit(1).alias("up")))
+        # no star yet: a node below several others, or between two
+        if ends.groupBy("u").agg(F.sum("up").alias("up"), F.min("up").alias("least")).filter(
+                "up > 1 or (up > 0 and least = 0)").isEmpty():
+            break
         both = e.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionByName(
             e.select(F.col("hi").alias("u"), F.col("lo").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.join(least, "u").filter(F.col("v") > F.col("u"))
-                 .select(F.col("m").alias("lo"), F.col("v").alias("hi")).filter("lo != hi").distinct())
+                 .select(F.col("m").alias("lo"), F.col("v").alias("hi")).filter("lo != hi")
+                 .coalesce(tasks).distinct().coalesce(tasks))
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(least, "hi")
+        small = large.join(least, "hi").coalesce(tasks)
         e = (small.select(F.col("m").alias("lo"), "hi").unionByName(
             small.select(F.col("m").alias("lo"), F.col("lo").alias("hi")))
-            .filter("lo != hi").distinct().checkpoint())
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
+            .filter("lo != hi").distinct().coalesce(tasks).checkpoint())
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("comp")).unionByName(
         e.select(F.col("lo").alias("node"), F.col("lo").alias("comp")).distinct())
 
 
+def _merged(comp: DataFrame | None, links: DataFrame, n: int) -> DataFrame:
+    """The components once ``n`` more links hold: only the components that the
+    links touch are joined into larger ones."""
+    if comp is None:
+        return components(links, n).checkpoint()
+    named = _named(links, comp).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+    over = components(named, n)
+    renamed = over.select(F.col("node").alias("comp"), F.col("comp").alias("root"))
+    old = comp.join(renamed, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp"))
+    return old.unionByName(over.join(comp.select("node"), "node", "left_anti")).checkpoint()
+
+
 def similar_nodes(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     """The signed rows (doc_id, node, ...) and the components of the nodes
     that have a partner."""
@@ -266,8 +285,7 @@ def similar_nodes(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     alone = F.transform("bands", lambda x, i: F.struct(i.alias("no"), x.alias("key")))
     rows = nodes.select("node", F.explode(alone).alias("b")).select(
         F.col("b.key").alias("key"), F.col("b.no").alias("no"), "node")
-    sigs, texts = nodes.select("node", "sig", "bands"), None
-    links, comp = None, None
+    sigs = texts = comp = None
     top = True
     while True:
         # buckets of two or more, with their heads
@@ -280,18 +298,19 @@ def similar_nodes(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
             "key", F.col("head.node").alias("head"))
         rows = rows.join(heads, "key").checkpoint()
         if texts is None:
-            # texts of the nodes that share a bucket, one row each, by the node's least doc_id
-            wanted = (nodes.join(rows.select("node").distinct(), "node")
-                      .select(F.col("node").alias("__node"), F.col("doc_id").alias("__id")))
+            # signatures and texts of the nodes that share a bucket, one row each, by the node's least doc_id
+            sigs = nodes.join(rows.select("node").distinct(), "node").select("node", "doc_id", "sig", "bands").checkpoint()
+            wanted = _listed(sigs.select(F.col("node").alias("__node"), F.col("doc_id").alias("__id")))
             texts = (d.join(wanted, (F.col("node") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__id")))
                      .dropDuplicates(["node", "doc_id"]).select("node", "text").checkpoint())
         star = rows.filter("node != head").groupBy(F.col("head").alias("a"), F.col("node").alias("b")).agg(
-            F.count(F.lit(1)).alias("k")).checkpoint()
+            F.count(F.lit(1)).alias("k"))
+        star = _plausible(star, sigs, p).checkpoint()
         # a text has a head in each band, mostly the same few: the one it shares most bands with first, then
         # those that are still in another component
         best = star.groupBy("b").agg(F.max(F.struct("k", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
         for pairs in (best, star.select("a", "b")):
-            links, comp = _linked(pairs, links, comp, sigs, texts, p)
+            comp = _linked(pairs, comp, texts, p)
         # the fringe of the buckets that still hold several components
         tagged = (rows.withColumn("comp", F.col("node")) if comp is None else
                   rows.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
@@ -312,7 +331,7 @@ def similar_nodes(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
                   .select("items", "band"))
         pairs = listed.mapInArrow(_fringe_pairs(p), "a binary, b binary").select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links, comp = _linked(pairs, links, comp, None, texts, p)
+        comp = _linked(pairs, comp, texts, p)
         big = left.filter(F.col("q") > p.chunk).join(sigs.select("node", "bands"), "node")
         more = F.filter(F.transform("bands", lambda x, i: F.struct(i.alias("no"), x.alias("key"))),
                         lambda x: x["no"] > F.col("no"))
@@ -321,38 +340,42 @@ def similar_nodes(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     return signed, comp
 
 
-def _linked(pairs: DataFrame, links: DataFrame | None, comp: DataFrame | None, sigs: DataFrame | None,
-            texts: DataFrame, p: Params) -> tuple[DataFrame | None, DataFrame | None]:
-    """The links and components once the pairs are verified too.  Pairs that
-    are in one component already, and those that the registers rule out (if
-    given), are left out first."""
+LISTED_ROWS = 200_000  # of two short columns: some 10 MB
+
+
+def _listed(ids: DataFrame) -> DataFrame:
+    """``ids`` (a checkpointed list of nodes and doc_ids), sent to all tasks if
+    its counted rows are few; else both sides of a join are shuffled."""
+    return F.broadcast(ids) if ids.count() <= LISTED_ROWS else ids
+
+
+def _linked(pairs: DataFrame, comp: DataFrame | None, texts: DataFrame, p: Params) -> DataFrame | None:
+    """The components once the pairs are verified too.  Pairs that are in one
+    component already are left out first."""
     if comp is not None:
-        pairs = _across(pairs, comp)
-    if sigs is not None:
-        pairs = _plausible(pairs, sigs, p)
+        pairs = _named(pairs, comp).filter("c_a != c_b").select("a", "b")
     pairs = pairs.checkpoint()
     if pairs.isEmpty():
-        return links, comp
+        return comp
     new = _verified(pairs, texts, p).checkpoint()
-    if new.isEmpty():
-        return links, comp
-    links = new if links is None else links.unionByName(new)
-    return links, components(links).checkpoint()
+    n = new.count()
+    return _merged(comp, new, n) if n else comp
 
 
 def _plausible(pairs: DataFrame, sigs: DataFrame, p: Params) -> DataFrame:
+    """The pairs (a, b, k) that their registers do not rule out."""
     s = sigs.select("node", "sig")
     return (pairs.join(s.withColumnsRenamed({"node": "b", "sig": "sig_b"}), "b")
             .join(s.withColumnsRenamed({"node": "a", "sig": "sig_a"}), "a")
-            .select("a", "b", "sig_a", "sig_b").mapInArrow(_likely(p), "a binary, b binary"))
+            .select("a", "b", "sig_a", "sig_b", "k").mapInArrow(_likely(p), "a binary, b binary, k long"))
 
 
-def _across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
-    """Without the pairs that are already in one component."""
+def _named(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs with their components ``c_a`` and ``c_b``."""
     for side in ("a", "b"):
         c = comp.withColumnsRenamed({"node": side, "comp": f"c_{side}"})
         pairs = pairs.join(c, side, "left").withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
-    return pairs.filter("c_a != c_b").select("a", "b")
+    return pairs
 
 
 def classes(docs: DataFrame, params: Params = Params()) -> DataFrame:

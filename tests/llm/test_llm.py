@@ -152,6 +152,25 @@ def test_near_duplicates(docs):
     assert minhash.classes(docs.limit(0)).count() == 0
 
 
+def test_components_grow_by_further_links(spark):
+    rng = random.Random(4)
+    links = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(55)] + [(k, k + 1) for k in range(100, 130)]
+    rng.shuffle(links)
+    group = {x: x for link in links for x in link}
+    comp = None
+    for part in (links[:40], links[40:60], links[60:]):
+        comp = minhash._merged(comp, spark.createDataFrame(part, "a int, b int"), len(part))
+        for a, b in part:
+            group = {x: group[a] if g == group[b] else g for x, g in group.items()}
+        got = {}
+        for r in comp.collect():
+            got.setdefault(r["comp"], []).append(r["node"])
+        want = {}
+        for x, g in group.items():
+            want.setdefault(g, []).append(x)
+        assert sorted(sorted(x) for x in got.values()) == sorted(sorted(x) for x in want.values() if len(x) > 1)
+
+
 def test_prob_minhash_estimates_probability_jaccard():
     n, m = 400, 4096
     elem = vec.mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(77))
