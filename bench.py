@@ -22,7 +22,7 @@ def main() -> None:
     vocab_size = int(os.environ.get("BENCH_VOCAB", "1000"))
     from pyspark.sql import functions as F
 
-    from corpuslm.operators import bpe as B
+    from corpuslm.operators import bpe as B  # noqa: I001
     from corpuslm.operators import clean as C
     from corpuslm.operators import dataset as D
     from corpuslm.operators import metrics as M
@@ -52,9 +52,9 @@ def main() -> None:
     freqs = run("word_freq", lambda: W.word_table(V.documents(spark, sf_dir)).checkpoint())
     model = run("bpe_train", lambda: B.train_bpe(freqs, vocab_size=vocab_size))
     enc = run("encode", lambda: B.encode_corpus(V.documents(spark, sf_dir), model.merges, model.vocab).checkpoint())
-    stream = run("token_stream", lambda: D.token_stream(enc).checkpoint())
-    run("windows_stride1", lambda: D.windows(stream, 64, stride=1)
-        .agg(F.sum(F.col("x")[0]), F.count(F.lit(1))).collect())
+    stream = run("token_stream", lambda: D.token_runs(enc).checkpoint())
+    run("token_stream_rows", lambda: sink(D.token_stream(enc)))
+    run("windows_stride1", lambda: sink(D.windows(stream, 64, stride=1)))
     counts = run("ngram_fit", lambda: N.fit_ngram(stream, 2).checkpoint())
     run("ngram_loss", lambda: N.cross_entropy(counts, N.ngram_pairs(stream, 2), len(model.vocab)).collect())
     table = run("sampling_table", lambda: N.sampling_table(N.softmax(N.next_dist(counts), 0.8, 40)).checkpoint())

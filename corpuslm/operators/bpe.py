@@ -23,6 +23,7 @@ whole prefix.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -283,6 +284,14 @@ def encode_word_py(word: str, ranks: dict) -> list[str]:
     return [p for p in piece if p]
 
 
+WORDS_HELD = 1 << 18  # encoded words that a task remembers
+
+
+def _ids(tokens: list[str], vocab: dict[str, int]) -> list[int]:
+    """Ids of tokens; an unknown one gives its first character's, if known."""
+    return [vocab[t] if t in vocab else vocab[t[0]] for t in tokens if t in vocab or (t and t[0] in vocab)]
+
+
 def encode_words(words: DataFrame, merges: list[tuple[str, str]], vocab: dict[str, int],
                  word_col: str = "word") -> DataFrame:
     """TOK-11/13 over a table of *distinct* words: ``(word, tokens, ids)``.
@@ -299,9 +308,7 @@ def encode_words(words: DataFrame, merges: list[tuple[str, str]], vocab: dict[st
     @F.pandas_udf(schema)
     def enc(ws: pd.Series) -> pd.DataFrame:
         toks = [encode_word_py(w, ranks) for w in ws]
-        ids = [[vocab[t] if t in vocab else vocab[t[0]] for t in ts if t in vocab or (t and t[0] in vocab)]
-               for ts in toks]
-        return pd.DataFrame({"tokens": toks, "ids": ids})
+        return pd.DataFrame({"tokens": toks, "ids": [_ids(ts, vocab) for ts in toks]})
 
     e = words.select(word_col, enc(F.col(word_col)).alias("e"))
     return e.select(word_col, F.col("e.tokens").alias("tokens"), F.col("e.ids").alias("ids"))
@@ -309,18 +316,33 @@ def encode_words(words: DataFrame, merges: list[tuple[str, str]], vocab: dict[st
 
 def encode_corpus(docs: DataFrame, merges: list[tuple[str, str]], vocab: dict[str, int],
                   key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """TOK-12: ``(key, ids)`` for every document.
-
-    Words are encoded once per *distinct* word (the reference re-encodes every
-    occurrence), then joined back to their occurrences on ``word``: Spark
-    broadcasts the encoded words when their measured size allows, otherwise
-    a sort-merge join whose hot words AQE splits.  Per document the word
-    encodings are gathered in position order (one group per document)."""
-    joined = encode_occurrences(docs, merges, vocab, key, text_col)
-    per_doc = joined.groupBy(key).agg(F.sort_array(F.collect_list(
-        F.when(F.col("ids").isNotNull(), F.struct("pos", "ids")))).alias("w"))
-    ids = F.flatten(F.transform("w", lambda s: s.getField("ids")))
-    return per_doc.select(key, F.coalesce(ids, F.array().cast("array<int>")).alias("ids"))
+    """TOK-12: ``(key, ids)`` for every document row, without any shuffle.
+
+    Words are cut by Spark; one Arrow node encodes them, each word once while
+    it stays in the task's memory of at most ``WORDS_HELD`` encoded words.  The
+    merge table is bounded by the vocabulary size and travels with the task
+    closure.  A null text has no ids."""
+    ranks = {pair: i for i, pair in enumerate(merges)}
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held: dict[str, list[int]] = {}
+
+        def ids_of(words) -> list[int]:
+            out: list[int] = []
+            for w in words if words is not None else ():
+                ids = held.get(w)
+                if ids is None:
+                    if len(held) >= WORDS_HELD:
+                        held.clear()
+                    ids = held[w] = _ids(encode_word_py(w, ranks), vocab)
+                out += ids
+            return out
+
+        for s in batches:
+            yield s.map(ids_of)
+
+    return docs.select(key, enc(words_of(F.col(text_col))).alias("ids"))
 
 
 def encode_occurrences(docs: DataFrame, merges: list[tuple[str, str]], vocab: dict[str, int],

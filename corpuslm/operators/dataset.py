@@ -54,10 +54,49 @@ def token_stream_from_occurrences(occ: DataFrame, key: str = "doc_id") -> DataFr
     return ex.select((F.col("start") + F.col("k")).cast("long").alias("gpos"), F.col("id").cast("int").alias("id"))
 
 
+def token_runs(tokens: DataFrame, key: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """The token stream as ``(start, ids)``, one row per document: what blocks
+    and windows are cut from without a row per token."""
+    starts = prefix_sum(tokens.select(key, F.size(ids_col).cast("long").alias("n")), key, "n", "start")
+    return tokens.select(key, F.col(ids_col).alias("ids")).join(starts.select(key, "start"), key).select("start", "ids")
+
+
+def _blocks_of_runs(runs: DataFrame, L: int, block: int) -> DataFrame:
+    """Blocks of ``(start, ids)`` rows: a document gives one slice per block
+    that it touches, and what lies within the first ``L`` tokens of a block goes
+    to the block before as well; one group-by brings the slices together."""
+    end = F.col("start") + F.size("ids")
+
+    def piece(blk: Column, length: int, to: Column, halo: bool) -> Column:
+        lo, hi = F.greatest(F.col("start"), blk * block), F.least(end, blk * block + length)
+        return F.struct(to.alias("blk"), F.lit(halo).alias("halo"), lo.alias("at"), F.slice(
+            "ids", (lo - F.col("start") + 1).cast("int"), F.greatest(hi - lo, F.lit(0)).cast("int")).alias("part"))
+
+    touched = F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block))
+    pieces = F.flatten(F.transform(touched, lambda k: F.array(piece(k, block, k, False), piece(k, L, k - 1, True))))
+    rows = (runs.filter(F.size("ids") > 0).select(F.explode(pieces).alias("p")).select("p.*")
+            .filter((F.size("part") > 0) & (F.col("blk") >= 0)))
+
+    def joined(halo: bool) -> Column:  # "at" orders the slices; a block holds at most block + L tokens
+        mine = F.sort_array(F.collect_list(F.when(F.col("halo") == halo, F.struct("at", "part"))))
+        return F.flatten(F.transform(mine, lambda x: x["part"]))
+    return rows.groupBy("blk").agg(joined(False).alias("toks"), joined(True).alias("halo"))
+
+
+def count_tokens(stream: DataFrame) -> int:
+    """Tokens of a stream ``(gpos, id)`` or of runs ``(start, ids)``."""
+    if "ids" in stream.columns:
+        return stream.agg(F.coalesce(F.sum(F.size("ids").cast("long")), F.lit(0))).first()[0]
+    return stream.count()
+
+
 def blocks(stream: DataFrame, L: int, block: int = BLOCK) -> DataFrame:
     """``(blk, toks, halo)``: the tokens of each block in order and the first
-    ``L`` tokens after it (from the next blocks)."""
+    ``L`` tokens after it (from the next blocks).  ``stream`` has one row per
+    token (``gpos, id``) or per document (``start, ids``, see ``token_runs``)."""
     block = max(block, L)
+    if "ids" in stream.columns:
+        return _blocks_of_runs(stream, L, block)
     b = (stream.groupBy(F.floor(F.col("gpos") / block).cast("long").alias("blk"))
                .agg(F.sort_array(F.collect_list(F.struct("gpos", "id"))).alias("s"))
                .select("blk", F.transform("s", lambda x: x.getField("id")).alias("toks")))
@@ -77,7 +116,7 @@ def windows(stream: DataFrame, L: int, stride: int = 1, block: int = BLOCK) -> D
     Stride 1 is the reference's dataset (L-fold data); ``stride = L`` gives
     disjoint windows."""
     block = -(-max(block, L) // stride) * stride  # whole strides, at least L tokens; `blocks` takes it as it is
-    n = stream.count()
+    n = count_tokens(stream)
     last_start = n - L - 1  # inclusive
     if last_start < 0:
         return stream.sparkSession.createDataFrame([], "win_id bigint, x array<int>, y array<int>")

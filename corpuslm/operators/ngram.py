@@ -41,8 +41,9 @@ def ngram_pairs(stream: DataFrame, n: int = 2, block: int = BLOCK) -> DataFrame:
 def fit_ngram(stream: DataFrame, n: int = 2) -> DataFrame:
     """LM-01: ``(ctx, next, c)``, plus the unigram counts under ``ctx = []``."""
     pairs = ngram_pairs(stream, n).groupBy("ctx", "next").agg(F.count(F.lit(1)).alias("c"))
-    uni = (stream.groupBy(F.col("id").alias("next")).agg(F.count(F.lit(1)).alias("c"))
-                 .select(F.array().cast("array<int>").alias("ctx"), "next", "c"))
+    ids = stream.select(F.explode("ids").alias("id")) if "ids" in stream.columns else stream.select("id")
+    uni = (ids.groupBy(F.col("id").alias("next")).agg(F.count(F.lit(1)).alias("c"))
+              .select(F.array().cast("array<int>").alias("ctx"), "next", "c"))
     return pairs.unionByName(uni)
 
 
@@ -66,7 +67,9 @@ def cross_entropy(counts: DataFrame, targets: DataFrame, vocab_size: int,
     ctx_tot = pair_c.groupBy("ctx").agg(F.sum("c").alias("ctx_total"))
     uni = counts.filter(F.size("ctx") == 0).select("next", F.col("c").alias("u"))
     n_tok = uni.agg(F.sum("u").alias("n_total"))
-    j = (t.join(pair_c.select("ctx", "next", "c"), ["ctx", "next"], "left")
+    # equal targets are counted before the joins: at most vocab_size ** n of them, however long the text
+    j = (t.groupBy(*group, "ctx", "next").agg(F.count(F.lit(1)).alias("times"))
+          .join(pair_c.select("ctx", "next", "c"), ["ctx", "next"], "left")
           .join(ctx_tot, "ctx", "left")
           .join(uni, "next", "left")
           .crossJoin(F.broadcast(n_tok)))  # one row
@@ -75,16 +78,18 @@ def cross_entropy(counts: DataFrame, targets: DataFrame, vocab_size: int,
                (F.coalesce("c", F.lit(0)) + a) / (F.col("ctx_total") + a * V)) \
          .otherwise((F.coalesce("u", F.lit(0)) + a) / (F.col("n_total") + a * V))
     nll = -F.log(p)
-    return j.groupBy(*group).agg(F.count(F.lit(1)).alias("n_targets"), F.avg(nll).alias("loss"))
+    n = F.coalesce(F.sum("times"), F.lit(0))
+    return j.groupBy(*group).agg(n.alias("n_targets"), F.try_divide(F.sum(nll * F.col("times")), n).alias("loss"))
 
 
 def window_targets(windows: DataFrame, n: int = 2) -> DataFrame:
     """Targets of next-token windows: for each t, context = the n-1 tokens of
     x ending at t (the bigram uses ``x[t]``), next = ``y[t]``."""
-    ex = windows.select("win_id", F.posexplode(F.arrays_zip("x", "y")).alias("t", "xy"))
     if n != 2:
         raise NotImplementedError("window targets are built for the bigram model")
-    return ex.select("win_id", "t", F.array(F.col("xy.x")).alias("ctx"), F.col("xy.y").alias("next"))
+    others = [c for c in windows.columns if c not in ("x", "y")]
+    ex = windows.select(*others, F.posexplode(F.arrays_zip("x", "y")).alias("t", "xy"))
+    return ex.select(*others, "t", F.array(F.col("xy.x")).alias("ctx"), F.col("xy.y").alias("next"))
 
 
 def estimate_loss(counts: DataFrame, eval_windows: DataFrame, vocab_size: int,
@@ -94,8 +99,7 @@ def estimate_loss(counts: DataFrame, eval_windows: DataFrame, vocab_size: int,
     and its perplexity."""
     w = eval_windows.filter(F.col("win_id") < max_batches * batch_size) \
                     .withColumn("batch", F.floor(F.col("win_id") / batch_size))
-    per = cross_entropy(counts, window_targets(w.select("win_id", "x", "y")).join(
-        w.select("win_id", "batch"), "win_id"), vocab_size, alpha, ["batch"])
+    per = cross_entropy(counts, window_targets(w.select("batch", "x", "y")), vocab_size, alpha, ["batch"])
     return per.agg(F.count(F.lit(1)).alias("n_batches"), F.avg("loss").alias("loss")) \
               .withColumn("perplexity", F.exp("loss"))
 
@@ -119,7 +123,9 @@ def sampling_table(probs: DataFrame) -> DataFrame:
     """LM-08: ``(ctx, next, lo, hi, tot)``: cumulative ranges in token order."""
     w = Window.partitionBy("ctx").orderBy("next").rowsBetween(Window.unboundedPreceding, 0)
     hi = F.sum("q").over(w)
-    t = probs.withColumn("hi", hi).withColumn("lo", F.col("hi") - F.col("q"))
+    # a range begins exactly where the one before it ends
+    lo = F.coalesce(F.lag("hi").over(Window.partitionBy("ctx").orderBy("next")), F.lit(0.0))
+    t = probs.withColumn("hi", hi).withColumn("lo", lo)
     return t.withColumn("tot", F.max("hi").over(Window.partitionBy("ctx"))).select("ctx", "next", "lo", "hi", "tot")
 
 

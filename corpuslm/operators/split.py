@@ -80,19 +80,28 @@ def split_corpus(docs: DataFrame, ratio: float = 0.9, key: str = "doc_id",
     pieces joined with ``\\n`` in key order, ``val`` likewise; the val text
     starts with the newline at the cut (carried by its first piece).
 
-    ``docs`` is read three times (lengths, the cut document, the pieces);
-    materialise it first when it is expensive (``checkpoint``)."""
+    The order is the key, so one document holds the cut: those before it are
+    train, those after it val.  Both filters compare the key with a literal
+    (pushed to the scan) and no text is joined or shuffled.  ``docs`` is read
+    three times (lengths, the cut document, the pieces); materialise it first
+    when it is expensive (``checkpoint``)."""
     offs = with_doc_offsets(docs, key, text_col)
     c = split_point(docs, offs, ratio, key, text_col)["cut"]
-    d = docs.join(offs, key)
-    start, ln, t = F.col("start"), F.col("len"), F.col(text_col)
-    train = d.filter(start <= c).select(
-        key, F.lit("train").alias("split"),
-        F.substring(t, 1, (F.least(F.lit(c) - start, ln)).cast("int")).alias(text_col))
-    val_text = F.concat(F.when(start - 1 == c, F.lit("\n")).otherwise(F.lit("")),
-                        F.substring(t, (F.greatest(F.lit(c) - start, F.lit(0)) + 1).cast("int"),
-                                    2147483647))
-    val = d.filter(start + ln > c).select(key, F.lit("val").alias("split"), val_text.alias(text_col))
+    at = offs.agg(F.max_by(F.struct(key, "start", "len"), F.when(F.col("start") <= c, F.col("start"))).alias("held"),
+                  F.min(F.when(F.col("start") > c, F.col(key))).alias("next")).first()
+    if at["held"] is None:  # no documents
+        return docs.limit(0).select(key, F.lit("train").alias("split"), F.col(text_col))
+    k, t = F.col(key), F.col(text_col)
+    held, n = at["held"][key], c - at["held"]["start"]  # n characters of the document at the cut are train
+    train = docs.filter(k <= held).select(
+        key, F.lit("train").alias("split"), F.when(k == held, F.substring(t, 1, n)).otherwise(t).alias(text_col))
+    if n < at["held"]["len"]:
+        val = docs.filter(k >= held).select(key, F.lit("val").alias("split"), F.when(
+            k == held, F.substring(t, n + 1, 2147483647)).otherwise(t).alias(text_col))
+    else:  # the cut is the newline before the next document
+        first = F.lit(False) if at["next"] is None else k == at["next"]
+        val = docs.filter(k > held).select(key, F.lit("val").alias("split"), F.when(
+            first, F.concat(F.lit("\n"), t)).otherwise(t).alias(text_col))
     return train.unionByName(val)
 
 

@@ -285,6 +285,12 @@ def stream(spark, sf):
     return D.token_stream(_encoded_docs(spark, sf)[1]).checkpoint()
 
 
+@memo
+def runs(spark, sf):
+    """The same stream with one row per document, what blocks are cut from."""
+    return D.token_runs(_encoded_docs(spark, sf)[1]).checkpoint()
+
+
 @query("dat_01")
 def dat_01(spark, sf):
     return stream(spark, sf)
@@ -292,13 +298,13 @@ def dat_01(spark, sf):
 
 @query("dat_02")
 def dat_02(spark, sf):
-    return D.windows(stream(spark, sf), CONTEXT, stride=CONTEXT)
+    return D.windows(runs(spark, sf), CONTEXT, stride=CONTEXT)
 
 
 @query("dat_02_stride1")
 def dat_02_stride1(spark, sf):
     """The reference's stride-1 dataset in full, summarised in one row."""
-    w = D.windows(stream(spark, sf), CONTEXT, stride=1)
+    w = D.windows(runs(spark, sf), CONTEXT, stride=1)
     return w.agg(F.count(F.lit(1)).alias("n_windows"),
                  F.sum(F.col("x")[0]).cast("long").alias("sum_x_first"),
                  F.sum(F.col("y")[CONTEXT - 1]).cast("long").alias("sum_y_last"),
@@ -307,13 +313,13 @@ def dat_02_stride1(spark, sf):
 
 @query("dat_03")
 def dat_03(spark, sf):
-    n = stream(spark, sf).count()
+    n = D.count_tokens(runs(spark, sf))
     return spark.createDataFrame([(n, CONTEXT, D.window_count(n, CONTEXT))],
                                  "n_tokens bigint, context_length bigint, n_windows bigint")
 
 
 def _win_ids(spark, sf):
-    return D.windows(stream(spark, sf), CONTEXT, stride=CONTEXT).select("win_id")
+    return D.windows(runs(spark, sf), CONTEXT, stride=CONTEXT).select("win_id")
 
 
 @query("dat_04")
@@ -343,14 +349,14 @@ def _r9(c):
 @memo
 def lm_model(spark, sf):
     m, _ = _encoded_docs(spark, sf)
-    return m, N.fit_ngram(stream(spark, sf), 2).checkpoint()
+    return m, N.fit_ngram(runs(spark, sf), 2).checkpoint()
 
 
 @memo
 def bench_stream(spark, sf, m=None):
     m = m or doc_model(spark, sf)
     bench = V.table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
-    return D.token_stream(B.encode_corpus(bench, m.merges, m.vocab)).checkpoint()
+    return D.token_runs(B.encode_corpus(bench, m.merges, m.vocab)).checkpoint()
 
 
 @query("lm_01")

@@ -25,17 +25,22 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
                     F.regexp_replace("value", "\r\n?", "\n").alias("text"))
 
 
-DOC_BLOCK = r"(?s)<doc" + WS + r"+[^>]*>.*?</doc>"
-
-
 def read_extracted(spark: SparkSession, directory: str, glob: str = "wiki_*") -> DataFrame:
     """SRC-02: every ``<doc id url title>`` ... ``</doc>`` block of a directory
     of extracted dump files as ``(doc_id, url, title, text)``; ``text`` keeps
-    the tags so the cleaner sees what the reference sees."""
+    the tags so the cleaner sees what the reference sees.
+
+    ``</doc>`` is the reader's record separator, so a large file is split over
+    many tasks.  No text is lost: a block that is never closed is closed before
+    the next one or at the end, and text outside blocks comes as rows without a
+    doc_id (unless it is white space only)."""
     raw = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-                .text(directory, wholetext=True)
+                .option("lineSep", "</doc>").text(directory)
                 .select(F.regexp_replace("value", "\r\n?", "\n").alias("value")))
-    blocks = raw.select(F.explode(F.regexp_extract_all("value", F.lit(DOC_BLOCK), 0)).alias("text"))
+    parts = raw.select(F.split("value", "(?=<doc" + WS + ")", -1).alias("p")).select(F.explode("p").alias("text"))
+    is_block = F.rlike("text", F.lit(r"\A<doc" + WS))
+    blocks = (parts.filter(~F.rlike("text", F.lit(r"\A" + WS + r"*\z")))
+              .select(F.when(is_block, F.concat("text", F.lit("</doc>"))).otherwise(F.col("text")).alias("text")))
 
     def attr(name):
         return F.regexp_extract("text", r'^<doc\s[^>]*?\b' + name + r'="([^"]*)"', 1)
@@ -122,7 +127,18 @@ def write_tokens(tokens: DataFrame, path: str, ids_col: str = "ids") -> None:
     check_uint16(tokens, ids_col).write.mode("overwrite").parquet(path)
 
 
+LOG_SCHEMA = "step long, train_loss double, val_loss double, lr double, time double, perplexity double"
+
+
 def write_log(lines: DataFrame, path: str) -> None:
-    """SNK-04: metric lines appended under one header."""
-    (lines.select(F.col("line").alias("value")).coalesce(1)
-          .write.mode("append").text(path))
+    """SNK-04: metric lines ``(run_id, step, line)`` appended to a CSV log, a
+    folder per run; every file carries the header."""
+    cell = F.split("line", ",")
+    names = [c.split()[0] for c in LOG_SCHEMA.split(", ")]
+    (lines.select("run_id", *[F.get(cell, F.lit(i)).alias(c) for i, c in enumerate(names)])
+          .write.mode("append").partitionBy("run_id").option("header", "true").csv(path))
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a log written by ``write_log``, with its ``run_id``."""
+    return spark.read.option("header", "true").schema(f"{LOG_SCHEMA}, run_id long").csv(path)

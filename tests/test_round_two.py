@@ -21,6 +21,51 @@ def test_windows_of_any_stride_and_block(spark):
         assert got == want, (n, L, stride, block)
 
 
+def test_windows_of_runs_equal_windows_of_tokens(spark):
+    from corpuslm.operators import dataset as D
+    from corpuslm.operators import ngram as N
+    rng = random.Random(6)
+    for _ in range(4):
+        docs = [(i, list(range(100 * i, 100 * i + rng.choice([0, 0, 1, 3, 40])))) for i in range(9)]
+        L, stride, block = rng.randint(3, 12), rng.randint(1, 9), rng.randint(1, 20)
+        runs = D.token_runs(spark.createDataFrame(docs, "doc_id long, ids array<int>")).checkpoint()
+        ids = [x for _, d in docs for x in d]
+        got = sorted((r["win_id"], r["x"], r["y"]) for r in D.windows(runs, L, stride, block).collect())
+        starts = range(0, max(0, len(ids) - L), stride)
+        assert got == [(k, ids[i:i + L], ids[i + 1:i + L + 1]) for k, i in enumerate(starts)], (docs, L, stride, block)
+        assert D.count_tokens(runs) == len(ids)
+        pairs = sorted((r["ctx"][0], r["next"]) for r in N.ngram_pairs(runs, 2, block).collect())
+        assert pairs == sorted(zip(ids, ids[1:]))
+
+
+def test_extracted_text_is_kept_whole(spark, tmp_path):
+    from corpuslm.sources import io as IO
+    (tmp_path / "wiki_0").write_text('stray one\n<doc revid="77" id="5" url="u" title="t">\nbody\n</doc>\n'
+                                     '<doc id="6" url="v" title="w">\nnever closed\n<doc id="x">\r\nlast')
+    got = sorted((r["text"], r["doc_id"]) for r in IO.read_extracted(spark, str(tmp_path)).collect())
+    assert got == [('<doc id="6" url="v" title="w">\nnever closed\n</doc>', 6), ('<doc id="x">\nlast</doc>', None),
+                   ('<doc revid="77" id="5" url="u" title="t">\nbody\n</doc>', 5), ("stray one\n", None)]
+
+
+def test_log_has_a_header_and_grows(spark, tmp_path):
+    from corpuslm.sources import io as IO
+    for k in (1, 2):
+        IO.write_log(spark.createDataFrame([(9, k, f"{k},0.5,0.25,0.00030000,1.50,{k}.0")], "run_id long, step long, line string"),
+                     str(tmp_path / "log"))
+    files = list((tmp_path / "log").glob("run_id=9/*.csv"))
+    assert len(files) == 2 and all(f.read_text().startswith("step,train_loss,val_loss,lr,time,perplexity\n") for f in files)
+    assert sorted(map(tuple, IO.read_log(spark, str(tmp_path / "log")).collect())) == [
+        (k, 0.5, 0.25, 0.0003, 1.5, float(k), 9) for k in (1, 2)]
+
+
+def test_split_and_encode_shuffle_no_text(spark):
+    from corpuslm.operators import bpe as B
+    from corpuslm.operators import split as S
+    docs = spark.createDataFrame([(i, "some text\n" * i) for i in range(9)], "doc_id long, text string")
+    for out in (S.split_corpus(docs), B.encode_corpus(docs, [("s", "o")], {"so": 0, "m": 1})):
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_many_shuffle_buckets(spark):
     from corpuslm.operators import dataset as D
     got = D.shuffle_batches(spark.range(50_000).withColumnRenamed("id", "win_id"), 32, 1, 0, rows_per_bucket=1)
