@@ -28,6 +28,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -324,8 +325,7 @@ def encode_corpus(docs: DataFrame, merges: list[tuple[str, str]], vocab: dict[st
     closure.  A null text has no ids."""
     ranks = {pair: i for i, pair in enumerate(merges)}
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def enc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[int]] = {}
 
         def ids_of(words) -> list[int]:
@@ -339,10 +339,13 @@ def encode_corpus(docs: DataFrame, merges: list[tuple[str, str]], vocab: dict[st
                 out += ids
             return out
 
-        for s in batches:
-            yield s.map(ids_of)
+        for b in batches:
+            ids = pa.array([ids_of(words) for words in b.column(1).to_pylist()], type=pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column(0), ids], names=[key, "ids"])
 
-    return docs.select(key, enc(words_of(F.col(text_col))).alias("ids"))
+    # a map node, not a function: the optimizer would copy an expression into join keys
+    schema = T.StructType([docs.schema[key], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return docs.select(key, words_of(F.col(text_col)).alias("words")).mapInArrow(enc, schema)
 
 
 def encode_occurrences(docs: DataFrame, merges: list[tuple[str, str]], vocab: dict[str, int],
