@@ -247,6 +247,15 @@ def token_report(tokens: DataFrame, docs: DataFrame, text_col: str = "text",
                     "chars", F.round(F.try_divide(F.col("chars"), F.col("tokens")), 6).alias("chars_per_token"))
 
 
+def oov_report(docs: DataFrame, vocab: dict[str, int], key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """TOK-13: ``(token, n)``, the characters of pre-tokenized words that the
+    vocabulary (bounded by vocab_size) lacks, and how often they occur."""
+    known = F.array(*[F.lit(c) for c in vocab if len(c) == 1]).cast("array<string>")
+    chars = F.split(F.array_join(words_of(F.col(text_col)), ""), "", -1)
+    ex = docs.select(F.explode(F.filter(chars, lambda c: (c != "") & ~F.array_contains(known, c))).alias("token"))
+    return ex.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
 def check_vocab(tokens: DataFrame, vocab_size: int, ids_col: str = "ids") -> DataFrame:
     """TOK-17: ids at or above the vocabulary size (possible with hand-edited
     files) and the largest id, in one aggregate."""
@@ -361,12 +370,17 @@ def encode_occurrences(docs: DataFrame, merges: list[tuple[str, str]], vocab: di
 
 def decode(tokens: DataFrame, vocab: DataFrame, key: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """TOK-14: concatenate token strings; unknown ids give ``''``; spaces are
-    not restored.  The vocabulary (bounded by vocab_size) is broadcast."""
-    ex = tokens.select(key, F.posexplode_outer(ids_col).alias("i", "id"))
-    j = ex.join(F.broadcast(vocab.select(F.col("id").cast("int").alias("id"), "token")), "id", "left")
-    piece = F.when(F.col("i").isNotNull(), F.struct("i", F.coalesce("token", F.lit("")).alias("t")))
-    agg = j.groupBy(key).agg(F.sort_array(F.collect_list(piece)).alias("s"))
-    return agg.select(key, F.array_join(F.transform("s", lambda s: s.getField("t")), "").alias("text"))
+    not restored.  The vocabulary (bounded by vocab_size) goes to all tasks as
+    one row, an array with the token of id i at place i; nothing is shuffled."""
+    top = vocab.agg(F.max("id")).first()[0]
+    ids = vocab.sparkSession.range(0 if top is None else top + 1)
+    named = ids.join(F.broadcast(vocab.select("id", "token")), "id", "left")
+    listed = named.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("token", F.lit("")).alias("t")))),
+                                   lambda s: s["t"]).alias("__tokens"))
+    place = lambda i: F.get("__tokens", i)
+    text = F.array_join(F.transform(F.coalesce(ids_col, F.array().cast("array<int>")),
+                                    lambda i: F.when(i >= 0, F.coalesce(place(i), F.lit(""))).otherwise("")), "")
+    return tokens.crossJoin(F.broadcast(listed)).select(key, text.alias("text"))  # one row
 
 
 def train_from_text(docs: DataFrame, vocab_size: int = 5000, min_frequency: int = 2,

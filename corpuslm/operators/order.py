@@ -1,15 +1,20 @@
-"""Global order without a global window: two-level prefix sums.
+"""Global order without a global window: two-level sums over key ranges.
 
 ``Window.orderBy`` without ``partitionBy`` moves every row into one task.
-Instead rows are grouped into key-range buckets; each bucket sums its rows,
-the few bucket totals are cumulated (one small window over at most
-``max_buckets`` rows, broadcast back: the bound is ours, not the data's),
-and a per-bucket running sum adds the local part.  Cost: one shuffle by
-bucket, no task ever sees more than one bucket.
+Instead rows are grouped into key-range buckets of about equal numbers of rows;
+each bucket sums its rows, the bucket totals are cumulated (one small window
+over at most ``MAX_BUCKETS`` rows, broadcast back) and a per-bucket running sum
+adds the local part.  Cost: one shuffle by bucket.
+
+The bucket borders are quantiles of the key, found by one aggregate and written
+into the plan as constants, so a task that is run again deals its rows alike.
+Rows of one key value share a bucket.  Beyond ``MAX_BUCKETS * rows_per_bucket``
+rows the buckets grow.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,30 +22,51 @@ from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 100_000
+FIRST_BORDERS = 1024  # quantiles that come with the row count; more are asked for when they are needed
+
+
+def _quantiles(key: str, parts: int) -> Column:
+    return F.percentile_approx(key, [i / parts for i in range(1, parts)], max(10_000, 10 * parts))
+
+
+def _place(key: str, borders: list[int]) -> Column:
+    """The number of ascending ``borders`` below the key, in two steps of about
+    sqrt(borders) comparisons each."""
+    step = max(1, math.isqrt(len(borders)))
+    chunks = [borders[i: i + step] for i in range(0, len(borders), step)]
+    last = [c[-1] for c in chunks if len(c) == step]
+    full = F.size(F.filter(F.from_json(F.lit(json.dumps(last)), "array<bigint>"), lambda s: s < F.col(key)))
+    mine = F.get(F.from_json(F.lit(json.dumps(chunks)), "array<array<bigint>>"), full)
+    rest = F.size(F.filter(F.coalesce(mine, F.array().cast("array<bigint>")), lambda s: s < F.col(key)))
+    return (full * step + rest).cast("long")
 
 
-def _bucket_expr(df: DataFrame, key: str, rows_per_bucket: int) -> tuple[Column, int]:
-    stats = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    lo, hi, n = stats["lo"], stats["hi"], stats["n"]
+def bucket_of(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> Column:
+    """The bucket of an integer ``key``: ascending with the key, about equal
+    numbers of rows in each."""
+    stats = df.agg(F.count(F.lit(1)).alias("n"), _quantiles(key, FIRST_BORDERS).alias("q")).first()
+    n = stats["n"]
     if not n:
-        return F.lit(0).cast("long"), 1
-    # enough buckets to keep every core busy, enough rows per bucket to bound
-    # the running-sum task, and never more than the broadcast bound
+        return F.lit(0).cast("long")
+    # enough buckets to keep every core busy, enough rows per bucket to bound the running-sum task
     cores = df.sparkSession.sparkContext.defaultParallelism
     buckets = max(1, min(MAX_BUCKETS, n, max(math.ceil(n / rows_per_bucket), 4 * cores)))
-    width = max(1, math.ceil((hi - lo + 1) / buckets))
-    return F.floor((F.col(key) - F.lit(lo)) / F.lit(width)).cast("long"), buckets
+    borders = stats["q"] or []
+    if buckets > FIRST_BORDERS:
+        borders = df.agg(_quantiles(key, buckets).alias("q")).first()["q"]
+    else:
+        borders = [borders[i * FIRST_BORDERS // buckets - 1] for i in range(1, buckets)] if borders else []
+    return _place(key, sorted({int(b) for b in borders}))
 
 
 def prefix_sum(df: DataFrame, key: str, size: Column | str, out: str = "start",
                rows_per_bucket: int = ROWS_PER_BUCKET, order: list[str] | None = None) -> DataFrame:
     """Add ``out`` = sum of ``size`` over all rows that come earlier in
-    ``order`` (default: ``[key]``).  Buckets are ranges of the numeric
+    ``order`` (default: ``[key]``).  Buckets are ranges of the integer
     ``key``, which must be the first order column; ``order`` must be unique."""
     size_col = F.col(size) if isinstance(size, str) else size
     order = order or [key]
-    bucket, _ = _bucket_expr(df, key, rows_per_bucket)
-    d = df.withColumn("__b", bucket).withColumn("__s", size_col.cast("long"))
+    d = df.withColumn("__b", bucket_of(df, key, rows_per_bucket)).withColumn("__s", size_col.cast("long"))
     totals = d.groupBy("__b").agg(F.sum("__s").alias("__t"))
     wb = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("__b", F.coalesce(F.sum("__t").over(wb), F.lit(0)).alias("__base"))
@@ -49,3 +75,17 @@ def prefix_sum(df: DataFrame, key: str, size: Column | str, out: str = "start",
     return (local.join(F.broadcast(bases), "__b")
                  .withColumn(out, (F.col("__base") + F.col("__local")).cast("long"))
                  .drop("__b", "__s", "__local", "__base"))
+
+
+def last_before(df: DataFrame, key: str, value: str, out: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Add ``out`` = the last ``value`` that is not null among the rows of
+    smaller ``key`` (a unique integer), null if there is none."""
+    d = df.withColumn("__b", bucket_of(df, key, rows_per_bucket))
+    known = F.when(F.col(value).isNotNull(), F.col(key))
+    lasts = d.groupBy("__b").agg(F.max_by(value, known).alias("__l"))
+    wb = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    bases = lasts.select("__b", F.last("__l", ignorenulls=True).over(wb).alias("__base"))
+    wl = Window.partitionBy("__b").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    local = d.withColumn("__local", F.last(value, ignorenulls=True).over(wl))
+    return (local.join(F.broadcast(bases), "__b")
+                 .withColumn(out, F.coalesce("__local", "__base")).drop("__b", "__local", "__base"))

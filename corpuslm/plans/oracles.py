@@ -11,7 +11,10 @@ from __future__ import annotations
 
 import unicodedata
 
-from corpuslm.functions.text import NOT_WS, WS, WORD_PATTERN
+# character classes, fixed values: white space, letters with numbers and the underscore
+_SPACES = (r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+WS, NOT_WS = f"[{_SPACES}]", f"[^{_SPACES}]"
+WORD_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_" + _SPACES + "]"
 
 ORACLES: dict[str, str] = {}
 
@@ -193,6 +196,18 @@ SELECT split, CAST(chars AS BIGINT) AS chars, CAST(bytes AS BIGINT) AS bytes, ro
   UNION ALL SELECT 'val', length(va), strlen(va) FROM parts
   UNION ALL SELECT 'total', length(tr) + length(va), strlen(tr) + strlen(va) FROM parts)"""))
 
+# the same with the documents joined before they are cleaned
+_JOINED = [CTE_WIKI_RAW, f"one AS (SELECT 0 AS doc_id, string_agg(text, {NL} ORDER BY doc_id) AS text FROM wiki_raw)"]
+_CORPUS = _JOINED + clean_ctes("one")
+_reg("cln_14_corpus", with_(_CORPUS + [lines_of("c_final", "fl")], "SELECT CAST(line_no AS BIGINT) AS line_no, line FROM fl"))
+_PARTS = _CORPUS + ["corpus AS (SELECT text AS t FROM c_final)"] + _SPLIT[-3:] + [
+    "parts AS MATERIALIZED (SELECT substring(t, 1, c) AS tr, substring(t, c + 1) AS va FROM sp3)"]
+_reg("spl_04_corpus", with_(_PARTS, """
+SELECT split, CAST(chars AS BIGINT) AS chars, CAST(bytes AS BIGINT) AS bytes, round(bytes / 1048576.0, 6) AS mb FROM (
+  SELECT 'train' AS split, length(tr) AS chars, strlen(tr) AS bytes FROM parts
+  UNION ALL SELECT 'val', length(va), strlen(va) FROM parts
+  UNION ALL SELECT 'total', length(tr) + length(va), strlen(tr) + strlen(va) FROM parts)"""))
+
 # ------------------------------------------------------------------ words
 CTE_WORDS = f"""words AS (
   SELECT doc_id, unnest(arr) AS word, generate_subscripts(arr, 1) - 1 AS pos
@@ -222,7 +237,7 @@ CTE_ALPHA = """alpha AS MATERIALIZED (
 
 
 def pairs_sql(src: str) -> str:
-    return f"""SELECT l, r, CAST(sum(freq) AS BIGINT) AS n, min(wrank * 1048576 + j) AS first FROM (
+    return f"""SELECT l, r, CAST(sum(freq) AS BIGINT) AS n, min({{'w': wrank, 'j': j}}) AS first FROM (
       SELECT freq, wrank, s[i] AS l, s[i + 1] AS r, i - 1 AS j FROM (
         SELECT freq, wrank, s, unnest(range(1, len(s))) AS i
         FROM (SELECT freq, wrank, string_split(trim(sym), '  ') AS s FROM {src})))
@@ -233,8 +248,8 @@ def merge_sym(e: str, m: str) -> str:
     return f"replace({e}, ' ' || {m}.l || '  ' || {m}.r || ' ', ' ' || {m}.l || {m}.r || ' ')"
 
 
-def train_ctes(k: int = EXTRA_MERGES) -> list[str]:
-    ctes = [CTE_WORDS, CTE_FREQ, CTE_RANKED, CTE_ALPHA, "w0 AS MATERIALIZED (SELECT word, freq, wrank, sym FROM ranked)"]
+def train_ctes(k: int = EXTRA_MERGES, words: str = CTE_WORDS) -> list[str]:
+    ctes = [words, CTE_FREQ, CTE_RANKED, CTE_ALPHA, "w0 AS MATERIALIZED (SELECT word, freq, wrank, sym FROM ranked)"]
     for i in range(1, k + 1):
         ctes.append(f"""b{i} AS MATERIALIZED (SELECT l, r, n FROM ({pairs_sql(f"w{i-1}")}) WHERE n >= 2
                        ORDER BY n DESC, first ASC LIMIT 1)""")
@@ -271,8 +286,7 @@ USING (doc_id)"""
 
 _reg("tok_04", with_([CTE_WORDS, CTE_FREQ], "SELECT word, string_split(word, '') AS symbols FROM freq"))
 _reg("tok_05", with_([CTE_WORDS, CTE_FREQ, CTE_RANKED, f"p AS ({pairs_sql('ranked')})"], """
-SELECT l AS "left", r AS "right", n, CAST(first // 1048576 AS BIGINT) AS first_word,
-       CAST(first % 1048576 AS BIGINT) AS first_j FROM p"""))
+SELECT l AS "left", r AS "right", n, CAST(first.w AS BIGINT) AS first_word, CAST(first.j AS BIGINT) AS first_j FROM p"""))
 _reg("tok_06", with_([CTE_WORDS, CTE_FREQ, CTE_RANKED, f"p AS ({pairs_sql('ranked')})"],
                      'SELECT l AS "left", r AS "right", n FROM p ORDER BY n DESC, first ASC LIMIT 1'))
 _reg("tok_07", with_([CTE_WORDS, CTE_FREQ, CTE_RANKED, f"p AS MATERIALIZED ({pairs_sql('ranked')})",
@@ -287,6 +301,22 @@ CTE_BENCH_WORDS = f"""bwords AS (
   FROM (SELECT item_id AS doc_id, regexp_extract_all(lower(text), {q(WORD_PATTERN)}, 0) AS arr FROM benchmark))"""
 _reg("tok_13", with_(train_ctes() + [CTE_BENCH_WORDS] + encode_ctes("bwords"),
                      ids_per_doc("(SELECT item_id AS doc_id FROM benchmark)")))
+# trained on the benchmark, applied to the documents
+_FOREIGN = train_ctes(words=CTE_BENCH_WORDS.replace("bwords AS", "words AS")) + [CTE_WORDS.replace("words AS", "dwords AS")]
+_reg("tok_13_oov", with_(_FOREIGN + encode_ctes("dwords"), ids_per_doc("documents")))
+_reg("tok_13_report", with_(_FOREIGN, """
+SELECT c AS token, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(string_split(word, '')) AS c FROM dwords)
+WHERE length(c) > 0 AND c NOT IN (SELECT token FROM alpha) GROUP BY c"""))
+# one merge a step until no pair occurs twice; the vocabulary of 5,000 is never reached
+_reg("tok_09", with_([CTE_BENCH_WORDS.replace("bwords AS", "words AS"), CTE_FREQ, CTE_RANKED, CTE_ALPHA, f"""steps AS (
+  SELECT 0 AS it, word, freq, wrank, sym FROM ranked
+  UNION ALL
+  SELECT s.it + 1, s.word, s.freq, s.wrank, {merge_sym('s.sym', 'b')} FROM steps s,
+    (SELECT l, r FROM ({pairs_sql('steps')}) WHERE n >= 2 ORDER BY n DESC, first ASC LIMIT 1) b)""",
+    "done AS MATERIALIZED (SELECT * FROM steps WHERE it = (SELECT max(it) FROM steps))"], f"""
+SELECT (SELECT count(*) FROM alpha) AS alphabet_size, (SELECT CAST(max(it) AS BIGINT) FROM done) AS num_merges,
+       CASE WHEN EXISTS (SELECT 1 FROM ({pairs_sql('done')})) THEN 'below_min_frequency' ELSE 'no_pairs' END AS stop_reason
+""").replace("WITH ", "WITH RECURSIVE ", 1))
 _reg("tok_14", with_(train_ctes() + encode_ctes("words"), """
 SELECT d.doc_id, coalesce(a.text, '') AS text FROM documents d LEFT JOIN (
   SELECT o.doc_id, string_agg(v.token, '' ORDER BY o.pos, o.k) AS text
@@ -346,7 +376,7 @@ FROM nb, range(0, 15000) t(step)"""))
 
 
 # ------------------------------------------------------------------ n-gram model
-TEMP, TOPK, TOPK_SMALL, GEN_STEPS = 0.8, 40, 5, 3
+TEMP, TOPK, TOPK_SMALL, GEN_STEPS = 0.8, 40, 5, 12
 
 
 def hexu(e: str) -> str:
@@ -497,9 +527,32 @@ SELECT doc_id, 'https://example.org/?curid=' || CAST(doc_id AS VARCHAR) AS url,
 _reg("src_03", f"SELECT * FROM ({ORACLES['spl_03']}) WHERE split = 'train'")
 ORACLES["snk_01"] = ORACLES["spl_03"]
 ORACLES["snk_02"] = ORACLES["tok_10"]
-ORACLES["src_04"] = ORACLES["tok_10"]
+ORACLES["src_04"] = ORACLES["tok_08"]
 ORACLES["snk_03"] = ORACLES["tok_12"]
-ORACLES["src_05"] = ORACLES["tok_12"]
+_reg("src_05", f"SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_ids, CAST(coalesce(list_sum(ids), 0) AS BIGINT) AS sum_ids "
+               f"FROM ({ORACLES['tok_12']})")
+
+
+# ------------------------------------------------------------------ from raw text to windows
+def _part_words(name: str, column: str) -> str:
+    return f"""{name} AS (SELECT 0 AS doc_id, unnest(arr) AS word, generate_subscripts(arr, 1) - 1 AS pos
+  FROM (SELECT regexp_extract_all(lower({column}), {q(WORD_PATTERN)}, 0) AS arr FROM parts))"""
+
+
+def _part_report(split: str, column: str, ids: str) -> str:
+    return f"""SELECT '{split}' AS split, chars, n AS tokens, round(n * 2 / 1048576.0, 6) AS size_mb,
+    round(CASE WHEN n = 0 THEN NULL ELSE chars / n END, 6) AS chars_per_token,
+    (SELECT CAST(count(DISTINCT g // {CONTEXT}) AS BIGINT) FROM s_{split} WHERE g // {CONTEXT} * {CONTEXT} < n - {CONTEXT}) AS n_windows,
+    (SELECT CAST(sum(id * (g % 9973)) AS BIGINT) FROM s_{split} WHERE g // {CONTEXT} * {CONTEXT} < n - {CONTEXT}) AS placed_ids
+  FROM (SELECT CAST(length({column}) AS BIGINT) AS chars FROM parts), (SELECT CAST(count(*) AS BIGINT) AS n FROM s_{split})"""
+
+
+_reg("pipe_01", with_(
+    _PARTS + train_ctes(words=_part_words("words", "tr")) + [_part_words("vwords", "va")] + encode_ctes("words")
+    + encode_ctes("vwords", sfx="_v") + [
+        f"""s_{split} AS MATERIALIZED (SELECT row_number() OVER (ORDER BY pos, k) - 1 AS g, CAST(id AS BIGINT) AS id
+            FROM {ids} WHERE id IS NOT NULL)""" for split, ids in (("train", "occ_ids"), ("val", "occ_ids_v"))],
+    _part_report("train", "tr", "occ_ids") + "\nUNION ALL\n" + _part_report("val", "va", "occ_ids_v")))
 
 
 def oracle_sql() -> dict[str, str]:

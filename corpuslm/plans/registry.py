@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpuslm.operators import bpe as B
 from corpuslm.operators import clean as C
+from corpuslm.operators import corpus_clean as CC
 from corpuslm.operators import dataset as D
 from corpuslm.operators import metrics as M
 from corpuslm.operators import ngram as N
@@ -109,6 +110,18 @@ def cln_17(spark, sf):
     return C.sample_lines(C.clean_corpus(V.wiki_raw(spark, sf)))
 
 
+@memo
+def joined_wiki(spark, sf):
+    """``wiki_raw`` cleaned in corpus scope, materialised once."""
+    return CC.clean_joined(V.wiki_raw(spark, sf)).checkpoint()
+
+
+@query("cln_14_corpus")
+def cln_14_corpus(spark, sf):
+    """The lines of the corpus cleaned as one text."""
+    return CC.corpus_lines(joined_wiki(spark, sf))
+
+
 # ------------------------------------------------------------------ split
 @memo
 def cleaned_wiki(spark, sf):
@@ -141,6 +154,11 @@ def spl_04(spark, sf):
     return S.split_report(S.split_corpus(cleaned_wiki(spark, sf)))
 
 
+@query("spl_04_corpus")
+def spl_04_corpus(spark, sf):
+    return S.split_report(S.split_corpus(joined_wiki(spark, sf)))
+
+
 # ------------------------------------------------------------------ words
 @query("tok_01")
 def tok_01(spark, sf):
@@ -248,6 +266,27 @@ def tok_13(spark, sf):
     return B.encode_corpus(bench, m.merges, m.vocab)
 
 
+@memo
+def bench_model(spark, sf) -> B.BPEModel:
+    """BPE over the ``benchmark`` texts with ``alphabet + EXTRA_MERGES`` tokens."""
+    bench = V.table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    freqs = W.word_table(bench).checkpoint()
+    return B.train_bpe(freqs, vocab_size=W.alphabet(freqs).count() + EXTRA_MERGES)
+
+
+@query("tok_13_oov")
+def tok_13_oov(spark, sf):
+    """The documents under the tokenizer of ``benchmark``, whose alphabet lacks
+    many of their characters."""
+    m = bench_model(spark, sf)
+    return B.encode_corpus(V.documents(spark, sf), m.merges, m.vocab)
+
+
+@query("tok_13_report")
+def tok_13_report(spark, sf):
+    return B.oov_report(V.documents(spark, sf), bench_model(spark, sf).vocab)
+
+
 @query("tok_14")
 def tok_14(spark, sf):
     m, enc = _encoded_docs(spark, sf)
@@ -339,7 +378,7 @@ def dat_06(spark, sf):
 
 
 # ------------------------------------------------------------------ n-gram model
-TEMP, TOPK, TOPK_SMALL, GEN_STEPS, ALPHA = 0.8, 40, 5, 3, 1.0
+TEMP, TOPK, TOPK_SMALL, GEN_STEPS, ALPHA = 0.8, 40, 5, 12, 1.0
 
 
 def _r9(c):
@@ -525,7 +564,7 @@ def _scratch(spark, name):
     import uuid
 
     from corpuslm.session import ensure_checkpoint_dir
-    return os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), "io", f"{name}-{uuid.uuid4().hex[:8]}")
+    return os.path.join(ensure_checkpoint_dir(spark), "io", f"{name}-{uuid.uuid4().hex[:8]}")
 
 
 @query("src_01")
@@ -576,7 +615,15 @@ def snk_02(spark, sf):
     return spark.createDataFrame(sorted(vocab.items(), key=lambda kv: kv[1]), "token string, id bigint")
 
 
-query("src_04")(snk_02)
+@query("src_04")
+def src_04(spark, sf):
+    """The merges of a tokenizer JSON file, in order."""
+    from corpuslm.sources import io as IO
+    m = doc_model(spark, sf)
+    out = _scratch(spark, "vocab")
+    IO.write_tokenizer(m.vocab_df(spark), m.merges_df(spark), out)
+    _, merges = IO.read_tokenizer(spark, out)
+    return spark.createDataFrame([(i, l, r) for i, (l, r) in enumerate(merges)], "rank bigint, left string, right string")
 
 
 @query("snk_03")
@@ -588,7 +635,43 @@ def snk_03(spark, sf):
     return IO.read_tokens(spark, out).select("doc_id", "ids")
 
 
-query("src_05")(snk_03)
+@query("src_05")
+def src_05(spark, sf):
+    """Token files read back: tokens and the sum of their ids by document."""
+    from corpuslm.sources import io as IO
+    out = _scratch(spark, "tokens")
+    IO.write_tokens(_encoded_docs(spark, sf)[1], out)
+    total = F.aggregate("ids", F.lit(0).cast("long"), lambda a, v: a + v)
+    return IO.read_tokens(spark, out).select("doc_id", F.size("ids").cast("long").alias("n_ids"), total.alias("sum_ids"))
+
+
+# ------------------------------------------------------------------ from raw text to windows
+WEIGHT = 9973  # places are weighted with their remainder, so that the sums depend on the order
+
+
+@query("pipe_01")
+def pipe_01(spark, sf):
+    """Clean (corpus scope), split, learn BPE on the train part, encode both
+    parts, two token streams, windows: a report per split."""
+    pieces = S.split_corpus(joined_wiki(spark, sf)).checkpoint()
+    train = pieces.filter("split = 'train'")
+    freqs = W.word_table(train).checkpoint()
+    m = B.train_bpe(freqs, vocab_size=W.alphabet(freqs).count() + EXTRA_MERGES)
+    out = None
+    for split in ("train", "val"):
+        part = pieces.filter(F.col("split") == split)
+        enc = B.encode_corpus(part, m.merges, m.vocab).checkpoint()
+        lengths = S.split_report(part).filter(F.col("split") == split).select("split", "chars")
+        tokens = enc.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)).cast("long").alias("tokens"))
+        w = D.windows(D.token_runs(enc).checkpoint(), CONTEXT, stride=CONTEXT)
+        placed = F.aggregate(F.transform("x", lambda v, i: v * ((F.col("win_id") * CONTEXT + i) % WEIGHT)),
+                             F.lit(0).cast("long"), lambda a, v: a + v)
+        cut = w.agg(F.count(F.lit(1)).alias("n_windows"), F.sum(placed).alias("placed_ids"))
+        one = lengths.crossJoin(tokens).crossJoin(cut).select(  # one-row frames
+            "split", "chars", "tokens", F.round(F.col("tokens") * 2 / F.lit(1048576.0), 6).alias("size_mb"),
+            F.round(F.try_divide("chars", "tokens"), 6).alias("chars_per_token"), "n_windows", "placed_ids")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def queries() -> dict[str, Query]:

@@ -1,8 +1,9 @@
 """Structured Streaming forms of the batch operators (STR-*).
 
 Sources are file streams over parquet (``maxFilesPerTrigger``); checkpoints
-and sink files go under the session's checkpoint folder, so a restarted
-query resumes where it stopped.  ``run_available`` drives a query with
+and sink files go under a fresh folder in the session's checkpoint folder, or
+under ``root``: a query started again with the same root resumes where it
+stopped.  A micro-batch that is replayed overwrites its own files.  ``run_available`` drives a query with
 ``trigger(availableNow=True)``: everything present is processed, then the
 query stops (no server, no port).
 """
@@ -23,7 +24,7 @@ from corpuslm.session import ensure_checkpoint_dir
 
 def _scratch(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.replace("file:", ""), "streams", f"{name}-{uuid.uuid4().hex[:8]}")
+    return os.path.join(base, "streams", f"{name}-{uuid.uuid4().hex[:8]}")
 
 
 def read_table_stream(spark: SparkSession, sf_dir: str, table: str, files_per_trigger: int = 1) -> DataFrame:
@@ -36,10 +37,10 @@ def read_table_stream(spark: SparkSession, sf_dir: str, table: str, files_per_tr
                  .parquet(path.removesuffix("t") + "[t]"))
 
 
-def run_available(df: DataFrame, name: str, mode: str = "append", foreach_batch=None) -> str:
+def run_available(df: DataFrame, name: str, mode: str = "append", foreach_batch=None, root: str | None = None) -> str:
     """Run a streaming query over all available input; returns its sink path."""
     spark = df.sparkSession
-    root = _scratch(spark, name)
+    root = root or _scratch(spark, name)
     out = os.path.join(root, "out")
     w = df.writeStream.option("checkpointLocation", os.path.join(root, "chk")).outputMode(mode)
     if foreach_batch is not None:
@@ -62,7 +63,7 @@ def encode_stream_sink(merges, vocab):
     operator (distinct words, join back, ordered gather) runs per batch."""
     def sink(batch: DataFrame, batch_id: int, out: str):
         enc = B.encode_corpus(batch.select("doc_id", "text"), merges, vocab)
-        enc.write.mode("append").parquet(out)
+        enc.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
     return sink
 
 
@@ -72,17 +73,17 @@ def word_count_stream(docs: DataFrame) -> DataFrame:
 
 
 def upsert_sink(keys: list[str]):
-    """Append each micro-batch's updated rows tagged with the batch id; the
+    """Write each micro-batch's updated rows to the folder of its batch id; the
     reader keeps the newest row per key (``latest``)."""
     def sink(batch: DataFrame, batch_id: int, out: str):
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
     return sink
 
 
 def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     d = spark.read.parquet(path)
-    cols = [c for c in d.columns if c not in keys and c != "_batch"]
-    agg = d.groupBy(*keys).agg(F.max_by(F.struct(*cols), "_batch").alias("v"))
+    cols = [c for c in d.columns if c not in keys and c != "batch"]
+    agg = d.groupBy(*keys).agg(F.max_by(F.struct(*cols), "batch").alias("v"))
     return agg.select(*keys, *[F.col("v." + c).alias(c) for c in cols])
 
 
