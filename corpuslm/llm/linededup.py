@@ -184,7 +184,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, noise_words: int =
     ``__n_lines`` and ``__n_cut`` (lines before, lines deleted)."""
     todo = cuts(docs, min_words, noise_words).select(
         F.col("node").alias("__node"), F.col("doc").alias("__doc"), F.col("words").alias("__words"),
-        F.col("cut").alias("__cut"))
+        F.col("cut").alias("__cut")).checkpoint()  # so that the join's stages can split a large group of copies
     d = docs.withColumn("__node", _node(F.col("text"))).join(todo, "__node", "left")
     lines = F.split("text", "\n", -1)
     copy = ((F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)) > F.col("__doc"))
