@@ -387,7 +387,8 @@ def classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
         rows = rows.join(comp, "node", "left").select("doc_id", F.coalesce("comp", "node").alias("comp"))
     else:
         rows = rows.select("doc_id", F.col("node").alias("comp"))
-    named = rows.groupBy("comp").agg(F.min("doc_id").alias("class_id"))
+    # written, so that the join's stages can split a large class
+    named = rows.groupBy("comp").agg(F.min("doc_id").alias("class_id")).checkpoint()
     out = rows.join(named, "comp").select("doc_id", "class_id")
     alone = docs.filter(F.col("text").isNull()).select("doc_id", F.col("doc_id").alias("class_id"))
     return out.unionByName(alone).withColumn("is_first", F.col("doc_id").eqNullSafe(F.col("class_id")))
