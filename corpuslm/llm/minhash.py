@@ -1,11 +1,14 @@
 """Near-duplicate classes by ProbMinHash (operator 6).
 
-A text is a weighted set of five-word shingles, the weight of a shingle being
-1 + ln(its count).  Each element sends arrivals of a Poisson process at its
-weight's rate to random registers; a register keeps the element that arrives
-first.  Arrivals come in rounds, and a round only follows the elements that can
-still be earlier than the latest register (early termination).  Two texts agree
-in a register with the probability Jaccard similarity of their weighted sets.
+A text is the set of its five-word shingles.  Each element sends arrivals of a
+Poisson process at its weight's rate to random registers; a register keeps the
+element that arrives first.  Arrivals come in rounds, and a round only follows
+the elements that can still be earlier than the latest register (early
+termination).  Two texts agree in a register with the probability Jaccard
+similarity of their weighted sets.  Every shingle weighs 1, however often it
+occurs: then that is the Jaccard similarity of the sets, which defines a link.
+(With weights that grow with the counts, a copy that repeats a passage agrees in
+any lower share of registers.)
 
 Registers are cut into bands; texts that agree in a band share a bucket.  A
 bucket's texts are linked to its first text only (a star), never all with all:
@@ -120,8 +123,8 @@ def _signer(p: Params):
         for b in batches:
             sigs, bands = [], []
             for sl in vec.slices(b.column(2)):
-                row, g, n = shingles(sl, p.words)
-                sig = prob_minhash(row, g, 1 + np.log(n), sl.rows, m)
+                row, g, _ = shingles(sl, p.words)
+                sig = prob_minhash(row, g, np.ones(len(g)), sl.rows, m)
                 some = np.bincount(row, minlength=sl.rows) > 0
                 key = np.zeros((sl.rows, p.bands), dtype=np.uint64)
                 for j in range(p.rows):
