@@ -18,9 +18,10 @@ bucket's texts are linked to its first text only (a star), never all with all:
 2. verified pairs give connected components;
 3. buckets that now lie in one component are done.  In the others the texts
    outside the bucket's largest component (the fringe) are compared with all
-   its texts by their registers, in chunks of at most ``chunk`` texts, and the
-   pairs that pass are verified.  A bucket with a larger fringe is first divided
-   by a further band, which a similar pair shares with near certainty.
+   its texts by their registers, and the pairs that pass are verified.  Fringe
+   and bucket are dealt into chunks of about ``chunk`` texts, and each chunk of
+   the one meets each chunk of the other in a task of its own, so that a bucket
+   of any size is compared whole.  The work is fringe times bucket.
 
 So no link is lost beyond the bands' own error: at similarity 0.8 a pair of
 texts shares no band with probability (1 - 0.8**4)**24, about 3e-6.
@@ -126,11 +127,11 @@ def _signer(p: Params):
                 row, g, _ = shingles(sl, p.words)
                 sig = prob_minhash(row, g, np.ones(len(g)), sl.rows, m)
                 some = np.bincount(row, minlength=sl.rows) > 0
+                low = sig.astype(np.uint16)  # 16 bits of each register are enough to rule pairs out
                 key = np.zeros((sl.rows, p.bands), dtype=np.uint64)
-                for j in range(p.rows):
-                    key = vec.mix(key + sig[:, j * p.bands: (j + 1) * p.bands])
+                for j in range(p.rows):  # of the same bits, so that the bands that two texts share show in their sigs
+                    key = vec.mix(key + low[:, j * p.bands: (j + 1) * p.bands].astype(np.uint64))
                 key = vec.mix(key + np.arange(p.bands, dtype=np.uint64)).view(np.int64)
-                low = sig.astype(np.uint16)  # 16 bits of each register are enough to rule pairs out
                 for r in range(sl.rows):
                     sigs.append(low[r].tobytes() if some[r] else None)
                     bands.append(key[r] if some[r] else None)
@@ -162,18 +163,25 @@ def _likely(p: Params):
     return run
 
 
+PAIRS_PER_BATCH = 100_000
+
+
 def _fringe_pairs(p: Params):
-    """Rows (items, band) of one chunk each: pairs of a fringe text and a text
-    of the chunk, of different components, that are not ruled out.  A pair that
-    shares several bands is given by the first of them only (band -1: by any)."""
+    """Rows (items, band) of a fringe chunk and a bucket chunk each: pairs of a
+    fringe text and a text of the bucket's chunk, of different components, that
+    are not ruled out.  A pair that shares several bands is given by the first
+    of them only: all buckets are compared whole."""
     def first_shared(same: np.ndarray) -> np.ndarray:
-        whole = same[:, : p.bands * p.rows].reshape(-1, p.rows, p.bands).all(axis=1)
-        return np.where(whole.any(axis=1), whole.argmax(axis=1), -1)
+        return same[:, : p.bands * p.rows].reshape(-1, p.rows, p.bands).all(axis=1).argmax(axis=1)
+
+    def batch(a: list, b: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a, type=pa.binary()), pa.array(b, type=pa.binary())], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a_out, b_out = [], []
         for b in batches:
-            a_out, b_out = [], []
-            for items, band in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for at in range(b.num_rows):
+                items, band = b.column(0)[at].as_py(), b.column(1)[at].as_py()
                 own = [x for x in items if x["own"]]
                 if not own:
                     continue
@@ -181,17 +189,17 @@ def _fringe_pairs(p: Params):
                 for x in items:
                     if not x["fringe"]:
                         continue
-                    mine = np.frombuffer(x["sig"], dtype=np.uint16)
-                    same = sig == mine
-                    near = same.mean(axis=1) >= p.min_agree
-                    if band >= 0:
-                        near &= first_shared(same) == band
-                    for k in np.flatnonzero(near).tolist():
-                        if own[k]["comp"] != x["comp"] and not (own[k]["fringe"] and own[k]["node"] < x["node"]):
+                    same = sig == np.frombuffer(x["sig"], dtype=np.uint16)
+                    near = np.flatnonzero(same.mean(axis=1) >= p.min_agree)
+                    for k in near[first_shared(same[near]) == band].tolist():
+                        # of two fringe texts each meets the other: the lesser node gives the pair
+                        if own[k]["comp"] != x["comp"] and not (own[k]["outer"] and own[k]["node"] < x["node"]):
                             a_out.append(x["node"])
                             b_out.append(own[k]["node"])
-            yield pa.RecordBatch.from_arrays([pa.array(a_out, type=pa.binary()), pa.array(b_out, type=pa.binary())],
-                                             names=["a", "b"])
+                    if len(a_out) >= PAIRS_PER_BATCH:
+                        yield batch(a_out, b_out)
+                        a_out, b_out = [], []
+        yield batch(a_out, b_out)
     return run
 
 
@@ -288,59 +296,53 @@ def similar_nodes(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     alone = F.transform("bands", lambda x, i: F.struct(i.alias("no"), x.alias("key")))
     rows = nodes.select("node", F.explode(alone).alias("b")).select(
         F.col("b.key").alias("key"), F.col("b.no").alias("no"), "node")
-    sigs = texts = comp = None
-    top = True
-    while True:
-        # buckets of two or more, with their heads
-        size = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        rows = rows.join(size, "key").checkpoint()
-        if rows.isEmpty():
-            break
-        score = rows.groupBy("node").agg(F.sum("n").alias("score"))
-        heads = rows.join(score, "node").groupBy("key").agg(F.max(F.struct("score", "node")).alias("head")).select(
-            "key", F.col("head.node").alias("head"))
-        rows = rows.join(heads, "key").checkpoint()
-        if texts is None:
-            # signatures and texts of the nodes that share a bucket, one row each, by the node's least doc_id
-            sigs = nodes.join(rows.select("node").distinct(), "node").select("node", "doc_id", "sig", "bands").checkpoint()
-            wanted = _listed(sigs.select(F.col("node").alias("__node"), F.col("doc_id").alias("__id")))
-            texts = (d.join(wanted, (F.col("node") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__id")))
-                     .dropDuplicates(["node", "doc_id"]).select("node", "text").checkpoint())
-        star = rows.filter("node != head").groupBy(F.col("head").alias("a"), F.col("node").alias("b")).agg(
-            F.count(F.lit(1)).alias("k"))
-        star = _plausible(star, sigs, p).checkpoint()
-        # a text has a head in each band, mostly the same few: the one it shares most bands with first, then
-        # those that are still in another component
-        best = star.groupBy("b").agg(F.max(F.struct("k", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
-        for pairs in (best, star.select("a", "b")):
-            comp = _linked(pairs, comp, texts, p)
-        # the fringe of the buckets that still hold several components
-        tagged = (rows.withColumn("comp", F.col("node")) if comp is None else
-                  rows.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-        per = tagged.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-        most = (per.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"))
-                .filter("comps > 1").select("key", F.col("top.comp").alias("top"), F.col("top.c").alias("c")))
-        left = tagged.join(most, "key").select("key", "no", "node", "comp", "n", (F.col("comp") != F.col("top")).alias(
-            "fringe"), (F.col("n") - F.col("c")).alias("q")).checkpoint()
-        band = F.col("no") if top else F.lit(-1)  # below the top a bucket stands for several bands
-        top = False
-        few = left.filter(F.col("q") <= p.chunk).withColumn("band", band.cast("int")).join(sigs.select("node", "sig"), "node")
-        chunks = F.ceil(F.col("n") / p.chunk).cast("int")
-        mine = F.pmod(F.xxhash64("node"), chunks).cast("int")
-        where = F.when(F.col("fringe"), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(mine))
-        listed = (few.select("key", "band", "node", "comp", "sig", "fringe", mine.alias("mine"), F.explode(where).alias("at"))
-                  .groupBy("key", "at", "band").agg(F.collect_list(F.struct(  # about 2 * chunk rows at most
-                      "node", "sig", "comp", "fringe", (F.col("mine") == F.col("at")).alias("own"))).alias("items"))
-                  .select("items", "band"))
-        pairs = listed.mapInArrow(_fringe_pairs(p), "a binary, b binary").select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # buckets of two or more, with their heads
+    size = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rows = rows.join(size, "key").checkpoint()
+    if rows.isEmpty():
+        return signed, None
+    score = rows.groupBy("node").agg(F.sum("n").alias("score"))
+    heads = rows.join(score, "node").groupBy("key").agg(F.max(F.struct("score", "node")).alias("head")).select(
+        "key", F.col("head.node").alias("head"))
+    rows = rows.join(heads, "key").checkpoint()
+    # signatures and texts of the nodes that share a bucket, one row each, by the node's least doc_id
+    sigs = nodes.join(rows.select("node").distinct(), "node").select("node", "doc_id", "sig").checkpoint()
+    wanted = _listed(sigs.select(F.col("node").alias("__node"), F.col("doc_id").alias("__id")))
+    texts = (d.join(wanted, (F.col("node") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+             .dropDuplicates(["node", "doc_id"]).select("node", "text").checkpoint())
+    star = rows.filter("node != head").groupBy(F.col("head").alias("a"), F.col("node").alias("b")).agg(
+        F.count(F.lit(1)).alias("k"))
+    star = _plausible(star, sigs, p).checkpoint()
+    # a text has a head in each band, mostly the same few: the one it shares most bands with first, then
+    # those that are still in another component
+    best = star.groupBy("b").agg(F.max(F.struct("k", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+    comp = None
+    for pairs in (best, star.select("a", "b")):
         comp = _linked(pairs, comp, texts, p)
-        big = left.filter(F.col("q") > p.chunk).join(sigs.select("node", "bands"), "node")
-        more = F.filter(F.transform("bands", lambda x, i: F.struct(i.alias("no"), x.alias("key"))),
-                        lambda x: x["no"] > F.col("no"))
-        rows = (big.withColumn("b", F.explode(more))
-                .select(F.xxhash64("key", "b.key").alias("key"), F.col("b.no").alias("no"), "node"))
-    return signed, comp
+    # the fringe of the buckets that still hold several components
+    tagged = (rows.withColumn("comp", F.col("node")) if comp is None else
+              rows.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    per = tagged.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    most = (per.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"))
+            .filter("comps > 1").select("key", F.col("top.comp").alias("top"), F.col("top.c").alias("c")))
+    left = tagged.join(most, "key").select("key", "no", "node", "comp", "n", (F.col("comp") != F.col("top")).alias(
+        "outer"), (F.col("n") - F.col("c")).alias("q")).checkpoint()
+    # chunk i of the fringe meets chunk j of the bucket
+    chunks, parts = (F.ceil(F.col(c) / p.chunk).cast("int") for c in ("n", "q"))
+    left = left.withColumn("chunks", chunks).withColumn("parts", parts).withColumn(
+        "j", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).withColumn(
+        "i", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int"))
+    as_own = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.struct(x.alias("i"), F.col("j").alias("j")))
+    as_fringe = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda x: F.struct(F.col("i").alias("i"), x.alias("j")))
+    listed = (left.join(sigs.select("node", "sig"), "node")
+              .withColumn("at", F.explode(F.when(F.col("outer"), F.array_union(as_own, as_fringe)).otherwise(as_own)))
+              .groupBy("key", "no", "at").agg(F.collect_list(F.struct(  # about 2 * chunk rows
+                  "node", "sig", "comp", "outer", (F.col("at.j") == F.col("j")).alias("own"),
+                  (F.col("outer") & (F.col("at.i") == F.col("i"))).alias("fringe"))).alias("items"))
+              .select("items", F.col("no").cast("int").alias("band")))
+    pairs = listed.mapInArrow(_fringe_pairs(p), "a binary, b binary").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return signed, _linked(pairs, comp, texts, p)
 
 
 LISTED_ROWS = 200_000  # of two short columns: some 10 MB

@@ -3,6 +3,7 @@
 import random
 import re
 
+import pyarrow as pa
 from corpuslm.llm import minhash
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -38,3 +39,27 @@ def test_near_copies_with_repeated_passages_are_linked(spark):
     assert links == [(2 * k + 1, 2 * k) for k in range(24)]
     got = minhash.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert {r["doc_id"]: r["class_id"] for r in got.collect()} == _grouped(links, range(len(texts)))
+
+
+def test_large_fringe_of_one_bucket_is_compared_whole(spark):
+    """24 pairs of near copies on one template, in one bucket that no further band divides."""
+    p = minhash.Params(bands=1, rows=1, chunk=4)
+    for seed in range(100):  # a template that gives the first register of all texts
+        rng = random.Random(seed)
+        template = _words(rng, 200)
+        texts = []
+        for _ in range(24):
+            own = _words(rng, 60)
+            texts += [" ".join(template + own), " ".join(template + own[:-1] + ["changed"])]
+        signed = minhash._signer(p)(iter([pa.RecordBatch.from_arrays(
+            [pa.array(range(len(texts))), pa.array(texts), pa.array(texts)], names=["doc_id", "node", "text"])]))
+        if len({k[0] for b in signed for k in b.column(3).to_pylist()}) == 1:
+            break
+    else:
+        raise AssertionError("no template")
+    sets = [_shingles(t) for t in texts]
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert links == [(2 * k + 1, 2 * k) for k in range(24)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = minhash.classes(docs, p)
+    assert {r["doc_id"]: r["class_id"] for r in got.collect()} == _grouped(links, range(len(texts)))
