@@ -4,7 +4,7 @@ import random
 import re
 
 import pyarrow as pa
-from corpuslm.llm import minhash
+from corpuslm.llm import chat, minhash
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -63,3 +63,21 @@ def test_large_fringe_of_one_bucket_is_compared_whole(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = minhash.classes(docs, p)
     assert {r["doc_id"]: r["class_id"] for r in got.collect()} == _grouped(links, range(len(texts)))
+
+
+def test_many_rows_of_few_turn_numbers_are_cut_into_parts(spark):
+    rows = [(None, k % 11, "u", f"n{k}") for k in range(3000)]  # a null id, eleven numbers
+    rows += [(1, None, "u", f"z{k}") for k in range(700)] + [(1, 5, "a", "last")]  # no numbers
+    rows += [(2, 7, "u", "same")] * 700 + [(3, 1, "u", "same")] * 300  # repeated rows; 3 is a prefix of 2
+    rows += [(4, 1, "u", "x"), (4, 9000, "u", "y")] + [(5, 0, "u", "x")]  # 5 is a prefix of 4
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = {(r["conv_id"], r["part"]): r for r in chat.format_chats(conv).collect()}
+    size = {k: r["text"].count("<|im_start|>") for k, r in got.items()}
+    assert size == {**{(None, k): 256 for k in range(11)}, (None, 11): 3000 - 11 * 256, (1, -3): 700 - 512, (1, -2): 256,
+                    (1, -1): 256, (1, 0): 1, (2, 0): 256, (2, 1): 256, (2, 2): 700 - 512, (4, 0): 2}
+    assert {k[0]: r["n_turns"] for k, r in got.items()} == {None: 3000, 1: 701, 2: 700, 4: 2}
+    text = lambda c: re.findall(r"\|>\w\n(\w+)<", "".join(got[k]["text"] for k in sorted(k for k in got if k[0] == c)))
+    numbers = [int(x[1:]) % 11 for x in text(None)]
+    assert numbers == sorted(numbers) and set(text(None)) == {f"n{k}" for k in range(3000)}
+    assert text(1)[-1] == "last" and set(text(1)[:-1]) == {f"z{k}" for k in range(700)}
+    assert set(text(2)) == {"same"} and text(4) == ["x", "y"]
