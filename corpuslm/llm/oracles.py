@@ -63,3 +63,54 @@ SELECT conv_id, CAST(0 AS BIGINT) AS part, CAST(n AS BIGINT) AS n_turns, CAST(n_
                                                    || '<|im_end|>' || chr(10)), '') AS text
 FROM one
 """
+
+# every anchor against every row, component by component
+ORACLES["op13_strassen"] = """
+WITH e AS MATERIALIZED (
+       SELECT row_number() OVER () AS n, vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+              list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+       WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+         AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+     scored AS MATERIALIZED (
+       SELECT a.n, a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, coalesce(CAST(list_sum(list_transform(
+              list_zip(a.v, b.v), lambda z: z[1] * z[2])) AS BIGINT), 0) AS score
+       FROM e a JOIN e b ON a.vec_id % 100 = 0 AND (a.label <> b.label OR a.vec_id <> b.vec_id)),
+     pos AS (SELECT n, anchor_id, other AS positive_id, score AS positive_score,
+                    row_number() OVER (PARTITION BY n ORDER BY score DESC, other) AS place FROM scored WHERE same),
+     neg AS (SELECT p.*, s.other AS negative_id, s.score AS negative_score,
+                    row_number() OVER (PARTITION BY p.n, p.place ORDER BY s.score DESC, s.other) AS rank
+             FROM pos p JOIN scored s ON s.n = p.n AND NOT s.same AND 30 * p.positive_score <= 100 * s.score
+                                         AND 100 * s.score <= 90 * p.positive_score
+             WHERE p.place <= 5)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 10
+"""
+
+# every prefix of every rebuilt conversation as a list of its turns
+ORACLES["op12_prefix_trie"] = """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+     own AS (SELECT conv_id, list({'r': r, 'x': x} ORDER BY turn NULLS FIRST, sha256(length(r) || ':' || r || x)) AS s
+             FROM t GROUP BY conv_id),
+     crc AS (SELECT conv_id, xor(4294967295, list_reduce(
+               list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+               lambda a, b: list_reduce(list_prepend(xor(a, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+                                        lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END))) % 9 AS h FROM own),
+     seqs AS MATERIALIZED (
+       SELECT a.conv_id, list_concat(coalesce(b.s, [])[1:c.h], a.s[c.h + 1:]) AS s
+       FROM own a JOIN crc c USING (conv_id) LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5),
+     cut AS (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS depth FROM seqs),
+     nodes AS MATERIALIZED (
+       SELECT s[1:depth] AS k, depth, min(conv_id) AS conv_id, count(*) AS n,
+              sha256(coalesce(array_to_string(list(conv_id ORDER BY conv_id) FILTER (WHERE len(s) = depth), ','), '')) AS ends
+       FROM cut GROUP BY 1, 2),
+     kids AS (SELECT k[1:depth - 1] AS k, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+     own_sums AS (SELECT a.k, a.depth, CASE WHEN c.n IS NULL THEN 1 ELSE 0 END AS leaf,
+                         CASE WHEN a.depth = 0 THEN 0 ELSE (a.n - 1) * strlen(a.k[a.depth].x) END AS saved
+                  FROM nodes a LEFT JOIN kids c ON c.k = a.k AND c.depth = a.depth),
+     sums AS (SELECT k[1:d] AS k, d AS depth, sum(leaf) AS leaves, sum(saved) AS saved
+              FROM (SELECT k, leaf, saved, unnest(range(0, depth + 1)) AS d FROM own_sums) GROUP BY 1, 2)
+SELECT a.conv_id, a.depth, p.conv_id AS parent_conv_id, a.n AS n_convs, coalesce(c.n, 0) AS n_children,
+       CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, a.ends AS ends_sha256
+FROM nodes a JOIN sums s ON s.k = a.k AND s.depth = a.depth
+     LEFT JOIN kids c ON c.k = a.k AND c.depth = a.depth
+     LEFT JOIN nodes p ON a.depth > 0 AND p.depth = a.depth - 1 AND p.k = a.k[1:a.depth - 1]
+"""

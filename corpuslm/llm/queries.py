@@ -1,4 +1,4 @@
-"""The eleven queries of this subpackage: thin digests of its operators."""
+"""The queries of this subpackage: thin digests of its operators."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslm.llm import chat, decontam, extract, linededup, minhash, pack, pii, quality, shards, urls
+from corpuslm.llm import (chat, decontam, extract, linededup, minhash, negatives, neighbours, pack, pii, quality, shards,
+                          trie, urls)
 from corpuslm.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +95,21 @@ def op3_path_templates(spark, sf):
 def op7_flat_blocks(spark, sf):
     """Every page's main text."""
     return extract.extract(table(spark, sf, "pages"))
+
+
+@query
+def op11_adaptive_scan(spark, sf):
+    """The 20 nearest vectors found of every twentieth vector."""
+    return neighbours.search(table(spark, sf, "embeddings")).select("query_id", "rank", "vec_id", "score")
+
+
+@query
+def op12_prefix_trie(spark, sf):
+    """Every node of the trie of the rebuilt conversations."""
+    return trie.prefix_trie(table(spark, sf, "conversations")).drop("k1", "k2")
+
+
+@query
+def op13_strassen(spark, sf):
+    """Hard negatives of every hundredth vector."""
+    return negatives.mine(table(spark, sf, "embeddings")).drop("place")
