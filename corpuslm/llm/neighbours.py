@@ -7,15 +7,20 @@ so that any first d of their D components hold a share of a distance that follow
 the beta distribution with d/2 and (D - d)/2.
 
 An index of lists (k-means, fitted on at most ``SAMPLE`` rows of least hash and
-``SAMPLE_BYTES``, on every row assigned) is probed from the nearest list on, until
-the probed lists hold ``SHARE`` of all rows.  A list is cut into pieces of about
-``PIECE`` rows and its queries into blocks of about ``QUERIES``; each pair is one
-group of a cogrouped shuffle, however large a list is.  There the piece lies in
-column blocks of ``BLOCK`` components.  After each block a candidate is abandoned
-if its partial distance is above the 1 - ``DOUBT`` quantile that a candidate at
-the query's current 20th distance would have.  Those left at the end are scored on
-the original vectors, each pair summed from the first component to the last.  The
-lists of 20 of all pieces merge into the query's.
+``SAMPLE_BYTES``, with every row assigned) is probed from the nearest list on, until
+the probed lists hold ``SHARE`` of all rows.  The rows come in steps, each ``STEP_UP``
+times as many as all before, chosen by hash; a row is scanned in one step only.  A
+query enters a step with the 20th distance found so far, so a step finds about
+20 * ``STEP_UP`` rows for it, however many rows there are.
+
+In a step a list is cut into pieces of about ``PIECE`` rows and its queries into
+blocks of about ``QUERIES``; each pair is one group of a cogrouped shuffle, however
+large a list is.  There the piece lies in column blocks of ``BLOCK`` components.
+After each block a candidate is abandoned if its partial distance is above the
+1 - ``DOUBT`` quantile that a candidate at the query's current 20th distance would
+have.  Those left at the end are scored on the original vectors, each pair summed
+from the first component to the last.  The lists of 20 of all pieces and of the
+steps before merge into the query's.
 
 The test tables' vectors have no clusters, so nothing less than most of the rows
 gives a recall of 0.9; hence ``SHARE``.  Tables of up to ``LIST_ROWS`` rows are
@@ -30,6 +35,8 @@ without queries gives no rows.  Other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -37,7 +44,8 @@ from pyspark.sql import functions as F
 
 NEAREST = 20
 SAMPLE, SAMPLE_BYTES = 16_384, 1 << 25
-LIST_ROWS, MAX_LISTS = 2048, 1024
+LIST_ROWS, MAX_LISTS = 2048, 1024  # beyond LIST_ROWS rows, an eighth of their root lists
+STEP_UP = 8
 PIECE, QUERIES = 4096, 4096
 SHARE = 0.85
 BLOCK = 16
@@ -112,32 +120,36 @@ def _nearest(v: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, d[np.arange(len(v)), at]
 
 
-def scan(space: Space, queries: np.ndarray, q_ids: np.ndarray, cands: np.ndarray, c_ids: np.ndarray,
+def scan(space: Space, queries: np.ndarray, q_ids: np.ndarray, limits: np.ndarray, cands: np.ndarray, c_ids: np.ndarray,
          k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The adaptive scan of one piece: (query's place, candidate's place, score)
-    of each query's ``k`` nearest candidates that it found."""
+    of each query's ``k`` nearest candidates that it found.  ``limits`` has the
+    score that a candidate must reach, minus infinity if any will do."""
     turned = space.rotated(cands, query=False)
     columns = [np.ascontiguousarray(turned[:, d: d + BLOCK]) for d in range(0, space.full, BLOCK)]
     found = []
     for at in range(0, len(queries), AT_ONCE):
         q = space.rotated(queries[at: at + AT_ONCE], query=True)
         ids = q_ids[at: at + AT_ONCE]
-        best = np.full((len(q), k), np.inf)  # squared distances of the nearest so far
+        # squared distances of the nearest so far; at first, those of the limit
+        start = (q * q).sum(1) + space.longest2 - 2 * (limits[at: at + AT_ONCE] / space.scale / space.scale)
+        best = np.repeat(np.maximum(0.0, start)[:, None], k, axis=1)
         kept = []
         for lo in range(0, len(cands), STEP):
             some = [c[lo: lo + STEP] for c in columns]
-            limit = best.max(1)
-            i, j, part = _survivors(space, q, some, limit, ids[:, None] != c_ids[lo: lo + STEP][None, :])
+            i, j, part = _survivors(space, q, some, best.max(1), ids[:, None] != c_ids[lo: lo + STEP][None, :])
             kept.append((i, j + lo, part))
             new = np.full((len(q), len(some[0])), np.inf)
             new[i, j] = part
             best = np.partition(np.concatenate([best, new], axis=1), k - 1, axis=1)[:, :k]
         i, j, part = (np.concatenate(x) for x in zip(*kept, strict=True))
-        near = part <= best.max(1)[i] * (1 + 1e-9) + 1e-12
+        near = part <= _loose(best.max(1))[i]
         i, j = i[near], j[near]
         score = np.zeros(len(i))
         for d in range(space.dim):  # from the first component to the last, so that equal vectors score alike
             score += queries[at + i, d] * cands[j, d]
+        ok = score >= limits[at + i]
+        i, j, score = i[ok], j[ok], score[ok]
         order = np.lexsort((c_ids[j], -score, i))
         i, j, score = i[order], j[order], score[order]
         first = np.searchsorted(i, i, side="left")
@@ -146,6 +158,11 @@ def scan(space: Space, queries: np.ndarray, q_ids: np.ndarray, cands: np.ndarray
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def _loose(d: np.ndarray) -> np.ndarray:
+    """A squared distance with room for the rounding of partial sums."""
+    return d * (1 + 1e-9) + 1e-12
+
+
 def _survivors(space: Space, q: np.ndarray, columns: list[np.ndarray], limit: np.ndarray,
                allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs that no test abandons, and their squared distances."""
@@ -153,7 +170,7 @@ def _survivors(space: Space, q: np.ndarray, columns: list[np.ndarray], limit: np
     d, part = BLOCK, dist
     i = j = None
     for block in columns[1:]:
-        bound = limit * space.share[d] * (1 + 1e-9)
+        bound = _loose(limit * space.share[d])
         if i is None:
             i, j = np.nonzero(allowed & (part <= bound[:, None]))
             part = dist[i, j]
@@ -169,7 +186,7 @@ def _survivors(space: Space, q: np.ndarray, columns: list[np.ndarray], limit: np
     if i is None:  # one block only
         i, j = np.nonzero(allowed)
         part = dist[i, j]
-    ok = part <= limit[i] * (1 + 1e-9)
+    ok = part <= _loose(limit)[i]
     return i[ok], j[ok], part[ok]
 
 
@@ -178,51 +195,77 @@ def search(embeddings: DataFrame, every: int = 20, k: int = NEAREST, share: floa
     """``(query_id, rank, vec_id, score, query_row)``: the ``k`` nearest found of
     each row whose vec_id is divisible by ``every``."""
     rows = usable_rows(embeddings).checkpoint()  # written, so that a row keeps its number
-    stat = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim"),
+    is_query = F.col("vec_id") % every == 0
+    stat = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim"), F.count(F.when(is_query, 1)).alias("asked"),
                     F.max(F.array_max(F.transform("v", F.abs))).alias("scale")).first()
-    schema = "query_row long, query_id long, vec_id long, score double"
     n, dim, scale = stat["n"], stat["dim"] or 1, stat["scale"] or 1.0
     longest2 = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / scale) * (x / scale)))).first()[0] or 0.0
     space = Space(dim, scale, longest2)
     centres = np.zeros((1, space.full))
-    n_lists = min(MAX_LISTS, -(-n // list_rows))
-    if n_lists > 1:
+    if n > list_rows:
+        n_lists = min(MAX_LISTS, math.ceil(math.sqrt(n) / 8))
         bound = max(n_lists, min(SAMPLE, SAMPLE_BYTES // (8 * space.full)))
         some = rows.orderBy(F.xxhash64("vec_id", "row"), "row").limit(bound).select("v").toArrow()
         centres = fit_lists(space.rotated(_matrix(some.column("v"), dim), query=False), min(n_lists, len(some)))
     n_lists = len(centres)
+    columns = "row long, vec_id long, v array<double>, list int"
 
     def assign(batches):
         for b in batches:
             at, _ = _nearest(space.rotated(_matrix(b.column("v"), dim), query=False), centres)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at.astype(np.int32))], names=[*b.schema.names, "list"])
 
-    held = rows.mapInArrow(assign, "row long, vec_id long, v array<double>, list int").checkpoint() if n_lists > 1 else (
-        rows.withColumn("list", F.lit(0)))
-    size = np.zeros(n_lists, dtype=np.int64)
-    for r in held.groupBy("list").count().collect():  # MAX_LISTS rows at most
-        size[r["list"]] = r["count"]
-    enough = share * size.sum()
+    # the first step's rows come first, each later step has STEP_UP - 1 times as many as all before it
+    steps = 0 if n <= list_rows else math.ceil(math.log(n / list_rows, STEP_UP))
+    share_of = F.pmod(F.xxhash64(F.lit(3), F.col("row")), F.lit(STEP_UP ** steps))
+    step = F.lit(steps) - sum(((share_of % STEP_UP ** i == 0).cast("int") for i in range(1, steps + 1)), F.lit(0))
+    held = rows.mapInArrow(assign, columns).withColumn("step", step).checkpoint()
+    size = np.zeros((steps + 1, n_lists), dtype=np.int64)
+    for r in held.groupBy("step", "list").count().collect():  # MAX_LISTS rows a step at most
+        size[r["step"], r["list"]] = r["count"]
+    whole = size.sum(0)
 
     def probe(batches):
         for b in batches:
             d = _distances(space.rotated(_matrix(b.column("v"), dim), query=True), centres)
             order = np.argsort(d, axis=1, kind="stable")
-            before = np.cumsum(size[order], axis=1) - size[order]
-            used = (before < enough) & (size[order] > 0)
-            i, at = np.nonzero(used)
+            before = np.cumsum(whole[order], axis=1) - whole[order]
+            i, at = np.nonzero((before < share * whole.sum()) & (whole[order] > 0))
             yield pa.RecordBatch.from_arrays(
                 [*(c.take(pa.array(i)) for c in b.columns), pa.array(order[i, at].astype(np.int32))],
                 names=[*b.schema.names, "list"])
 
-    asked = rows.filter(F.col("vec_id") % every == 0).mapInArrow(probe, "row long, vec_id long, v array<double>, list int")
-    n_asked = rows.filter(F.col("vec_id") % every == 0).count()
-    n_blocks = max(1, -(-n_asked // block))
+    asked = rows.filter(is_query)
+    n_blocks = max(1, -(-stat["asked"] // block))
+    found = None
+    for now in range(steps + 1):
+        probed = (asked.withColumn("limit", F.lit(float("-inf"))) if found is None else _limited(asked, found, k))
+        left = probed.mapInArrow(probe, "row long, vec_id long, v array<double>, limit double, list int")
+        new = _step(left, held.filter(F.col("step") == now), size[now], n_blocks, piece, space, k)
+        found = _best(new if found is None else new.unionByName(found), k).checkpoint()
+    w = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
+    return found.select("query_id", F.row_number().over(w).alias("rank"), "vec_id", "score", "query_row")
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("rank")
+
+
+def _limited(asked: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """The queries with the score of their k-th found."""
+    last = found.groupBy(F.col("query_row").alias("row")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
+    limit = F.when(F.col("n") >= k, F.col("least")).otherwise(float("-inf"))
+    return asked.join(last, "row", "left").select("row", "vec_id", "v", limit.alias("limit"))
+
+
+def _step(asked: DataFrame, held: DataFrame, size: np.ndarray, n_blocks: int, piece: int, space: Space, k: int) -> DataFrame:
+    """Scan a step's pieces: every pair of a piece and a block of its list's queries once."""
     pieces = [max(1, -(-int(x) // piece)) for x in size]
     of_list = F.element_at(F.array(*[F.lit(x) for x in pieces]), F.col("list") + 1)  # MAX_LISTS numbers
     dealt = lambda parts: F.pmod(F.xxhash64(F.lit(5), F.col("row")), parts).cast("int")
     every_of = lambda parts: F.explode(F.sequence(F.lit(0), (parts - 1).cast("int")))
-    left = asked.select("row", "vec_id", "v", "list", dealt(F.lit(n_blocks)).alias("b"), every_of(of_list).alias("p"))
+    left = asked.select("row", "vec_id", "v", "limit", "list", dealt(F.lit(n_blocks)).alias("b"), every_of(of_list).alias("p"))
     right = held.select(*[F.col(c).alias(c) for c in ("row", "vec_id", "v", "list")], dealt(of_list).alias("p"),
                         every_of(F.lit(n_blocks)).alias("b"))
     keys = ["list", "p", "b"]
@@ -232,10 +275,9 @@ def search(embeddings: DataFrame, every: int = 20, k: int = NEAREST, share: floa
         if not len(a) or not len(c):
             return pa.table({x: pa.array([], type=pa.float64() if x == "score" else pa.int64())
                              for x in ("query_row", "query_id", "vec_id", "score")})
-        i, j, score = scan(space, _matrix(a.column("v"), dim), ids(a, "vec_id"), _matrix(c.column("v"), dim), ids(c, "vec_id"), k)
+        i, j, score = scan(space, _matrix(a.column("v"), space.dim), ids(a, "vec_id"), ids(a, "limit"),
+                           _matrix(c.column("v"), space.dim), ids(c, "vec_id"), k)
         return pa.table({"query_row": ids(a, "row")[i], "query_id": ids(a, "vec_id")[i], "vec_id": ids(c, "vec_id")[j], "score": score})
 
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(tile, schema)
-    w = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score", "query_row")
+    schema = "query_row long, query_id long, vec_id long, score double"
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(tile, schema)
