@@ -8,23 +8,18 @@ never contain white space).  Applying a merge ``(l, r)`` is then the native
 ``replace(' l  r ', ' lr ')``, which scans left to right without overlap,
 exactly like the reference loop.
 
-Each round counts adjacent pairs weighted by word frequency (partial
-aggregation before the shuffle), ranks them by (count desc, first seen) and
-brings only the top ``candidates`` rows to the driver.  The round merges the
-longest prefix of that ranking in which no pair chains into another (see
-``_choose``), stopping after a pair with two equal sides, below
-``min_frequency`` or when the vocabulary is full.  That prefix is what
-one-merge-at-a-time training would pick: a merge does not change the count
-of a pair that does not chain into it, and a pair it creates is no more
-frequent, and no earlier, than an old chained pair, which ranks below the
-whole prefix.
+Adjacent pairs are counted once, weighted by word frequency, and then kept up to
+date by the changes of each merge (``pair_deltas``); a merge is always the best
+pair, (count desc, first seen), of the exact counts before it.  Training stops
+below ``min_frequency``, without pairs, or when the vocabulary is full.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
+from collections import defaultdict
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -34,8 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslm.operators.order import prefix_sum
-from corpuslm.session import ensure_checkpoint_dir, prepare
+from corpuslm.operators.pair_deltas import POS_BITS, PairTable, count_pairs, recount
 from corpuslm.operators.words import alphabet, pretokenize, word_freq, words_of
+from corpuslm.session import prepare, remove
 
 
 # ------------------------------------------------------------------ state
@@ -48,8 +44,8 @@ def symbols(sym: Column) -> Column:
     return F.split(F.trim(sym), "  ", -1)
 
 
-POS_BITS = 20  # symbol index inside a word; words are < 2**20 characters
 WORDS_PER_PARTITION = 200_000
+MERGES_AT_ONCE, AHEAD = 64, 96  # merges guessed for a round, pairs of the ranking they are guessed from
 
 
 def initial_state(freqs: DataFrame) -> DataFrame:
@@ -101,8 +97,8 @@ class BPEModel:
     alphabet: list[str]
     merges: list[tuple[str, str]]
     rounds: int = 0
-    state: DataFrame | None = field(default=None, repr=False)
     stop_reason: str = "vocab_full"
+    rows_touched: list[int] = field(default_factory=list, repr=False)  # words looked at, by job
 
     @property
     def vocab(self) -> dict[str, int]:
@@ -121,113 +117,71 @@ class BPEModel:
             [(i, l, r) for i, (l, r) in enumerate(self.merges)], "rank bigint, left string, right string")
 
 
-def _choose(cands: list, budget: int, min_frequency: int) -> list[tuple[str, str]]:
-    """Longest exact prefix of the ranked candidates.
-
-    Merging ``(a, b)`` only changes the count of pairs that chain into it,
-    ``(x, a)`` and ``(b, y)``; pairs that merely share a symbol (``(a, y)``,
-    ``(x, b)``) keep every occurrence.  So the walk stops at the first
-    candidate whose right side is the left side of a chosen pair or whose
-    left side is a chosen right side.  Those chained pairs, and every pair a
-    merge creates (bounded by a chained pair), then rank below the prefix.
-    A pair with equal sides ends the round: the pairs it creates, such as
-    ``(aa, aa)``, are bounded only by itself.
-    """
-    chosen: list[tuple[str, str]] = []
-    lefts: set[str] = set()
-    rights: set[str] = set()
-    for row in cands:
-        if len(chosen) >= budget or row["n"] < min_frequency:
-            break
-        l, r = row["left"], row["right"]
-        if r in lefts or l in rights:
-            break
-        chosen.append((l, r))
-        lefts.add(l)
-        rights.add(r)
-        if l == r:
-            break
-    return chosen
-
-
-@contextmanager
-def _loop_conf(spark: SparkSession, partitions: int):
-    """Settings for the many small jobs of the merge loop, restored after.
-
-    The pair aggregate is combined map-side, so AQE's skew splitting has
-    nothing to do there, while re-planning every stage of a sub-second job
-    costs about a quarter of the round (measured at sf0.01).  Shuffle
-    partitions follow the state's partition count, which grows with the
-    number of distinct words."""
-    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(partitions)}
-    old = {k: spark.conf.get(k, None) for k in keys}
-    for k, v in keys.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+def _loop_session(spark: SparkSession, partitions: int) -> SparkSession:
+    """A session of its own for the many small jobs of the merge loop: the pair
+    aggregate is combined map-side, so AQE's re-planning has nothing to do there.
+    The caller's settings stay as they are."""
+    loop = spark.newSession()
+    loop.conf.set("spark.sql.adaptive.enabled", "false")
+    loop.conf.set("spark.sql.shuffle.partitions", str(max(1, partitions // 4)))
+    return loop
 
 
 def train_bpe(freqs: DataFrame, vocab_size: int = 5000, min_frequency: int = 2,
-              candidates: int = 512, checkpoint_every: int = 25,
-              max_merges_per_round: int | None = None) -> BPEModel:
+              max_merges_per_round: int | None = None, held_pairs: int = 1_000_000) -> BPEModel:
     """TOK-08/09: learn merges from a word-frequency table (TOK-02).
 
-    Driver work per round: one ``collect`` of at most ``candidates`` rows.
-    The state is cached per round and reliably checkpointed every
-    ``checkpoint_every`` rounds (cuts lineage; survives executor loss).
-    ``max_merges_per_round=1`` gives plain one-at-a-time training.
-    """
+    The distinct words are written once, to the shared folder, and never change;
+    a round cuts the words that contain a chosen text and sums up how pair
+    counts change (see ``pair_deltas``).  The driver holds the most frequent
+    ``held_pairs`` pairs (twice that at most) and the merges.
+    ``max_merges_per_round=1`` gives plain one-at-a-time training."""
     spark = freqs.sparkSession
-    prepare(spark)
+    shared = prepare(spark)
     alpha = [r["token"] for r in alphabet(freqs).orderBy("id").collect()]
-    vocab = set(alpha)
-    merges: list[tuple[str, str]] = []
-    state = initial_state(freqs).checkpoint()
-    with _loop_conf(spark, state.rdd.getNumPartitions()):
-        prev = None
-        rounds = 0
-        stop = "vocab_full"
-        while len(vocab) < vocab_size:
-            # this job also fills the cache of `state`; only then is the
-            # previous round's cache released (else its lineage is recomputed)
-            cands = ranked_pairs(pair_counts(state)).limit(candidates).collect()
-            if prev is not None:
-                prev.unpersist()
-                prev = None
-            if not cands:
-                stop = "no_pairs"       # TOK-09
-                break
-            budget = vocab_size - len(vocab)
-            if max_merges_per_round:
-                budget = min(budget, max_merges_per_round)
-            chosen = _choose(cands, budget, min_frequency)
-            if not chosen:
-                stop = "below_min_frequency"
+    vocab, merges = set(alpha), []
+    path = f"{shared.rstrip('/')}/bpe-words-{uuid.uuid4().hex}"
+    initial_state(freqs).write.parquet(path)
+    loop = _loop_session(spark, spark.sparkContext.defaultParallelism)
+    words = loop.read.parquet(path)
+    words = words.repartition(max(words.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism), "word").persist()
+    table = PairTable(held_pairs)
+    table.fill(pair_counts(words))
+    rounds, rows_touched, overlaps, known, stop = 0, [], {}, set(), "vocab_full"
+    while len(vocab) < vocab_size:
+        best, why = table.best(min_frequency)
+        if why == "refill":
+            table.fill(count_pairs(words, merges))
+            while table.floor and table.floor == max(table.n.values(), default=0):
+                table.limit *= 2  # more pairs than it holds share the highest count
+                table.fill(count_pairs(words, merges))
+            continue
+        if best is None and why != "ask":
+            stop = why  # TOK-09
+            break
+        budget = min(vocab_size - len(vocab), max_merges_per_round or MERGES_AT_ONCE)
+        batch = table.guess(overlaps, budget, AHEAD) if best else []
+        asked = {e[2] for e in table.top(AHEAD)} & table.late
+        found = defaultdict(list)
+        for r in recount(words, merges, batch, asked, table.near(AHEAD, known)).collect():
+            found[r["step"]].append(r)
+        overlaps |= {(r["left"], r["mid"], r["right"]): r["n"] for r in found[-2]}
+        overlaps = {k: n for k, n in overlaps.items() if k[:2] in table.n and k[1:] in table.n}
+        rows_touched.append(found[-3][0]["n"] if found[-3] else 0)
+        rounds += bool(batch)
+        for step, (left, right) in enumerate(batch):
+            if table.best(min_frequency)[0] != (left, right):
                 break
-            for l, r in chosen:
-                tok = l + r
-                if tok in vocab:  # cannot happen for this trainer; guard the proof
-                    raise AssertionError(f"merge re-creates existing token {tok!r}")
-                vocab.add(tok)
-                merges.append((l, r))
-            rounds += 1
-            # a word reduced to one symbol can never hold a pair again
-            nxt = (state.select("word", "freq", "wrank", apply_merges(F.col("sym"), chosen).alias("sym"))
-                        .filter(F.col("sym").contains("  ")))
-            if rounds % checkpoint_every == 0:
-                nxt = nxt.checkpoint()   # eager: reads the cached state
-                state.unpersist()
-            else:
-                nxt = nxt.cache()
-                prev = state
-            state = nxt
-    return BPEModel(alpha, merges, rounds, state, stop)
+            if left + right in vocab:  # cannot happen for this trainer; guard the proof
+                raise AssertionError(f"merge re-creates existing token {left + right!r}")
+            table.apply(found[step], {left + right})
+            merges.append((left, right))
+            vocab.add(left + right)
+        else:
+            table.apply(found[-1], set())  # first places after the whole batch
+    words.unpersist()
+    remove(spark, path)
+    return BPEModel(alpha, merges, rounds, stop, rows_touched)
 
 
 def tokenizer_info(model: BPEModel, spark: SparkSession) -> DataFrame:

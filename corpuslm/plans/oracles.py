@@ -376,7 +376,7 @@ FROM nb, range(0, 15000) t(step)"""))
 
 
 # ------------------------------------------------------------------ n-gram model
-TEMP, TOPK, TOPK_SMALL, GEN_STEPS = 0.8, 40, 5, 12
+TEMP, TOPK, TOPK_SMALL, GEN_STEPS = 0.8, 40, 5, 200
 
 
 def hexu(e: str) -> str:
@@ -450,18 +450,75 @@ _GEN = _LM + [_SAMP, CTE_PROMPT_WORDS] + encode_ctes("pwords", sfx="_p") + [
            FROM (SELECT conv_id FROM conversations WHERE turn = 0 AND role = 'user') p LEFT JOIN (
              SELECT doc_id, list(CAST(id AS INTEGER) ORDER BY pos, k) AS ids FROM occ_ids_p WHERE id IS NOT NULL GROUP BY doc_id) a
            ON a.doc_id = p.conv_id)"""]
-for _s in range(GEN_STEPS):
-    _GEN.append(f"""g{_s + 1} AS MATERIALIZED (
-  SELECT r.prompt_id, list_append(r.ids, CAST(s.next AS INTEGER)) AS ids
-  FROM (SELECT g.prompt_id, g.ids, CASE WHEN c.ctx IS NOT NULL THEN c.ctx ELSE CAST([] AS INTEGER[]) END AS ctx,
-               {hexu(f"'0:' || CAST(g.prompt_id AS VARCHAR) || ':{_s}'")} AS u
-        FROM g{_s} g LEFT JOIN ctxs c ON len(g.ids) >= 1 AND c.ctx = [g.ids[len(g.ids)]]) r
+_GEN.append(f"""gen AS (
+  SELECT 0 AS step, prompt_id, ids FROM g0
+  UNION ALL
+  SELECT r.step + 1, r.prompt_id, list_append(r.ids, CAST(s.next AS INTEGER))
+  FROM (SELECT g.step, g.prompt_id, g.ids, CASE WHEN c.ctx IS NOT NULL THEN c.ctx ELSE CAST([] AS INTEGER[]) END AS ctx,
+               {hexu("'0:' || CAST(g.prompt_id AS VARCHAR) || ':' || CAST(g.step AS VARCHAR)")} AS u
+        FROM gen g LEFT JOIN ctxs c ON len(g.ids) >= 1 AND c.ctx = [g.ids[len(g.ids)]] WHERE g.step < {GEN_STEPS}) r
   JOIN samp s ON s.ctx = r.ctx AND s.lo <= r.u * s.tot AND r.u * s.tot < s.hi)""")
-_reg("lm_09", with_(_GEN, f"""
-SELECT g.prompt_id, g.ids, coalesce(t.text, '') AS text FROM g{GEN_STEPS} g LEFT JOIN (
+_GEN.append(f"done AS MATERIALIZED (SELECT prompt_id, ids FROM gen WHERE step = {GEN_STEPS})")
+_reg("lm_09", with_(_GEN, """
+SELECT g.prompt_id, g.ids, coalesce(t.text, '') AS text FROM done g LEFT JOIN (
   SELECT prompt_id, string_agg(v.token, '' ORDER BY i) AS text
-  FROM (SELECT prompt_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM g{GEN_STEPS}) x
-  JOIN vocab v ON v.id = x.id GROUP BY prompt_id) t USING (prompt_id)"""))
+  FROM (SELECT prompt_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM done) x
+  JOIN vocab v ON v.id = x.id GROUP BY prompt_id) t USING (prompt_id)""").replace("WITH ", "WITH RECURSIVE ", 1))
+
+# contexts of every length, as lists of the tokens before
+_reg("lm_02_smoothed", with_(_LM, """
+SELECT d.ctx, CAST(d.next AS INTEGER) AS next, CAST(d.c AS BIGINT) AS c, CAST(d.total AS BIGINT) AS total,
+       round((d.c + 1.0) / (d.total + V.v), 9) AS p, round(ln((d.c + 1.0) / (d.total + V.v)), 9) AS logit FROM dist d, V
+UNION ALL
+SELECT ctx, -1, 0, CAST(t AS BIGINT), round(1.0 / (t + V.v), 9), round(ln(1.0 / (t + V.v)), 9)
+FROM (SELECT ctx, sum(c) AS t, count(*) AS k FROM counts GROUP BY ctx), V WHERE k < V.v"""))
+
+
+def before_sql(src: str, extra: str = "") -> str:
+    return f"""SELECT gpos, id{extra}, lag(id, 1) OVER w AS a, lag(id, 2) OVER w AS b, lag(id, 3) OVER w AS d
+  FROM {src} WINDOW w AS (ORDER BY gpos)"""
+
+
+_CTX = {0: "CAST([] AS INTEGER[])", 1: "[a]", 2: "[b, a]", 3: "[d, b, a]"}
+_HAS = {0: "TRUE", 1: "a IS NOT NULL", 2: "b IS NOT NULL", 3: "d IS NOT NULL"}
+_LEVELS = _LM + [f"back AS MATERIALIZED ({before_sql('stream')})", f"bback AS MATERIALIZED ({before_sql('bstream')})",
+                 "levels AS MATERIALIZED (" + " UNION ALL ".join(
+                     f"SELECT {_CTX[k]} AS ctx, id AS next, count(*) AS c FROM back WHERE {_HAS[k]} GROUP BY 1, 2" for k in range(4)) + ")",
+                 "tots AS MATERIALIZED (SELECT ctx, sum(c) AS t FROM levels GROUP BY ctx)"]
+_reg("lm_02_orders", with_(_LEVELS, """
+SELECT ctx, CAST(next AS INTEGER) AS next, CAST(c AS BIGINT) AS c, CAST(t AS BIGINT) AS total, round(c / t, 9) AS p,
+       round(ln(c / t), 9) AS logit FROM levels JOIN tots USING (ctx)"""))
+
+
+def backed_sql(src: str, n: int) -> str:
+    """-ln p of the rows of ``src`` (next and the contexts s0, s1, ..., null if
+    too short) under the model of order n."""
+    joins = " ".join(f"LEFT JOIN tots t{k} ON t{k}.ctx = s.s{k}" for k in range(n))
+    used = "CASE " + " ".join(f"WHEN t{k}.t IS NOT NULL THEN {{}}{k}{{}}" for k in reversed(range(n))) + " END"
+    inner = f"SELECT s.*, {used.format(*['s.s', ''] * n)} AS ctx, {used.format(*['t', '.t'] * n)} AS t FROM {src} s {joins}"
+    return f"""(SELECT x.*, -ln((coalesce(l.c, 0) + 1.0) / (x.t + V.v)) AS nll
+  FROM ({inner}) x LEFT JOIN levels l ON l.ctx = x.ctx AND l.next = x.next, V)"""
+
+
+
+_reg("lm_03_orders", with_(_LEVELS, " UNION ALL ".join(
+    f"SELECT {n} AS n, CAST(count(*) AS BIGINT) AS n_targets, round(avg(nll), 9) AS loss FROM "
+    + backed_sql(f"(SELECT id AS next, {', '.join(f'{_CTX[k]} AS s{k}' for k in range(n))} FROM bback WHERE {_HAS[n - 1]})", n)
+    for n in range(1, 5))))
+
+
+def _eval_src(n: int) -> str:
+    """Targets of the stride-1 windows of the first 20 batches; a context does not
+    reach before its window."""
+    rows = ", ".join(f"CASE WHEN t.t + 1 >= {k} THEN {_CTX[k]} END AS s{k}" for k in range(n))
+    return f"""(SELECT (x.gpos - 1 - t.t) // {BATCH} AS batch, x.id AS next, {rows}
+  FROM bback x, range(0, {CONTEXT}) t(t), bn
+  WHERE x.gpos - 1 - t.t >= 0 AND x.gpos - 1 - t.t <= least({20 * BATCH - 1}, bn.n - {CONTEXT} - 1))"""
+
+
+_reg("lm_04_orders", with_(_LEVELS + ["bn AS (SELECT count(*) AS n FROM bstream)"], " UNION ALL ".join(
+    f"SELECT {n} AS n, CAST(count(*) AS BIGINT) AS n_batches, round(avg(l), 9) AS loss, round(exp(avg(l)), 9) AS perplexity "
+    f"FROM (SELECT batch, avg(nll) AS l FROM {backed_sql(_eval_src(n), n)} GROUP BY batch)" for n in range(1, 5))))
 
 
 # ------------------------------------------------------------------ run metrics

@@ -378,7 +378,8 @@ def dat_06(spark, sf):
 
 
 # ------------------------------------------------------------------ n-gram model
-TEMP, TOPK, TOPK_SMALL, GEN_STEPS, ALPHA = 0.8, 40, 5, 12, 1.0
+TEMP, TOPK, TOPK_SMALL, GEN_STEPS, ALPHA = 0.8, 40, 5, 200, 1.0
+ORDERS = range(1, 5)  # n of the n-gram models that are compared
 
 
 def _r9(c):
@@ -410,6 +411,62 @@ def lm_02(spark, sf):
                     _r9(F.col("p")).alias("p"), _r9(F.col("logit")).alias("logit"))
 
 
+@query("lm_02_smoothed")
+def lm_02_smoothed(spark, sf):
+    """Add-alpha distributions; next = -1 stands for each token not seen."""
+    m, counts = lm_model(spark, sf)
+    d = N.next_dist(counts, ALPHA, len(m.vocab))
+    return d.select("ctx", "next", "c", "total", _r9(F.col("p")).alias("p"), _r9(F.col("logit")).alias("logit"))
+
+
+@memo
+def lm_levels(spark, sf):
+    """Counts of all contexts of 0 to 3 tokens."""
+    return N.fit_ngram(runs(spark, sf), max(ORDERS)).checkpoint()
+
+
+def _upto(counts, n):
+    return counts.filter(F.size("ctx") < n)
+
+
+@query("lm_02_orders")
+def lm_02_orders(spark, sf):
+    """Distributions after contexts of 0, 1, 2 and 3 tokens."""
+    d = N.next_dist(lm_levels(spark, sf))
+    return d.select("ctx", "next", F.col("c").cast("long").alias("c"), F.col("total").cast("long").alias("total"),
+                    _r9(F.col("p")).alias("p"), _r9(F.col("logit")).alias("logit"))
+
+
+def _by_order(one):
+    out = None
+    for n in ORDERS:
+        row = one(n).withColumn("n", F.lit(n))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("lm_03_orders")
+def lm_03_orders(spark, sf):
+    """Loss of the held-out text under models of order 1 to 4, which back off."""
+    m, levels, held_out = doc_model(spark, sf), lm_levels(spark, sf), bench_stream(spark, sf)
+
+    def one(n):
+        return N.cross_entropy(_upto(levels, n), N.ngram_pairs(held_out, n), len(m.vocab), ALPHA, n=n)
+    return _by_order(one).select("n", F.col("n_targets").cast("long").alias("n_targets"), _r9(F.col("loss")).alias("loss"))
+
+
+@query("lm_04_orders")
+def lm_04_orders(spark, sf):
+    """Estimated validation loss of models of order 1 to 4."""
+    m, levels = doc_model(spark, sf), lm_levels(spark, sf)
+    w = D.windows(bench_stream(spark, sf), CONTEXT, stride=1)
+
+    def one(n):
+        return N.estimate_loss(_upto(levels, n), w, len(m.vocab), BATCH, 20, ALPHA, n)
+    return _by_order(one).select("n", F.col("n_batches").cast("long").alias("n_batches"), _r9(F.col("loss")).alias("loss"),
+                                 _r9(F.col("perplexity")).alias("perplexity"))
+
+
 def _bench_loss(spark, sf):
     m, counts = lm_model(spark, sf)
     targets = N.ngram_pairs(bench_stream(spark, sf), 2)

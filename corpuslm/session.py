@@ -84,3 +84,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="corpuslm-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job has written for itself, wherever it is stored."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -53,3 +53,56 @@ def test_best_flag_nan_never_wins(spark):
     assert flags == [True, False, True, False, True]
     b = M.best_checkpoint(log.filter(~F.isnan("val_loss"))).first()
     assert (b["best_step"], b["best_loss"]) == (5, 1.0)
+
+
+def _grams(ids, n):
+    out = {}
+    for i in range(len(ids)):
+        for k in range(min(n, i + 1)):
+            key = (tuple(ids[i - k: i]), ids[i])
+            out[key] = out.get(key, 0) + 1
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4])
+def test_back_off_model_against_brute_force(spark, n):
+    import random
+    rng = random.Random(n)
+    ids = [rng.randint(0, 5) for _ in range(300)]
+    counts = N.fit_ngram(_stream(spark, ids), n).checkpoint()
+    grams = _grams(ids, n)
+    assert {(tuple(r["ctx"]), r["next"]): r["c"] for r in counts.collect()} == grams
+    totals = {}
+    for (ctx, _), c in grams.items():
+        totals[ctx] = totals.get(ctx, 0) + c
+    rows = [(tuple(rng.randint(0, 7) for _ in range(rng.randint(0, n - 1))), rng.randint(-1, 7)) for _ in range(80)]
+    loss = []
+    for ctx, nxt in rows:
+        while ctx not in totals:
+            ctx = ctx[1:]
+        if nxt != -1:
+            loss.append(-math.log((grams.get((ctx, nxt), 0) + 0.5) / (totals[ctx] + 0.5 * 8)))
+    t = spark.createDataFrame([(list(c), x) for c, x in rows], "ctx array<int>, next int")
+    got = N.cross_entropy(counts, t, 8, 0.5, n=n).first()
+    assert got["n_targets"] == len(loss) and abs(got["loss"] - sum(loss) / len(loss)) < 1e-9
+    p = N.next_dist(counts, 0.5, 8).groupBy("ctx").agg(
+        F.sum(F.when(F.col("next") >= 0, F.col("p"))).alias("seen"), F.count(F.when(F.col("next") >= 0, 1)).alias("k"),
+        F.max(F.when(F.col("next") < 0, F.col("p"))).alias("other")).collect()
+    assert all(abs(r["seen"] + (8 - r["k"]) * (r["other"] or 0) - 1) < 1e-9 for r in p)
+    w = spark.createDataFrame([(0, [1, 2, 3, 4], [2, 3, 4, 5])], "win_id long, x array<int>, y array<int>")
+    ends = sorted((r["t"], tuple(r["ctx"]), r["next"]) for r in N.window_targets(w, n).collect())
+    assert ends == [(t, tuple([1, 2, 3, 4][max(0, t + 2 - n): t + 1]), t + 2) for t in range(4)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_joined_generation_equals_generation_in_place(spark, n):
+    import random
+    rng = random.Random(2)
+    st = _stream(spark, [rng.randint(0, 9) for _ in range(500)])
+    table = N.sampling_table(N.softmax(N.next_dist(N.fit_ngram(st, n)), 0.8, 4)).checkpoint()
+    prompts = spark.createDataFrame([(0, [1, 2]), (1, []), (2, [77, 3, 99]), (3, None)], "prompt_id long, ids array<int>")
+    prompts = prompts.fillna({}).withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
+    here = {r["prompt_id"]: r["ids"] for r in N.generate(prompts, table, 25, n, seed=5).collect()}
+    joined = {r["prompt_id"]: r["ids"] for r in N.generate(prompts, table, 25, n, seed=5, held_entries=0).collect()}
+    assert here == joined and [len(here[k]) for k in range(4)] == [27, 25, 28, 25]
+    assert N.generate(prompts, table.limit(0), 3, n).filter(F.size("ids") > 3).count() == 0
