@@ -29,15 +29,15 @@ def _quantiles(key: str, parts: int) -> Column:
     return F.percentile_approx(key, [i / parts for i in range(1, parts)], max(10_000, 10 * parts))
 
 
-def _place(key: str, borders: list[int]) -> Column:
+def place(key: Column, borders: list[int]) -> Column:
     """The number of ascending ``borders`` below the key, in two steps of about
     sqrt(borders) comparisons each."""
     step = max(1, math.isqrt(len(borders)))
     chunks = [borders[i: i + step] for i in range(0, len(borders), step)]
     last = [c[-1] for c in chunks if len(c) == step]
-    full = F.size(F.filter(F.from_json(F.lit(json.dumps(last)), "array<bigint>"), lambda s: s < F.col(key)))
+    full = F.size(F.filter(F.from_json(F.lit(json.dumps(last)), "array<bigint>"), lambda s: s < key))
     mine = F.get(F.from_json(F.lit(json.dumps(chunks)), "array<array<bigint>>"), full)
-    rest = F.size(F.filter(F.coalesce(mine, F.array().cast("array<bigint>")), lambda s: s < F.col(key)))
+    rest = F.size(F.filter(F.coalesce(mine, F.array().cast("array<bigint>")), lambda s: s < key))
     return (full * step + rest).cast("long")
 
 
@@ -56,7 +56,7 @@ def bucket_of(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -
         borders = df.agg(_quantiles(key, buckets).alias("q")).first()["q"]
     else:
         borders = [borders[i * FIRST_BORDERS // buckets - 1] for i in range(1, buckets)] if borders else []
-    return _place(key, sorted({int(b) for b in borders}))
+    return place(F.col(key), sorted({int(b) for b in borders}))
 
 
 def prefix_sum(df: DataFrame, key: str, size: Column | str, out: str = "start",

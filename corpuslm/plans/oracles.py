@@ -574,10 +574,17 @@ FROM events GROUP BY 1, 2""")
 
 
 # ------------------------------------------------------------------ sources / sinks
-_reg("src_01", with_([CTE_WIKI_RAW], f"""
-SELECT CAST(sum(length(text) + 1) AS BIGINT) AS chars,
-       CAST(sum(len(string_split(text, {NL}))) AS BIGINT) AS newlines,
-       CAST(0 AS BIGINT) AS carriage_returns FROM wiki_raw"""))
+def line_report_sql(text: str) -> str:
+    """Characters, newlines and an order-dependent sum over the lines of one text."""
+    return f"""SELECT CAST(length({text}) AS BIGINT) AS chars, CAST(len(ls) - 1 AS BIGINT) AS newlines, CAST(0 AS BIGINT) AS carriage_returns,
+  CAST(list_sum(list_transform(ls, lambda l, i: length(l) * ((i - 1) % 9973))) AS BIGINT) AS placed_chars"""
+
+
+_reg("src_01", with_([CTE_WIKI_RAW, f"one AS (SELECT string_agg(text || {NL}, '' ORDER BY doc_id) AS t FROM wiki_raw)"],
+                     line_report_sql("t") + f" FROM (SELECT t, string_split(t, {NL}) AS ls FROM one)"))
+_reg("snk_01_text", with_(_PARTS, " UNION ALL ".join(
+    line_report_sql("t").replace("SELECT ", f"SELECT '{s}' AS split, ", 1) + f" FROM (SELECT {c} AS t, string_split({c}, {NL}) AS ls FROM parts)"
+    for s, c in (("train", "tr"), ("val", "va")))))
 _reg("src_02", with_([CTE_WIKI_RAW], """
 SELECT doc_id, 'https://example.org/?curid=' || CAST(doc_id AS VARCHAR) AS url,
        'Title number ' || CAST(doc_id AS VARCHAR) AS title, text FROM wiki_raw"""))

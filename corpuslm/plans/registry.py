@@ -624,16 +624,41 @@ def _scratch(spark, name):
     return os.path.join(ensure_checkpoint_dir(spark), "io", f"{name}-{uuid.uuid4().hex[:8]}")
 
 
+def _line_report(spark, path, *keys):
+    """Characters of the text, its newlines and carriage returns, and a sum that
+    depends on the order of the lines."""
+    from corpuslm.sources import io as IO
+    lines = IO.read_lines(spark, path).checkpoint()
+    last = lines.agg(F.max("path").alias("path")).first()["path"]
+    open_end = last is not None and not IO.ends_with_newline(spark, last)
+    weight = F.length("line") * (F.col("line_no") % WEIGHT)
+    return IO.number_lines(lines).agg(
+        (F.sum(F.length("line")) + F.count(F.lit(1)) - int(open_end)).cast("long").alias("chars"),
+        (F.count(F.lit(1)) - int(open_end)).cast("long").alias("newlines"),
+        F.sum(F.regexp_count("line", F.lit("\r"))).cast("long").alias("carriage_returns"),
+        F.sum(weight).cast("long").alias("placed_chars"))
+
+
 @query("src_01")
 def src_01(spark, sf):
-    from corpuslm.sources import io as IO
+    """Raw text with CR LF read by byte ranges, in order."""
     out = _scratch(spark, "raw")
     (V.wiki_raw(spark, sf).orderBy("doc_id").select(F.replace("text", F.lit("\n"), F.lit("\r\n")).alias("v"))
-      .coalesce(1).write.text(out))
-    r = IO.read_raw(spark, out)
-    return r.agg(F.sum(F.length("text")).cast("long").alias("chars"),
-                 F.sum(F.regexp_count("text", F.lit("\n"))).cast("long").alias("newlines"),
-                 F.sum(F.regexp_count("text", F.lit("\r"))).cast("long").alias("carriage_returns"))
+      .write.option("lineSep", "\r\n").text(out))
+    return _line_report(spark, out)
+
+
+@query("snk_01_text")
+def snk_01_text(spark, sf):
+    """The plain text of both splits (corpus scope), written and read again."""
+    from corpuslm.sources import io as IO
+    out, pieces = _scratch(spark, "text"), S.split_corpus(joined_wiki(spark, sf)).checkpoint()
+    IO.write_split(pieces, f"{out}/table", f"{out}/text")
+    found = None
+    for s in ("train", "val"):
+        r = _line_report(spark, f"{out}/text/{s}").select(F.lit(s).alias("split"), "*")
+        found = r if found is None else found.unionByName(r)
+    return found
 
 
 @query("src_02")

@@ -7,24 +7,74 @@ reference's file formats (plain text, vocab JSON) offered as exports.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslm.functions.text import WS
+from corpuslm.operators.order import place, prefix_sum
 
 UINT16_MAX = 65535
 
 
 # ------------------------------------------------------------------ sources
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-01: one row per file ``(path, text)``, UTF-8, universal newlines
-    (``\\r\\n`` and ``\\r`` become ``\\n``, as Python's text mode does)."""
+    """SRC-01 for small files: one row per file ``(path, text)``, UTF-8, universal
+    newlines (``\\r\\n`` and ``\\r`` become ``\\n``, as Python's text mode does).
+    A large file is read by ``read_lines``."""
     d = spark.read.text(path, wholetext=True)
     return d.select(F.input_file_name().alias("path"),
                     F.regexp_replace("value", "\r\n?", "\n").alias("text"))
 
 
+LINE_ROWS = 100_000  # blocks whose line counts go to every task; beyond, they are joined
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-01 for files of any size: ``(path, block, row, line)`` in universal
+    newlines (LF, CR LF and CR end a line), UTF-8.
+
+    Spark cuts a file into byte ranges and gives each line to the range that it
+    begins in, so one large file is read by many tasks.  ``(path, block, row)``
+    orders the lines: the file, the start of the byte range, and a number that
+    grows within it."""
+    d = spark.read.text(path)
+    return d.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"), F.col("value").alias("line"))
+
+
+def number_lines(lines: DataFrame, held: int = LINE_ROWS) -> DataFrame:
+    """Lines of ``read_lines`` with ``line_no``, from 0 over all files in path
+    order.  Lines are counted by byte range; no line is moved if there are at most
+    ``held`` ranges."""
+    at = lines.groupBy("path", "block").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first")).checkpoint()
+    # one row per byte range (128 MB by default), in two levels: files, and the ranges of a file
+    files = at.groupBy("path").agg(F.sum("n").alias("n"))
+    whole = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("path", F.coalesce(F.sum("n").over(whole), F.lit(0)).alias("before"))
+    in_file = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    at = at.withColumn("in_file", F.coalesce(F.sum("n").over(in_file), F.lit(0))).join(files, "path").select(
+        "path", "block", (F.col("before") + F.col("in_file") - F.col("first")).alias("shift"))
+    if at.count() <= held:
+        at = F.broadcast(at)
+    return lines.join(at, ["path", "block"]).select("path", "block", "row", (F.col("row") + F.col("shift")).alias("line_no"), "line")
+
+
+def ends_with_newline(spark: SparkSession, path: str) -> bool:
+    """Whether the last byte of one file ends a line; one byte is read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = store.getFileStatus(where).getLen()
+    if size == 0:
+        return False
+    with_last = store.open(where)
+    try:
+        with_last.seek(size - 1)
+        return with_last.read() in (10, 13)
+    finally:
+        with_last.close()
+
+
 def read_extracted(spark: SparkSession, directory: str, glob: str = "wiki_*") -> DataFrame:
     """SRC-02: every ``<doc id url title>`` ... ``</doc>`` block of a directory
     of extracted dump files as ``(doc_id, url, title, text)``; ``text`` keeps
@@ -73,7 +123,7 @@ def read_tokenizer(spark: SparkSession, path: str) -> tuple[dict[str, int], list
         raise ValueError(f"tokenizer file must hold one object, found {len(rows)}")
     r = rows[0]
     if r["vocab"] is None or r["merges"] is None:
-        raise ValueError("Tokenizer file missing required fields")
+        raise ValueError(f"{path} lacks the vocabulary or the merges")
     merges = []
     for m in r["merges"]:
         if m is None or len(m) != 2:
@@ -88,15 +138,44 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ sinks
+PART_BYTES = 128 << 20
+
+
 def write_split(pieces: DataFrame, path: str, text_dir: str | None = None) -> None:
-    """SNK-01: the split table, partitioned by ``split``; optionally the
-    plain-text files too (one piece per line, key order: the part files of a
-    split's folder, in name order, are its joined text plus a final newline)."""
+    """SNK-01: the split table, partitioned by ``split``; optionally the plain
+    text of each split too (``write_text``)."""
     pieces.write.mode("overwrite").partitionBy("split").parquet(path)
     if text_dir:
         for s in ("train", "val"):
-            (pieces.filter(F.col("split") == s).orderBy("doc_id").select("text")
-                   .write.mode("overwrite").text(f"{text_dir}/{s}"))
+            write_text(pieces.filter(F.col("split") == s), f"{text_dir}/{s}")
+
+
+def write_text(pieces: DataFrame, path: str, key: str = "doc_id", part_bytes: int = PART_BYTES) -> None:
+    """SNK-01: the pieces joined with ``\\n`` in key order, as text files whose
+    bytes, put together in the order of their names, are exactly that text.
+
+    Byte offsets come from a two-level prefix sum over the lengths.  A part begins
+    with the first piece at or after a multiple of ``part_bytes``, so it is no longer
+    than that and one piece.  The writer ends every row with a newline; the last
+    piece, which has none, is written by itself, with its last character in the
+    newline's place.  Keys are unique integers; a null text is an empty piece."""
+    t = pieces.select(F.col(key).cast("long").alias("k"), F.coalesce("text", F.lit("")).alias("text"))
+    last = t.agg(F.max_by(F.struct("k", F.substring("text", -1, 1).alias("end")), "k").alias("x")).first()["x"]
+    if last is None:  # no pieces: an empty file
+        t.select(F.lit("0").alias("part"), "text").write.mode("overwrite").partitionBy("part").text(path)
+        return
+    starts = prefix_sum(t.select("k", (F.octet_length("text") + 1).alias("n")), "k", "n", "start")
+    part = F.floor(F.col("start") / part_bytes)
+    borders = [r["k"] for r in starts.groupBy(part.alias("part")).agg(F.min("k").alias("k")).orderBy("part").collect()]  # one a part
+    digits = len(str(len(borders)))
+    name = lambda c: F.lpad(c.cast("string"), digits, "0").alias("part")
+    body = t.filter(F.col("k") < last["k"]).select("k", "text", name(place(F.col("k") + 1, borders) - 1))
+    # sorted by the folder first, as the writer wants it, so that it does not sort again
+    (body.repartition("part").sortWithinPartitions("part", "k").select("part", "text")
+         .write.mode("overwrite").partitionBy("part").text(path))
+    if last["end"]:
+        tail = t.filter(F.col("k") == last["k"]).select(name(F.lit(len(borders))), F.expr("substring(text, 1, length(text) - 1)").alias("text"))
+        tail.coalesce(1).write.mode("append").partitionBy("part").option("lineSep", last["end"]).text(path)
 
 
 def tokenizer_json(vocab: DataFrame, merges: DataFrame) -> DataFrame:
