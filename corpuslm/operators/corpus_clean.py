@@ -8,7 +8,12 @@ cleaned by itself and learns two things from the documents before it: the last
 non-blank line (its MD5) and whether the last line is empty.  Both are carried
 by two-level windows over narrow columns; no text is shuffled.
 
-A tag that begins in one document and ends in a later one is not removed.
+A tag may begin in one document and end in a later one.  Read from its start, a
+document either leaves the reader where it was (it has no ``>`` and opens no tag),
+or inside a tag, or outside, whatever the reader's state before: after its last
+``>`` the reader is outside in any case.  So the state before a document is what the
+last document that sets it says, which the same two-level windows carry.  Only
+documents that such a tag touches are brought together.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuslm.functions.text import strip_ws
+from corpuslm.functions.text import DOC_OPEN, WS, strip_ws
 from corpuslm.operators import clean as C
 from corpuslm.operators.order import last_before, prefix_sum
 
@@ -40,15 +45,51 @@ def _single_blanks(lines: Column) -> Column:
     return C.let(lines, lambda ls: F.filter(ls, lambda x, i: (x != "") | (i == 0) | (F.get(ls, i - 1) != "")))
 
 
+OPENED = "<doc(?:" + WS + r"|\z)"  # a tag that no > closes; at the end of a document a newline follows
+
+
+def strip_open_joined(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """CLN-01 in corpus scope: ``(key, text)`` without ``<doc ...>`` tags, those
+    over several documents included.  The documents that such a tag joins become
+    one row under the first one's key.  Texts are not null."""
+    k, t = F.col(key), F.col(text_col)
+    tail = F.substring_index(t, ">", -1)  # behind the last >, or the whole text
+    closes, opens = F.contains(t, F.lit(">")), F.rlike(tail, F.lit(OPENED))
+    marks = docs.select(key, closes.alias("closes"), F.when(closes, opens).when(opens, F.lit(True)).alias("state")).checkpoint()
+    facts = marks.agg(F.max(F.when(F.col("closes"), k)).alias("last"), F.bool_or("state").alias("any")).first()
+    if facts["last"] is None or not facts["any"]:
+        return docs.select(key, C.strip_doc_open(t).alias("text"))
+    last = F.lit(facts["last"])  # a tag that is open behind the last > is no tag
+    seen = last_before(marks, key, "state", "before").withColumn("inside", F.coalesce("before", F.lit(False)) & (k <= last))
+    seen = seen.withColumn("open", F.coalesce("state", "before", F.lit(False)) & (k < last))
+    seen = last_before(seen.withColumn("outside", F.when(~F.col("inside"), k)).checkpoint(), key, "outside", "earlier")
+    chain = seen.filter(F.col("inside") | F.col("open")).select(
+        key, "inside", "open", F.coalesce("outside", "earlier").alias("head")).checkpoint()
+    if chain.count() <= FEW_KEYS:
+        chain = F.broadcast(chain)
+    d = docs.select(key, t.alias("text")).join(chain, key, "left")
+    t = F.col("text")
+    tail = F.substring_index(t, ">", -1)
+    front = F.when(F.col("inside"), F.expr("substring(text, length(substring_index(text, '>', 1)) + 2)")).otherwise(t)
+    front = F.substring(front, F.lit(1), F.greatest(F.length(front) - F.length(tail), F.lit(0)))
+    cut = F.when(F.col("open"), F.regexp_replace(tail, OPENED + r"[\s\S]*", "")).otherwise(tail)
+    gone = F.col("inside") & ~F.contains(t, F.lit(">"))
+    piece = F.when(gone, F.lit("")).otherwise(F.concat(F.regexp_replace(front, DOC_OPEN, ""), cut))
+    alone = d.filter(F.col("head").isNull()).select(key, C.strip_doc_open(t).alias("text"))
+    joined = d.filter(F.col("head").isNotNull()).select("head", key, piece.alias("text")).groupBy("head").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, "text"))), lambda x: x["text"]), "").alias("text"))
+    return alone.unionByName(joined.select(F.col("head").alias(key), "text"))
+
+
 def clean_joined(docs: DataFrame, key: str = "doc_id", text_col: str = "text", lowercase: bool = False,
                  min_len: int = 10) -> DataFrame:
-    """CLN-04/06/10/13/14 in corpus scope: ``(key, text)``, the lines that each
+    """CLN-01/04/06/10/13/14 in corpus scope: ``(key, text)``, the lines that each
     document gives to the cleaned corpus; the corpus is these texts joined with
     ``\\n`` in key order.  Documents that give no line have no row.  A null text
     gives none; the key is a unique integer."""
-    t = F.col(text_col)
-    tagless = C.squeeze_blank(C.blank_url_lines(C.strip_doc_close(C.strip_doc_open(t))))
-    d = (docs.filter(t.isNotNull()).select(key, C.dedup_adjacent_lines(C.split_lines(tagless)).alias("lines"))
+    t = F.col("text")
+    tagless = C.squeeze_blank(C.blank_url_lines(C.strip_doc_close(t)))
+    d = (strip_open_joined(docs.filter(F.col(text_col).isNotNull()), key, text_col).select(key, C.dedup_adjacent_lines(C.split_lines(tagless)).alias("lines"))
              .checkpoint())
     # a line that repeats the last non-blank line of the documents before
     at = F.when(F.col("lines")[0] == "", F.lit(1)).otherwise(F.lit(0))  # one blank line at most comes first

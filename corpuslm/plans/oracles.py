@@ -202,6 +202,13 @@ _CORPUS = _JOINED + clean_ctes("one")
 _reg("cln_14_corpus", with_(_CORPUS + [lines_of("c_final", "fl")], "SELECT CAST(line_no AS BIGINT) AS line_no, line FROM fl"))
 _PARTS = _CORPUS + ["corpus AS (SELECT text AS t FROM c_final)"] + _SPLIT[-3:] + [
     "parts AS MATERIALIZED (SELECT substring(t, 1, c) AS tr, substring(t, c + 1) AS va FROM sp3)"]
+_reg("cln_01_corpus", with_([f"""tagged AS (SELECT doc_id, CASE
+    WHEN doc_id % 7 = 3 THEN text || {NL} || '<doc id="' || CAST(doc_id AS VARCHAR)
+    WHEN doc_id % 7 = 5 THEN '" title="t">' || text
+    WHEN doc_id % 11 = 0 THEN text || ' <doc' ELSE text END AS text FROM documents)""",
+    f"""one AS (SELECT string_split(regexp_replace(string_agg(text, {NL} ORDER BY doc_id), '<doc[ \t\n\r]+[^>]*>', '', 'g'), {NL}) AS ls
+         FROM tagged)"""], """
+SELECT CAST(generate_subscripts(ls, 1) - 1 AS BIGINT) AS line_no, unnest(ls) AS line FROM one"""))
 _reg("spl_04_corpus", with_(_PARTS, """
 SELECT split, CAST(chars AS BIGINT) AS chars, CAST(bytes AS BIGINT) AS bytes, round(bytes / 1048576.0, 6) AS mb FROM (
   SELECT 'train' AS split, length(tr) AS chars, strlen(tr) AS bytes FROM parts
@@ -290,8 +297,16 @@ SELECT l AS "left", r AS "right", n, CAST(first.w AS BIGINT) AS first_word, CAST
 _reg("tok_06", with_([CTE_WORDS, CTE_FREQ, CTE_RANKED, f"p AS ({pairs_sql('ranked')})"],
                      'SELECT l AS "left", r AS "right", n FROM p ORDER BY n DESC, first ASC LIMIT 1'))
 _reg("tok_07", with_([CTE_WORDS, CTE_FREQ, CTE_RANKED, f"p AS MATERIALIZED ({pairs_sql('ranked')})",
-                      "b AS MATERIALIZED (SELECT l, r FROM p ORDER BY n DESC, first ASC LIMIT 1)"],
-                     f"SELECT word, string_split(trim({merge_sym('sym', 'b')}), '  ') AS symbols FROM ranked, b"))
+                      """b AS MATERIALIZED (SELECT ' ' || l || '  ' || r || ' ' AS old, ' ' || l || r || ' ' AS new FROM p
+                         ORDER BY n DESC, first ASC LIMIT 1)"""], """
+SELECT word, string_split(trim(replace(sym, (SELECT old FROM b), (SELECT new FROM b))), '  ') AS symbols FROM ranked"""))
+# whatever the merges are: decoding gives the words back, the vocabulary is full, its last token occurs
+_reg("tok_14_full", with_([CTE_WORDS], """
+SELECT d.doc_id, coalesce(a.text, '') AS text FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg(word, '' ORDER BY pos) AS text FROM words GROUP BY doc_id) a USING (doc_id)"""))
+_reg("tok_16_full", with_([CTE_WORDS, CTE_FREQ, CTE_ALPHA], """
+SELECT CAST(5000 AS BIGINT) AS vocab_size, CAST(5000 - count(*) AS BIGINT) AS num_merges FROM alpha"""))
+_reg("tok_17_full", "SELECT CAST(5000 AS BIGINT) AS vocab_size, CAST(4999 AS BIGINT) AS max_id, CAST(0 AS BIGINT) AS out_of_range")
 _reg("tok_08", with_(train_ctes(), 'SELECT rank, "left", "right" FROM merges'))
 _reg("tok_10", with_(train_ctes(), "SELECT token, id FROM vocab"))
 _reg("tok_11", with_(train_ctes() + encode_ctes("words")[:1], "SELECT word, tokens FROM enc"))

@@ -116,6 +116,12 @@ def joined_wiki(spark, sf):
     return CC.clean_joined(V.wiki_raw(spark, sf)).checkpoint()
 
 
+@query("cln_01_corpus")
+def cln_01_corpus(spark, sf):
+    """The lines of the corpus without tags, those over several documents included."""
+    return CC.corpus_lines(CC.strip_open_joined(V.tagged_docs(spark, sf).checkpoint()).checkpoint())
+
+
 @query("cln_14_corpus")
 def cln_14_corpus(spark, sf):
     """The lines of the corpus cleaned as one text."""
@@ -310,6 +316,72 @@ def tok_17(spark, sf):
     return B.check_vocab(enc, len(m.vocab))
 
 
+# The whole vocabulary of 5,000.  The queries above and below that stop EXTRA_MERGES
+# beyond the alphabet stay, since SQL can follow them merge by merge.
+VOCABULARY = 5000
+
+
+@memo
+def full_model(spark, sf) -> B.BPEModel:
+    freqs = W.word_table(V.documents(spark, sf)).checkpoint()
+    return B.train_bpe(freqs, vocab_size=VOCABULARY)
+
+
+@memo
+def full_tokens(spark, sf):
+    m = full_model(spark, sf)
+    return B.encode_corpus(V.documents(spark, sf), m.merges, m.vocab).checkpoint()
+
+
+@query("tok_08_full")
+def tok_08_full(spark, sf):
+    return full_model(spark, sf).merges_df(spark)
+
+
+@query("tok_10_full")
+def tok_10_full(spark, sf):
+    return full_model(spark, sf).vocab_df(spark)
+
+
+@query("tok_11_full")
+def tok_11_full(spark, sf):
+    m = full_model(spark, sf)
+    distinct = W.pretokenize(V.documents(spark, sf)).select("word").distinct()
+    return B.encode_words(distinct, m.merges, m.vocab).select("word", "tokens")
+
+
+@query("tok_12_full")
+def tok_12_full(spark, sf):
+    return full_tokens(spark, sf)
+
+
+@query("tok_13_full")
+def tok_13_full(spark, sf):
+    m = full_model(spark, sf)
+    bench = V.table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    return B.encode_corpus(bench, m.merges, m.vocab)
+
+
+@query("tok_14_full")
+def tok_14_full(spark, sf):
+    return B.decode(full_tokens(spark, sf), full_model(spark, sf).vocab_df(spark))
+
+
+@query("tok_15_full")
+def tok_15_full(spark, sf):
+    return B.token_report(full_tokens(spark, sf), V.documents(spark, sf))
+
+
+@query("tok_16_full")
+def tok_16_full(spark, sf):
+    return B.tokenizer_info(full_model(spark, sf), spark)
+
+
+@query("tok_17_full")
+def tok_17_full(spark, sf):
+    return B.check_vocab(full_tokens(spark, sf), len(full_model(spark, sf).vocab))
+
+
 # ------------------------------------------------------------------ datasets
 CONTEXT = 16      # context length of the checked datasets
 BATCH = 32        # reference default batch size
@@ -393,8 +465,8 @@ def lm_model(spark, sf):
 
 
 @memo
-def bench_stream(spark, sf, m=None):
-    m = m or doc_model(spark, sf)
+def bench_stream(spark, sf):
+    m = doc_model(spark, sf)
     bench = V.table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     return D.token_runs(B.encode_corpus(bench, m.merges, m.vocab)).checkpoint()
 
@@ -531,6 +603,46 @@ def lm_09(spark, sf):
     return gen.join(text, "prompt_id").select("prompt_id", "ids", "text")
 
 
+@memo
+def full_runs(spark, sf):
+    return D.token_runs(full_tokens(spark, sf)).checkpoint()
+
+
+@query("dat_02_full")
+def dat_02_full(spark, sf):
+    """Disjoint windows under the whole vocabulary."""
+    return D.windows(full_runs(spark, sf), CONTEXT, stride=CONTEXT)
+
+
+@memo
+def full_bench(spark, sf):
+    m = full_model(spark, sf)
+    bench = V.table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    return D.token_runs(B.encode_corpus(bench, m.merges, m.vocab)).checkpoint()
+
+
+@query("lm_04_full")
+def lm_04_full(spark, sf):
+    """Estimated validation loss of models of order 1 to 4 under the whole vocabulary."""
+    m, levels = full_model(spark, sf), N.fit_ngram(full_runs(spark, sf), max(ORDERS)).checkpoint()
+    w = D.windows(full_bench(spark, sf), CONTEXT, stride=1)
+
+    def one(n):
+        return N.estimate_loss(_upto(levels, n), w, len(m.vocab), BATCH, 20, ALPHA, n)
+    return _by_order(one).select("n", F.col("n_batches").cast("long").alias("n_batches"), _r9(F.col("loss")).alias("loss"),
+                                 _r9(F.col("perplexity")).alias("perplexity"))
+
+
+@query("lm_09_full")
+def lm_09_full(spark, sf):
+    """200 tokens for every prompt under the whole vocabulary."""
+    m, counts = full_model(spark, sf), N.fit_ngram(full_runs(spark, sf), 2)
+    t = N.sampling_table(N.softmax(N.next_dist(counts), TEMP, TOPK)).checkpoint()
+    pr = V.prompts(spark, sf).select(F.col("prompt_id").alias("doc_id"), "text")
+    ids = B.encode_corpus(pr, m.merges, m.vocab).withColumnRenamed("doc_id", "prompt_id")
+    return N.generate(ids, t, max_tokens=GEN_STEPS, n=2, seed=0)
+
+
 # ------------------------------------------------------------------ run metrics
 LOG_EVERY, EVAL_EVERY, SAVE_EVERY = 5, 10, 30   # the reference's 100/500/1500, scaled to the fixture
 

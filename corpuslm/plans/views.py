@@ -54,6 +54,15 @@ def wiki_of(d: DataFrame) -> DataFrame:
     return d.select("doc_id", text.alias("text"))
 
 
+def tagged_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with tags that begin in one and end in a later one, or nowhere."""
+    d = documents(spark, sf_dir)
+    opened = F.concat("text", F.lit('\n<doc id="'), F.col("doc_id").cast("string"))
+    closed = F.concat(F.lit('" title="t">'), F.col("text"))
+    return d.select("doc_id", F.when(F.col("doc_id") % 7 == 3, opened).when(F.col("doc_id") % 7 == 5, closed)
+                    .when(F.col("doc_id") % 11 == 0, F.concat("text", F.lit(" <doc"))).otherwise(F.col("text")).alias("text"))
+
+
 def noisy_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with characters the cleaner must remove or normalise:
     BEL and soft hyphen (category C), no-break space (NFKD -> space)."""

@@ -24,6 +24,22 @@ def test_corpus_scope_equals_cleaning_the_joined_text(spark):
         assert _joined(spark, docs, lowercase=case == 5) == want, docs
 
 
+TAGS = ["<doc", "<doc id=3", "a tag <doc\tx=1", "that ends here> and goes on", "plain text without any mark", "x > y, a long line",
+        "</d", "oc> after the tag, long", "<do", "c> no tag, long enough", "<doc><doc y", ">", "</doc>", "<doc z>whole tag, long line"]
+
+
+def test_tags_over_several_documents(spark):
+    rng = random.Random(12)
+    for _ in range(4):
+        docs = [(3 * i - 8, "\n".join(rng.choice(TAGS) for _ in range(rng.randint(1, 3)))) for i in range(rng.randint(1, 14))]
+        docs.insert(len(docs) // 2, (docs[-1][0] + 1, None))
+        texts = [t for _, t in docs if t is not None]
+        assert _joined(spark, docs) == spec_clean("\n".join(texts)), docs
+    # a tag over a third of all documents is one join of short pieces
+    docs = [(i, "before the tag it is <doc " if i == 10 else "after> the tag, long" if i == 40 else f"document number {i}") for i in range(90)]
+    assert _joined(spark, docs) == spec_clean("\n".join(t for _, t in docs))
+
+
 def test_corpus_scope_of_blank_null_and_no_documents(spark):
     assert _joined(spark, [(1, ""), (2, None), (3, " \n ")]) == ""
     assert _joined(spark, []) == ""
