@@ -5,10 +5,15 @@ digits become ``{n}``, long hexadecimal ids ``{x}``.  Per host the segments
 form a tree with counts of pages, labelled pages and bad ones.  Level by level
 a branch becomes a wildcard ``*`` if its share of bad pages does not differ
 from its siblings' (two-proportion test), or if a node has very many branches
-and this one is rare.  A template (the host and its branches from the root) is
-rejected if its smoothed purity, (bad + strength * prior) / (labelled +
-strength), reaches ``purity``.  Branches without enough labels are never merged
-with labelled ones: no evidence is not similarity.
+and this one is rare.  Branches without enough labels are never merged with
+labelled ones: no evidence is not similarity.  A path is followed as far as it has
+siblings, however deep; what is left of it then belongs to the template as it is.
+
+A template is judged by its own labels where there are ``min_labels`` of them; else
+by the labels of the same template on all hosts; else by those of its nearest
+ancestor on all hosts that has as many.  It is rejected if the smoothed purity,
+(bad + strength * prior) / (labelled + strength) with a fixed prior, reaches
+``purity``.  Without such an ancestor (the root is none) it is allowed.
 
 Labels: a table (page_id, bad), or by default the verdicts of the rules
 themselves, which say of the pages they fit whether they are bad.
@@ -18,8 +23,8 @@ a host with a third of all pages costs its distinct patterns.
 
 Defined results.  A null url, or one without ``://``, has an empty host and
 path and is judged like a host named "".  Repeated pages each get a row.  Of
-rules that fit, the longest wins, ties by text.  An empty table gives no rows.
-Other columns are ignored.
+rules that fit, the longest wins, ties by text.  A very long url is judged whole.
+An empty table gives no rows.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,12 +40,12 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 
 @dataclass(frozen=True)
 class Params:
-    depth: int = 3  # levels of the tree; deeper segments do not tell templates apart
     max_branches: int = 50
     min_pages: int = 20  # of a branch of a node with more branches than that
     min_labels: int = 8
     z_same: float = 1.64  # below it two shares of bad pages do not differ
     strength: float = 4.0
+    prior: float = 0.5
     purity: float = 0.8
 
 
@@ -61,68 +66,107 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _segment(path: Column, k: int) -> Column:
-    """The k-th segment, generalised ("" beyond the last)."""
-    s = F.coalesce(F.get(F.filter(F.split(path, "/"), lambda x: x != ""), F.lit(k)), F.lit(""))
-    is_id = F.rlike(s, F.lit("^[0-9a-fA-F-]{12,}$")) & F.rlike(s, F.lit("[0-9]"))
-    return F.when(is_id, "{x}").otherwise(F.regexp_replace(s, "[0-9]+", "{n}"))
+def pattern(path: Column) -> Column:
+    """The generalised path, segments between slashes."""
+    def general(s: Column) -> Column:
+        is_id = F.rlike(s, F.lit("^[0-9a-fA-F-]{12,}$")) & F.rlike(s, F.lit("[0-9]"))
+        return F.when(is_id, "{x}").otherwise(F.regexp_replace(s, "[0-9]+", "{n}"))
+    return F.array_join(F.transform(F.filter(F.split(path, "/"), lambda x: x != ""), general), "/")
 
 
 def _sums() -> list[Column]:
     return [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
 
 
+NODE = ["host", "template"]
+
+
+def _named(t: DataFrame, p: Params) -> DataFrame:
+    """``t`` with the next segment, or its wildcard, added to the template."""
+    t = t.withColumn("segment", F.get("segments", F.col("k")))
+    branch = t.groupBy(*NODE, "segment").agg(*_sums())
+    whole = branch.groupBy(*NODE).agg(F.count(F.lit(1)).alias("branches"), F.sum("labelled").alias("all_l"),
+                                      F.sum("bad").alias("all_b"))
+    b = branch.join(whole, NODE)
+    one = F.lit(1)
+    rest_l, rest_b = F.col("all_l") - F.col("labelled"), F.col("all_b") - F.col("bad")
+    share = F.col("all_b") / F.greatest(F.col("all_l"), one)
+    err = F.sqrt(share * (1 - share) * (1 / F.greatest(F.col("labelled"), one) + 1 / F.greatest(rest_l, one)))
+    gap = F.abs(F.col("bad") / F.greatest(F.col("labelled"), one) - rest_b / F.greatest(rest_l, one))
+    same = (F.col("labelled") >= p.min_labels) & (rest_l >= p.min_labels) & (gap <= p.z_same * err + 1e-9)
+    rare = (F.col("branches") > p.max_branches) & (F.col("n") < p.min_pages)
+    b = b.select(*NODE, "segment", F.when(same | rare, "*").otherwise(F.col("segment")).alias("name"))
+    return t.join(b, [*NODE, "segment"]).withColumn("template", F.concat("template", F.lit("/"), "name")).withColumn(
+        "k", F.col("k") + 1).drop("segment", "name")
+
+
 def templates(pages: DataFrame, p: Params) -> DataFrame:
-    """From rows (host, g0.., labelled, bad): per host and pattern its template
-    and the template's counts.  ``pages`` has one row per page."""
-    raw = [f"g{k}" for k in range(p.depth)]
-    done = [f"t{k}" for k in range(p.depth)]
-    t = pages.withColumn("n", F.lit(1)).groupBy("host", *raw).agg(*_sums())
-    t = t.select("*", *[F.col(g).alias(d) for g, d in zip(raw, done, strict=True)]).checkpoint()
-    for k in range(p.depth):
-        node = ["host", *done[:k]]
-        branch = t.groupBy(*node, done[k]).agg(*_sums())
-        whole = branch.groupBy(*node).agg(F.count(F.lit(1)).alias("branches"), F.sum("labelled").alias("all_l"),
-                                          F.sum("bad").alias("all_b"))
-        b = branch.join(whole, node)
-        rest_l, rest_b = F.col("all_l") - F.col("labelled"), F.col("all_b") - F.col("bad")
-        share = F.col("all_b") / F.greatest(F.col("all_l"), F.lit(1))
-        err = F.sqrt(share * (1 - share) * (1 / F.greatest(F.col("labelled"), F.lit(1))
-                                            + 1 / F.greatest(rest_l, F.lit(1))))
-        gap = F.abs(F.col("bad") / F.greatest(F.col("labelled"), F.lit(1)) - rest_b / F.greatest(rest_l, F.lit(1)))
-        same = (F.col("labelled") >= p.min_labels) & (rest_l >= p.min_labels) & (gap <= p.z_same * err + 1e-9)
-        rare = (F.col("branches") > p.max_branches) & (F.col("n") < p.min_pages)
-        name = F.when(F.col(done[k]) == "", F.lit("")).when(same | rare, "*").otherwise(F.col(done[k]))
-        b = b.select(*node, done[k], name.alias("__name"))
-        t = t.join(b, [*node, done[k]]).withColumn(done[k], F.col("__name")).drop("__name")
-    counts = t.groupBy("host", *done).agg(F.sum("labelled").alias("t_labelled"), F.sum("bad").alias("t_bad"))
-    return t.select("host", *raw, *done).join(counts, ["host", *done])
+    """``(host, pattern, template, n, labelled, bad)`` of each host and pattern, from
+    rows (host, pattern, labelled, bad), one per page."""
+    t = pages.withColumn("n", F.lit(1)).groupBy("host", "pattern").agg(*_sums())
+    segments = F.filter(F.split("pattern", "/"), lambda x: x != "")
+    t = t.withColumn("segments", segments).withColumn("template", F.lit("")).withColumn("k", F.lit(0)).checkpoint()
+    done = None
+    below = lambda lo, hi: F.when(hi > lo, F.concat(F.lit("/"), F.array_join(F.slice("segments", lo + 1, hi - lo), "/"))).otherwise("")
+    while True:
+        # what all paths of a node share (the first and the last of them do) has no siblings
+        least, most = F.col("least"), F.col("most")
+        upto = F.least(F.size(least), F.size(most))
+        differs = F.filter(F.when(upto > 0, F.sequence(F.lit(0), upto - 1)).otherwise(F.array().cast("array<int>")),
+                           lambda i: F.get(least, i) != F.get(most, i))
+        node = t.groupBy(*NODE).agg(F.count(F.lit(1)).alias("paths"), F.min("segments").alias("least"), F.max("segments").alias("most"))
+        node = node.select(*NODE, "paths", F.coalesce(F.get(differs, F.lit(0)), upto).alias("same"))
+        t = t.join(node, NODE).withColumn("template", F.concat("template", below(F.col("k"), F.col("same")))).withColumn(
+            "k", F.greatest("k", "same")).checkpoint()
+        # a path with siblings goes on; one that ends here, or stands alone, is done
+        goes_on = (F.col("paths") > 1) & (F.size("segments") > F.col("k"))
+        ended = t.filter(~goes_on).select("host", "pattern", F.concat("template", below(F.col("k"), F.size("segments"))).alias("template"),
+                                          "n", "labelled", "bad")
+        done = ended if done is None else done.unionByName(ended)
+        t = t.filter(goes_on).drop("paths", "same")
+        if t.isEmpty():
+            return done
+        t = _named(t, p)
+
+
+def evidence(t: DataFrame, p: Params) -> DataFrame:
+    """``(host, template, labelled, bad, basis)``: the labels that judge a template,
+    and whose they are: ``host``, ``path`` (all hosts) or null (none)."""
+    own = t.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b")).checkpoint()
+    paths = own.groupBy("template").agg(F.sum("l").alias("l"), F.sum("b").alias("b"))
+    parts = F.split("template", "/")  # the first is empty
+    above = paths.filter(F.size(parts) > 1).select("template", "l", "b", F.explode(F.sequence(F.lit(2), F.size(parts))).alias("size")).select(
+        "template", "l", "b", "size", F.array_join(F.slice(parts, F.lit(1), F.col("size")), "/").alias("node"))
+    above = above.checkpoint()
+    pool = above.groupBy("node").agg(F.sum("l").alias("all_l"), F.sum("b").alias("all_b")).filter(F.col("all_l") >= p.min_labels)
+    near = above.join(pool, "node").groupBy("template").agg(F.max_by(F.struct("all_l", "all_b"), "size").alias("near"))
+    enough = F.col("l") >= p.min_labels
+    return own.join(near, "template", "left").select(
+        "host", "template", F.when(enough, F.col("l")).otherwise(F.coalesce("near.all_l", F.lit(0))).alias("labelled"),
+        F.when(enough, F.col("b")).otherwise(F.coalesce("near.all_b", F.lit(0))).alias("bad"),
+        F.when(enough, "host").when(F.col("near").isNotNull(), "path").alias("basis"))
 
 
 def verdicts(pages: DataFrame, rules=RULES, labels: DataFrame | None = None, params: Params = Params()) -> DataFrame:
-    """One row per page: page_id, host, path, rule, verdict, template and
-    purity."""
+    """One row per page: page_id, host, path, rule, verdict, template, purity and
+    basis (whose labels gave it)."""
     p = params
     host, path = parsed(F.col("url"))
     d = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, said = rule_of(F.col("host"), F.col("path"), rules)
-    raw = [f"g{k}" for k in range(p.depth)]
-    d = d.select("*", rule.alias("rule"), said.alias("said"),
-                 *[_segment(F.col("path"), k).alias(g) for k, g in enumerate(raw)])
+    d = d.select("*", rule.alias("rule"), said.alias("said"), pattern(F.col("path")).alias("pattern"))
     if labels is None:
-        seen = d.select("host", *raw, F.col("said").isNotNull().cast("long").alias("labelled"),
+        seen = d.select("host", "pattern", F.col("said").isNotNull().cast("long").alias("labelled"),
                         F.coalesce((F.col("said") == "block").cast("long"), F.lit(0)).alias("bad"))
     else:  # one label a page: bad if any row says so
         one = labels.groupBy("page_id").agg(F.max(F.col("bad").cast("long")).alias("bad")).filter("bad is not null")
-        seen = d.join(one, "page_id", "left").select("host", *raw, F.col("bad").isNotNull().cast("long").alias(
+        seen = d.join(one, "page_id", "left").select("host", "pattern", F.col("bad").isNotNull().cast("long").alias(
             "labelled"), F.coalesce("bad", F.lit(0)).alias("bad"))
     t = templates(seen, p).checkpoint()
-    total = t.select("host", *[f"t{k}" for k in range(p.depth)], "t_labelled", "t_bad").distinct().agg(
-        F.sum("t_labelled"), F.sum("t_bad")).first()
-    prior = (total[1] or 0) / total[0] if total[0] else 0.0
-    purity = (F.col("t_bad") + p.strength * prior) / (F.col("t_labelled") + p.strength)
-    name = F.concat_ws("/", "host", *[F.when(F.col(f"t{k}") != "", F.col(f"t{k}")) for k in range(p.depth)])
-    t = t.select("host", *raw, name.alias("template"), F.round(purity, 6).alias("purity"))
-    own = F.when(F.col("purity") >= p.purity, "block").otherwise("allow")
-    return d.join(t, ["host", *raw]).select("page_id", "host", "path", "rule", F.coalesce("said", own).alias("verdict"),
-                                            "template", "purity")
+    purity = (F.col("bad") + p.strength * p.prior) / (F.col("labelled") + p.strength)
+    e = evidence(t, p).withColumn("purity", F.round(purity, 6))
+    own = F.when(F.col("basis").isNotNull() & (F.col("purity") >= p.purity), "block").otherwise("allow")
+    named = t.select("host", "pattern", "template").join(e, ["host", "template"]).select(
+        "host", "pattern", F.concat("host", "template").alias("template"), "purity", "basis", own.alias("own"))
+    return d.join(named, ["host", "pattern"]).select(
+        "page_id", "host", "path", "rule", F.coalesce("said", "own").alias("verdict"), "template", "purity", "basis")
