@@ -1,6 +1,7 @@
 """Training-run metrics (MET-*) over a log table ``(run_id, step, loss, ts)``
-holding many runs.  Every window is partitioned by run, so runs are spread
-over the cluster and no task sees more than one run's rows.
+holding many runs.  Starts and last steps of runs are aggregates.  The windows
+(rolling loss, running best) are partitioned by run, so runs are spread over the
+cluster and no task sees more than one run's rows.
 """
 
 from __future__ import annotations
@@ -19,10 +20,14 @@ def _by_run():
     return Window.partitionBy(RUN).orderBy(STEP)
 
 
-def _elapsed():
-    """Seconds since the run's first row, from exact microsecond counts."""
+def _with_elapsed(rows: DataFrame, log: DataFrame) -> DataFrame:
+    """Some rows of the log with ``elapsed``, the seconds since their run's first
+    row, from exact microsecond counts.  A run's start is an aggregate, so a run
+    that holds a third of all rows is not one task's."""
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    return (us - F.min(us).over(Window.partitionBy(RUN))) / 1e6
+    start = log.groupBy(F.col(RUN).alias("__run")).agg(F.min(us).alias("__start"))
+    return (rows.join(start, F.col(RUN).eqNullSafe(F.col("__run")))
+                .withColumn("elapsed", (us - F.col("__start")) / 1e6).drop("__run", "__start"))
 
 
 def rolling_loss(log: DataFrame, n: int = 100) -> DataFrame:
@@ -61,20 +66,18 @@ def best_checkpoint(evals: DataFrame, loss_col: str = "val_loss") -> DataFrame:
 def throughput(log: DataFrame, batch_size: int = 32, context: int = 256, every: int = 100) -> DataFrame:
     """MET-05: tokens processed so far per elapsed second, at logging steps;
     NULL while no time has passed."""
-    elapsed = _elapsed()
     tok = F.col(STEP) * batch_size * context
-    return (log.withColumn("elapsed", elapsed)
-               .filter(F.col(STEP) % every == 0)
+    return (_with_elapsed(log.filter(F.col(STEP) % every == 0), log)
                .select(RUN, STEP, "elapsed", F.try_divide(tok.cast("double"), F.col("elapsed")).alias("tokens_per_sec")))
 
 
 def checkpoint_steps(log: DataFrame, every: int = 1500) -> DataFrame:
     """MET-06: steps that write a checkpoint: every ``every`` steps and the
     run's last step."""
-    last = F.max(STEP).over(Window.partitionBy(RUN))
-    return (log.withColumn("last", last)
-               .filter((F.col(STEP) % every == 0) | (F.col(STEP) == F.col("last")))
-               .select(RUN, STEP, (F.col(STEP) == F.col("last")).alias("is_final")))
+    last = log.groupBy(F.col(RUN).alias("__run")).agg(F.max(STEP).alias("last"))
+    d = log.join(last, F.col(RUN).eqNullSafe(F.col("__run")))
+    return (d.filter((F.col(STEP) % every == 0) | (F.col(STEP) == F.col("last")))
+             .select(RUN, STEP, (F.col(STEP) == F.col("last")).alias("is_final")))
 
 
 def log_lines(log: DataFrame, log_every: int = 100, eval_every: int = 500, max_steps: int = 15000,
@@ -82,9 +85,7 @@ def log_lines(log: DataFrame, log_every: int = 100, eval_every: int = 500, max_s
     """SNK-04 rows: ``step,train_loss,val_loss,lr,time,perplexity`` with the
     reference's fixed decimals (6, 6, 8, 2, 4), one line per evaluation."""
     w = _by_run().rowsBetween(-(log_every - 1), 0)
-    d = (log.withColumn("train_loss", F.avg("loss").over(w))
-            .withColumn("elapsed", _elapsed())
-            .filter(F.col(STEP) % eval_every == 0))
+    d = _with_elapsed(log.withColumn("train_loss", F.avg("loss").over(w)).filter(F.col(STEP) % eval_every == 0), log)
     lr = lr_at(F.col(STEP) - 1, max_steps, warmup, max_lr)
     line = _csv_line(F.col(STEP), F.col("train_loss"), F.col("loss"), lr, F.col("elapsed"), F.exp("loss"))
     return d.select(RUN, STEP, line.alias("line"))
