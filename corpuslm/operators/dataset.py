@@ -167,6 +167,58 @@ def shuffle_batches(win_ids: DataFrame, batch_size: int = 32, epochs: int = 1, s
     return ranked.select("epoch", F.floor(rank / batch_size).cast("long").alias("batch"), "win_id")
 
 
+def _swaps(x: Column, n: int, seed: int, epoch: Column, back: bool) -> Column:
+    """Swap-or-not rounds over 0..n-1: a round pairs ``x`` with ``key - x`` (mod n)
+    and swaps the pair if a hash of its larger member says so.  A round undoes
+    itself, so the rounds in reverse order lead back.  Exact for every n."""
+    if n <= 1:
+        return x
+    rounds = 6 * n.bit_length()
+    order = F.sequence(F.lit(rounds - 1), F.lit(0), F.lit(-1)) if back else F.sequence(F.lit(0), F.lit(rounds - 1))
+    keys = F.transform(order, lambda i: F.struct(
+        i.alias("i"), F.pmod(F.xxhash64(F.lit(seed), epoch, i, F.lit(0)), F.lit(n).cast("long")).alias("key")))
+
+    def one(v, r):
+        other = F.pmod(r["key"] - v, F.lit(n).cast("long"))
+        return F.when(F.xxhash64(F.lit(seed), epoch, r["i"], F.greatest(v, other)).bitwiseAND(F.lit(1)) == 1, other).otherwise(v)
+    return F.aggregate(keys, x.cast("long"), one)
+
+
+def window_at(place: Column, n: int, seed: int, epoch: Column) -> Column:
+    """The window at a place (0..n-1) of an epoch's order."""
+    return _swaps(place, n, seed, epoch.cast("long"), False)
+
+
+def place_of(win_id: Column, n: int, seed: int, epoch: Column) -> Column:
+    """The place (0..n-1) of a window in an epoch's order."""
+    return _swaps(win_id, n, seed, epoch.cast("long"), True)
+
+
+def keyed_batches(win_ids: DataFrame, n: int, batch_size: int = 32, epochs: int = 1, seed: int = 0) -> DataFrame:
+    """DAT-04 without a shuffle: ``(epoch, batch, win_id)`` for windows numbered 0 to
+    n - 1, by a keyed permutation instead of a sort.  A window's batch is computed where
+    the window is, so any part of the table can be dealt alone; a number outside
+    0..n-1 is an error."""
+    inside = F.when((F.col("win_id") >= 0) & (F.col("win_id") < n), F.col("win_id")).otherwise(
+        F.raise_error(F.lit(f"window numbers must lie in 0..{n - 1}")).cast("long"))
+    w = win_ids.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(epochs - 1).cast("long"))).alias("epoch"), inside.alias("win_id"))
+    return w.select("epoch", F.floor(place_of(F.col("win_id"), n, seed, F.col("epoch")) / batch_size).cast("long").alias("batch"), "win_id")
+
+
+def step_windows(steps: DataFrame, n: int, batch_size: int = 32, seed: int = 0) -> DataFrame:
+    """The windows of some training steps ``(step)``, in the order of ``keyed_batches``:
+    ``(step, epoch, batch, slot, win_id)``.  Nothing but the step's number is looked at, so a
+    run that starts again at step s has its batch at once."""
+    per_epoch = -(-n // batch_size)
+    if per_epoch == 0:
+        return steps.sparkSession.createDataFrame([], "step bigint, epoch bigint, batch bigint, slot int, win_id bigint")
+    s = steps.select(F.col("step").cast("long").alias("step")).select(
+        "step", F.floor(F.col("step") / per_epoch).cast("long").alias("epoch"), F.pmod("step", F.lit(per_epoch)).cast("long").alias("batch"))
+    s = s.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(batch_size - 1))))
+    place = F.col("batch") * batch_size + F.col("slot")
+    return s.filter(place < n).select("step", "epoch", "batch", "slot", window_at(place, n, seed, F.col("epoch")).alias("win_id"))
+
+
 def eval_batches(win_ids: DataFrame, batch_size: int = 32, max_batches: int = 20) -> DataFrame:
     """DAT-05: evaluation batches in order, the first ``max_batches`` only."""
     return (win_ids.filter(F.col("win_id") < max_batches * batch_size)

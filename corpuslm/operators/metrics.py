@@ -1,23 +1,34 @@
 """Training-run metrics (MET-*) over a log table ``(run_id, step, loss, ts)``
-holding many runs.  Starts and last steps of runs are aggregates.  The windows
-(rolling loss, running best) are partitioned by run, so runs are spread over the
-cluster and no task sees more than one run's rows.
+holding many runs.  Starts and last steps of runs are aggregates.  What looks back
+over a run (rolling loss, running best) works on parts of ``SPAN`` steps of a run
+(``order.running``, ``order.rolling_mean``), so a run that holds a third of all rows is
+not one task's.  Rows of one run and step are taken by ascending loss.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslm.operators.dataset import lr_at
+from corpuslm.operators.order import rolling_mean, running
 
 RUN, STEP = "run_id", "step"
 
 
-def _by_run():
-    return Window.partitionBy(RUN).orderBy(STEP)
+SPAN = 100_000  # steps of a run that one task looks at
+
+
+def _part(span: int):
+    return F.floor(F.col(STEP) / span).cast("long")
+
+
+def _with_rolling(log: DataFrame, n: int, out: str, span: int) -> DataFrame:
+    """The log with ``out``, the mean of a run's last ``n`` losses."""
+    placed = running(log, [RUN], _part(span), [STEP, "loss"], F.lit(1), "sum", "__pos")
+    return rolling_mean(placed, [RUN], "__pos", "loss", n, out, span).drop("__pos")
 
 
 def _with_elapsed(rows: DataFrame, log: DataFrame) -> DataFrame:
@@ -30,10 +41,9 @@ def _with_elapsed(rows: DataFrame, log: DataFrame) -> DataFrame:
                 .withColumn("elapsed", (us - F.col("__start")) / 1e6).drop("__run", "__start"))
 
 
-def rolling_loss(log: DataFrame, n: int = 100) -> DataFrame:
+def rolling_loss(log: DataFrame, n: int = 100, span: int = SPAN) -> DataFrame:
     """MET-01: mean of the last ``n`` losses at every ``n``-th step."""
-    w = _by_run().rowsBetween(-(n - 1), 0)
-    return (log.withColumn("avg_loss", F.avg("loss").over(w))
+    return (_with_rolling(log, n, "avg_loss", span)
                .filter(F.col(STEP) % n == 0)
                .select(RUN, STEP, "avg_loss"))
 
@@ -45,13 +55,13 @@ def eval_points(log: DataFrame, every: int = 500) -> DataFrame:
                        F.exp("loss").alias("perplexity")))
 
 
-def mark_best(evals: DataFrame, loss_col: str = "val_loss") -> DataFrame:
+def mark_best(evals: DataFrame, loss_col: str = "val_loss", span: int = SPAN) -> DataFrame:
     """MET-03: strictly lower than every earlier evaluation of the run; a NaN
     never wins and is no earlier evaluation either."""
     number = F.when(~F.isnan(loss_col), F.col(loss_col))
-    prev = F.min(number).over(_by_run().rowsBetween(Window.unboundedPreceding, -1))
-    best = number < F.coalesce(prev, F.lit(float("inf")))
-    return evals.withColumn("is_best", F.coalesce(best, F.lit(False)))
+    d = running(evals, [RUN], _part(span), [STEP, loss_col], number, "min", "__prev")
+    best = number < F.coalesce("__prev", F.lit(float("inf")))
+    return d.withColumn("is_best", F.coalesce(best, F.lit(False))).drop("__prev")
 
 
 def best_checkpoint(evals: DataFrame, loss_col: str = "val_loss") -> DataFrame:
@@ -84,8 +94,7 @@ def log_lines(log: DataFrame, log_every: int = 100, eval_every: int = 500, max_s
               warmup: int = 500, max_lr: float = 3e-4) -> DataFrame:
     """SNK-04 rows: ``step,train_loss,val_loss,lr,time,perplexity`` with the
     reference's fixed decimals (6, 6, 8, 2, 4), one line per evaluation."""
-    w = _by_run().rowsBetween(-(log_every - 1), 0)
-    d = _with_elapsed(log.withColumn("train_loss", F.avg("loss").over(w)).filter(F.col(STEP) % eval_every == 0), log)
+    d = _with_elapsed(_with_rolling(log, log_every, "train_loss", SPAN).filter(F.col(STEP) % eval_every == 0), log)
     lr = lr_at(F.col(STEP) - 1, max_steps, warmup, max_lr)
     line = _csv_line(F.col(STEP), F.col("train_loss"), F.col("loss"), lr, F.col("elapsed"), F.exp("loss"))
     return d.select(RUN, STEP, line.alias("line"))

@@ -8,6 +8,10 @@ adds the local part.  Cost: one shuffle by bucket.
 
 The bucket borders are quantiles of the key, found by one aggregate and written
 into the plan as constants, so a task that is run again deals its rows alike.
+The same in groups (``running``, ``rolling``): a group that holds a third of all
+rows is cut into parts, and each part gets what the parts before it come to as one
+more row, so nothing is joined.
+
 Rows of one key value share a bucket.  Beyond ``MAX_BUCKETS * rows_per_bucket``
 rows the buckets grow.
 """
@@ -89,3 +93,39 @@ def last_before(df: DataFrame, key: str, value: str, out: str, rows_per_bucket:
     local = d.withColumn("__local", F.last(value, ignorenulls=True).over(wl))
     return (local.join(F.broadcast(bases), "__b")
                  .withColumn(out, F.coalesce("__local", "__base")).drop("__b", "__local", "__base"))
+
+
+FOLDS = {
+    "sum": (F.sum, lambda c: F.coalesce(c, F.lit(0))),
+    "min": (F.min, lambda c: c),
+    "max": (F.max, lambda c: c),
+}
+
+
+def running(df: DataFrame, groups: list[str], part: Column, order: list[str], value: Column, fold: str, out: str) -> DataFrame:
+    """Add ``out`` = the sum (0 of none), minimum or maximum (null of none) of ``value``
+    over the rows of the same group that come earlier in ``order``.
+
+    ``part`` is a number that ascends with the order and cuts a group into parts that
+    fit a task.  Null groups, parts and values: a null group is a group, a null part
+    the first part, a null value adds nothing."""
+    take, none = FOLDS[fold]
+    d = df.withColumn("__p", part).withColumn("__v", value)
+    whole = d.groupBy(*groups, "__p").agg(take("__v").alias("__v"))
+    before = Window.partitionBy(*groups).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    carried = whole.select(*groups, "__p", take("__v").over(before).alias("__v")).withColumn("__own", F.lit(False))
+    rows = d.withColumn("__own", F.lit(True)).unionByName(carried, allowMissingColumns=True)
+    w = Window.partitionBy(*groups, "__p").orderBy("__own", *order).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn(out, none(take("__v").over(w))).filter("__own").drop("__p", "__v", "__own")
+
+
+def rolling_mean(df: DataFrame, groups: list[str], pos: str, value: str, n: int, out: str, span: int) -> DataFrame:
+    """Add ``out`` = the mean of the last ``n`` values up to each row's own, in a group's rows
+    numbered by ``pos`` from 0 without gaps.  A group is cut into parts of ``span`` rows (at least
+    ``n``); the last ``n - 1`` rows of a part are seen by the next one too."""
+    span = max(span, n)
+    p = F.floor(F.col(pos) / span).cast("long")
+    seen = F.when(F.col(pos) % span >= span - (n - 1), F.array(p, p + 1)).otherwise(F.array(p))
+    d = df.withColumn("__p", F.explode(seen))
+    w = Window.partitionBy(*groups, "__p").orderBy(pos).rowsBetween(-(n - 1), 0)
+    return d.withColumn(out, F.avg(value).over(w)).filter(F.col("__p") == p).drop("__p")

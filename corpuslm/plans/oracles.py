@@ -380,6 +380,11 @@ _SHUF = _STREAM + [_WINS, f"""shuf AS (
          row_number() OVER (PARTITION BY e ORDER BY md5('{SEED}:' || CAST(e AS VARCHAR) || ':' || CAST(win_id AS VARCHAR)), win_id) - 1 AS rn
   FROM wins, range(0, {EPOCHS}) t(e))"""]
 _reg("dat_04", with_(_SHUF, f"SELECT CAST(epoch AS BIGINT) AS epoch, CAST(rn // {BATCH} AS BIGINT) AS batch, CAST(win_id AS BIGINT) AS win_id FROM shuf"))
+_reg("dat_04_keyed", with_(_STREAM + [_WINS], f"""
+SELECT CAST(e AS BIGINT) AS epoch, count(*) AS n_windows, CAST(sum(win_id) AS BIGINT) AS sum_windows, count(*) AS n_back,
+       CAST(ceil(count(*) / {BATCH}) AS BIGINT) AS n_batches, count(*) // {BATCH} AS n_full,
+       (count(*) - 1) % {BATCH} + 1 AS n_last, count(DISTINCT win_id) AS n_once
+FROM wins, range(0, {EPOCHS}) t(e) GROUP BY e"""))
 _reg("dat_05", with_(_STREAM + [_WINS], f"""
 SELECT CAST(win_id // {BATCH} AS BIGINT) AS batch, CAST(win_id AS BIGINT) AS win_id FROM wins WHERE win_id < {20 * BATCH}"""))
 _reg("dat_06", with_(_STREAM + [_WINS, f"nb AS (SELECT CAST(ceil(count(*) / {BATCH}) AS BIGINT) AS nb FROM wins)"], """
@@ -587,6 +592,10 @@ SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, user_id AS run_id,
        CAST(count(*) AS BIGINT) AS n
 FROM events GROUP BY 1, 2""")
 
+_reg("str_04_append", f"""
+SELECT * FROM ({ORACLES['str_04']})
+WHERE window_start + INTERVAL '1 hour' <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'""")
+
 
 # ------------------------------------------------------------------ sources / sinks
 def line_report_sql(text: str) -> str:
@@ -611,6 +620,11 @@ ORACLES["snk_03"] = ORACLES["tok_12"]
 _reg("src_05", f"SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_ids, CAST(coalesce(list_sum(ids), 0) AS BIGINT) AS sum_ids "
                f"FROM ({ORACLES['tok_12']})")
 
+_reg("snk_03_uint16", with_(_STREAM, """
+SELECT CAST(gpos // 65536 AS BIGINT) AS block, count(*) AS n, CAST(sum(id * (gpos % 9973)) AS BIGINT) AS placed_ids
+FROM stream GROUP BY 1"""))
+ORACLES["src_05_uint16"] = ORACLES["dat_02"]
+
 
 # ------------------------------------------------------------------ from raw text to windows
 def _part_words(name: str, column: str) -> str:

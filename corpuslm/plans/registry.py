@@ -438,6 +438,24 @@ def dat_04(spark, sf):
     return D.shuffle_batches(_win_ids(spark, sf), BATCH, EPOCHS, SEED)
 
 
+@query("dat_04_keyed")
+def dat_04_keyed(spark, sf):
+    """Batches by the keyed permutation, summed up per epoch: every window once, and
+    the place of a window leads back to it."""
+    n = _win_ids(spark, sf).count()
+    b = D.keyed_batches(_win_ids(spark, sf), n, BATCH, EPOCHS, SEED)
+    place = D.place_of(F.col("win_id"), n, SEED, F.col("epoch"))
+    back = D.window_at(place, n, SEED, F.col("epoch")) == F.col("win_id")
+    per = b.withColumn("back", (back & (F.floor(place / BATCH) == F.col("batch"))).cast("long")).groupBy("epoch", "batch").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("win_id").alias("s"), F.sum("back").alias("back"))
+    once = b.groupBy("epoch", "win_id").agg(F.count(F.lit(1)).alias("c")).groupBy("epoch").agg(
+        F.sum((F.col("c") == 1).cast("long")).alias("n_once"))
+    return per.groupBy("epoch").agg(
+        F.sum("n").alias("n_windows"), F.sum("s").alias("sum_windows"), F.sum("back").alias("n_back"),
+        F.count(F.lit(1)).alias("n_batches"), F.sum((F.col("n") == BATCH).cast("long")).alias("n_full"),
+        F.max_by("n", "batch").alias("n_last")).join(once, "epoch")
+
+
 @query("dat_05")
 def dat_05(spark, sf):
     return D.eval_batches(_win_ids(spark, sf), BATCH)
@@ -727,6 +745,15 @@ def str_04(spark, sf):
                     _r9(F.col("perplexity")).alias("perplexity"), F.col("n").cast("long").alias("n"))
 
 
+@query("str_04_append")
+def str_04_append(spark, sf):
+    """Append mode: a window comes once, when the watermark has passed its end."""
+    from corpuslm.streaming import stream as STR
+    out = STR.run_available(STR.run_metrics_stream(STR.read_table_stream(spark, sf, "events")), "runmetrics", "append")
+    return spark.read.parquet(out).select("window_start", "run_id", _r9(F.col("mean_loss")).alias("mean_loss"),
+                                          _r9(F.col("perplexity")).alias("perplexity"), F.col("n").cast("long").alias("n"))
+
+
 # ------------------------------------------------------------------ sources / sinks
 def _scratch(spark, name):
     import os
@@ -839,6 +866,26 @@ def src_05(spark, sf):
     return IO.read_tokens(spark, out).select("doc_id", F.size("ids").cast("long").alias("n_ids"), total.alias("sum_ids"))
 
 
+@query("snk_03_uint16")
+def snk_03_uint16(spark, sf):
+    """The token stream as uint16 files, read back: a report per block of the stream."""
+    from corpuslm.sources import token_files as TF
+    out = _scratch(spark, "uint16")
+    TF.write_token_files(runs(spark, sf), out)
+    placed = F.aggregate(F.transform("ids", lambda v, i: v * ((F.col("start") + i) % WEIGHT)), F.lit(0).cast("long"), lambda a, v: a + v)
+    return TF.read_token_files(spark, out).select(
+        (F.col("start") / TF.RUN).cast("long").alias("block"), F.size("ids").cast("long").alias("n"), placed.alias("placed_ids"))
+
+
+@query("src_05_uint16")
+def src_05_uint16(spark, sf):
+    """Disjoint windows straight from uint16 token files."""
+    from corpuslm.sources import token_files as TF
+    out = _scratch(spark, "uint16")
+    TF.write_token_files(runs(spark, sf), out)
+    return D.windows(TF.read_token_files(spark, out), CONTEXT, stride=CONTEXT)
+
+
 # ------------------------------------------------------------------ from raw text to windows
 WEIGHT = 9973  # places are weighted with their remainder, so that the sums depend on the order
 
