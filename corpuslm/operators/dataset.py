@@ -167,31 +167,58 @@ def shuffle_batches(win_ids: DataFrame, batch_size: int = 32, epochs: int = 1, s
     return ranked.select("epoch", F.floor(rank / batch_size).cast("long").alias("batch"), "win_id")
 
 
-def _swaps(x: Column, n: int, seed: int, epoch: Column, back: bool) -> Column:
-    """Swap-or-not rounds over 0..n-1: a round pairs ``x`` with ``key - x`` (mod n)
-    and swaps the pair if a hash of its larger member says so.  A round undoes
-    itself, so the rounds in reverse order lead back.  Exact for every n."""
-    if n <= 1:
-        return x
-    rounds = 6 * n.bit_length()
-    order = F.sequence(F.lit(rounds - 1), F.lit(0), F.lit(-1)) if back else F.sequence(F.lit(0), F.lit(rounds - 1))
-    keys = F.transform(order, lambda i: F.struct(
-        i.alias("i"), F.pmod(F.xxhash64(F.lit(seed), epoch, i, F.lit(0)), F.lit(n).cast("long")).alias("key")))
-
-    def one(v, r):
-        other = F.pmod(r["key"] - v, F.lit(n).cast("long"))
-        return F.when(F.xxhash64(F.lit(seed), epoch, r["i"], F.greatest(v, other)).bitwiseAND(F.lit(1)) == 1, other).otherwise(v)
-    return F.aggregate(keys, x.cast("long"), one)
+ROUNDS = 10  # half-rounds of the keyed permutation
+
+
+def _sides(n: int) -> tuple[int, int]:
+    """Two numbers near the root of ``n`` whose product is at least ``n``, by as little as can be found."""
+    root = math.isqrt(n - 1) + 1
+    a = min(range(root, root + 64), key=lambda c: -n % c)
+    return a, -(-n // a)
+
+
+def _network(x: Column, n: int, seed: int, epoch: Column, back: bool) -> Column:
+    """A Feistel network over the pairs ``(v div b, v mod b)`` of an a-by-b table: by turns one
+    half moves by a hash of the other.  The rounds in reverse order lead back.
+
+    The table has ``a * b - n`` (fewer than a) places beyond n.  A number that lands there goes
+    through the network again until it is inside; on its way it meets each of those places
+    at most once, so the bound of the walk is exact, and few numbers walk at all."""
+    a, b = _sides(n)
+    order = range(ROUNDS - 1, -1, -1) if back else range(ROUNDS)
+    rounds = F.array(*[F.lit(i) for i in order])
+    sign = -1 if back else 1
+
+    def one(v, i):
+        left, right = F.call_function("div", v, F.lit(b)), F.pmod(v, F.lit(b).cast("long"))
+
+        def moved(half, other, size):
+            key = F.pmod(F.xxhash64(F.lit(seed), epoch, i, other), F.lit(size).cast("long"))
+            return F.pmod(half + key * sign, F.lit(size).cast("long"))
+        return F.when(i % 2 == 0, moved(left, right, a) * b + right).otherwise(left * b + moved(right, left, b))
+
+    def through(v):
+        return F.aggregate(rounds, v, one)
+
+    def inside(v):
+        walk = F.sequence(F.lit(1), F.lit(a * b - n))
+        return F.aggregate(walk, v, lambda w, _: F.when(w < n, w).otherwise(through(w)))
+    once = through(x.cast("long"))
+    if a * b == n:
+        return once
+    return let(once, lambda v: F.when(v < n, v).otherwise(inside(v)))
 
 
 def window_at(place: Column, n: int, seed: int, epoch: Column) -> Column:
     """The window at a place (0..n-1) of an epoch's order."""
-    return _swaps(place, n, seed, epoch.cast("long"), False)
+    n = max(1, n)
+    return _network(place, n, seed, epoch.cast("long"), False)
 
 
 def place_of(win_id: Column, n: int, seed: int, epoch: Column) -> Column:
     """The place (0..n-1) of a window in an epoch's order."""
-    return _swaps(win_id, n, seed, epoch.cast("long"), True)
+    n = max(1, n)
+    return _network(win_id, n, seed, epoch.cast("long"), True)
 
 
 def keyed_batches(win_ids: DataFrame, n: int, batch_size: int = 32, epochs: int = 1, seed: int = 0) -> DataFrame:
