@@ -200,6 +200,7 @@ SELECT split, CAST(chars AS BIGINT) AS chars, CAST(bytes AS BIGINT) AS bytes, ro
 _JOINED = [CTE_WIKI_RAW, f"one AS (SELECT 0 AS doc_id, string_agg(text, {NL} ORDER BY doc_id) AS text FROM wiki_raw)"]
 _CORPUS = _JOINED + clean_ctes("one")
 _reg("cln_14_corpus", with_(_CORPUS + [lines_of("c_final", "fl")], "SELECT CAST(line_no AS BIGINT) AS line_no, line FROM fl"))
+ORACLES["cln_14_segments"] = ORACLES["cln_14_corpus"]
 _PARTS = _CORPUS + ["corpus AS (SELECT text AS t FROM c_final)"] + _SPLIT[-3:] + [
     "parts AS MATERIALIZED (SELECT substring(t, 1, c) AS tr, substring(t, c + 1) AS va FROM sp3)"]
 _reg("cln_01_corpus", with_([f"""tagged AS (SELECT doc_id, CASE
@@ -364,6 +365,7 @@ _WINS = f"""wins AS (
     USING (w), whole
   WHERE xs.w * {CONTEXT} <= n - {CONTEXT} - 1)"""
 _reg("dat_01", with_(_STREAM, "SELECT CAST(gpos AS BIGINT) AS gpos, id FROM stream"))
+ORACLES["dat_01_segments"] = ORACLES["dat_01"]
 _reg("dat_02", with_(_STREAM + [_WINS], "SELECT CAST(win_id AS BIGINT) AS win_id, x, y FROM wins"))
 _reg("dat_02_stride1", with_(_STREAM, f"""
 SELECT CAST(greatest(n - {CONTEXT}, 0) AS BIGINT) AS n_windows,

@@ -15,6 +15,7 @@ from corpuslm.operators import corpus_clean as CC
 from corpuslm.operators import dataset as D
 from corpuslm.operators import metrics as M
 from corpuslm.operators import ngram as N
+from corpuslm.operators import segments as SEG
 from corpuslm.operators import split as S
 from corpuslm.operators import words as W
 from corpuslm.plans import views as V
@@ -128,6 +129,16 @@ def cln_14_corpus(spark, sf):
     return CC.corpus_lines(joined_wiki(spark, sf))
 
 
+SEGMENT = 256  # code points of a segment in the checked queries, so that most texts are cut
+
+
+@query("cln_14_segments")
+def cln_14_segments(spark, sf):
+    """The same lines, with texts cut into segments of whole lines first."""
+    cut = SEG.line_segments(V.wiki_raw(spark, sf), size=SEGMENT)
+    return CC.corpus_lines(CC.clean_joined(cut, key="segment").checkpoint(), key="segment")
+
+
 # ------------------------------------------------------------------ split
 @memo
 def cleaned_wiki(spark, sf):
@@ -407,6 +418,14 @@ def dat_01(spark, sf):
     return stream(spark, sf)
 
 
+@query("dat_01_segments")
+def dat_01_segments(spark, sf):
+    """The same stream from texts that are cut into segments before they are encoded."""
+    m = doc_model(spark, sf)
+    cut = SEG.word_segments(V.documents(spark, sf), size=SEGMENT)
+    return D.token_stream(B.encode_corpus(cut, m.merges, m.vocab, key="segment").checkpoint(), key="segment")
+
+
 @query("dat_02")
 def dat_02(spark, sf):
     return D.windows(runs(spark, sf), CONTEXT, stride=CONTEXT)
