@@ -598,6 +598,19 @@ _reg("str_04_append", f"""
 SELECT * FROM ({ORACLES['str_04']})
 WHERE window_start + INTERVAL '1 hour' <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'""")
 
+# a row is out once the watermark, whole milliseconds, has passed it
+_reg("str_04_live", with_([CTE_LOG], f"""
+SELECT run_id, step, CASE WHEN step % {LOG_EVERY} = 0 THEN round(m, 9) END AS avg_loss,
+       CASE WHEN step % {EVAL_EVERY} = 0 THEN round(loss, 9) END AS val_loss,
+       CASE WHEN step % {EVAL_EVERY} = 0 THEN loss < coalesce(low, 'inf'::DOUBLE) END AS is_best
+FROM (SELECT run_id, step, loss, ts,
+             avg(loss) OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN {LOG_EVERY - 1} PRECEDING AND CURRENT ROW) AS m,
+             min(CASE WHEN step % {EVAL_EVERY} = 0 THEN loss END) OVER (
+               PARTITION BY run_id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low
+      FROM train_log)
+WHERE (step % {LOG_EVERY} = 0 OR step % {EVAL_EVERY} = 0)
+  AND epoch_us(ts) <= (SELECT epoch_us(max(ts)) // 1000 * 1000 - 600000000 FROM events)"""))
+
 
 # ------------------------------------------------------------------ sources / sinks
 def line_report_sql(text: str) -> str:

@@ -773,6 +773,18 @@ def str_04_append(spark, sf):
                                           _r9(F.col("perplexity")).alias("perplexity"), F.col("n").cast("long").alias("n"))
 
 
+@query("str_04_live")
+def str_04_live(spark, sf):
+    """Rolling means and best marks of running jobs, from a state per run with timers."""
+    from corpuslm.streaming import live as L
+    from corpuslm.streaming import stream as STR
+    ev = STR.read_table_stream(spark, sf, "events")
+    log = ev.select(F.col("user_id").alias("run_id"), (F.col("value") / 100.0).alias("loss"), "ts", "event_id")
+    out = L.run_live(L.live_metrics(log, LOG_EVERY, EVAL_EVERY, order="event_id"))
+    return spark.read.parquet(out).select("run_id", "step", _r9(F.col("avg_loss")).alias("avg_loss"),
+                                          _r9(F.col("val_loss")).alias("val_loss"), "is_best")
+
+
 # ------------------------------------------------------------------ sources / sinks
 def _scratch(spark, name):
     import os
