@@ -1,25 +1,26 @@
 """Best-fit packing by a grouping genetic algorithm (operator 5).
 
 Documents are tokenized, cut into pieces of at most ``capacity`` tokens and
-packed into sequences.  Only lengths matter to the packing, so the shuffled
-rows are a few numbers a piece; token ids never leave the map stage.
+packed into sequences.  Only lengths matter to the search, so its rows are two
+numbers a piece; the token ids are written once and join their sequence at the end.
 
 A chromosome is a list of bins (groups of pieces).  Crossover injects whole
 well-filled bins of one parent into another, removes the bins that now hold
-duplicate pieces, and puts the displaced pieces back by best fit, largest
+duplicate pieces, and puts the displaced pieces back: they change places with
+shorter ones where that fills a bin better, then go by best fit, largest
 first.  The pieces are dealt by hash into demes of about ``deme_size`` pieces;
 each deme is evolved on ``islands`` islands, which are tasks of their own.
 After each epoch every island's elite (its best chromosome) migrates to the
 next island of its deme; the last epoch's best island wins.
 
 A deme leaves one or two badly filled bins.  Their pieces are not accepted:
-bins below ``accept`` of the capacity are dissolved and their pieces meet in
+bins below ``accept`` of the capacity, and below the median of their level, are dissolved and their pieces meet in
 the next level's fewer demes, until one deme is left.  So waste does not grow
 with the number of demes.  Pieces of exactly ``capacity`` tokens are sequences
 by themselves and take no part.
 
-A null or empty text is the end token alone.  Repeated rows are packed each
-(they get an ordinal among rows of equal id and text).  A null id is kept as
+A null or empty text is the end token alone.  A very long text is many pieces.  Repeated rows are packed
+each; a piece's number is its place in the written pieces.  A null id is kept as
 null.  Ties break by piece number.  An empty table gives no rows.  Other
 columns are ignored.
 """
@@ -27,11 +28,10 @@ columns are ignored.
 from __future__ import annotations
 
 import os
-import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
@@ -44,6 +44,7 @@ from corpuslm.llm import vec
 
 CAPACITY = 4096
 END_ID = 1
+OUT = 8  # of a bin's shortest pieces two may go out together
 
 
 @dataclass(frozen=True)
@@ -53,7 +54,7 @@ class Params:
     islands: int = 2
     epochs: int = 2
     population: int = 4
-    generations: int = 2
+    generations: int = 6
     accept: float = 0.995
 
 
@@ -225,7 +226,7 @@ def _pieces(path: str, capacity: int, fields: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _tokenizer(path)
         for b in batches:
-            row, piece, start, length, crc = [], [], [], [], []
+            row, piece, start, length, cuts = [], [], [], [], []
             for sl in vec.slices(b.column(1)):
                 flat, first = ids.encode(sl)
                 for r in range(sl.rows):
@@ -236,22 +237,21 @@ def _pieces(path: str, capacity: int, fields: list[str]):
                         piece.append(k)
                         start.append(at // 4)
                         length.append(len(cut) // 4)
-                        crc.append(zlib.crc32(cut))
+                        cuts.append(cut)
             at = pa.array(row, type=pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(at), b.column(2).take(at), pa.array(piece, type=pa.int32()),
-                 *(pa.array(x, type=pa.int64()) for x in (start, length, crc))], names=fields)
+                [b.column(0).take(at), pa.array(piece, type=pa.int32()),
+                 *(pa.array(x, type=pa.int64()) for x in (start, length)), pa.array(cuts, type=pa.binary())], names=fields)
     return run
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
-    """``(doc_id, __h, piece, start, length, ids_crc32)`` for every document
-    row; ``__h`` is a hash of the text."""
-    d = docs.select("doc_id", "text", F.xxhash64("text").alias("__h"))
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("__h", T.LongType()),
-                           T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
-                           T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())])
-    return d.mapInArrow(_pieces(tokenizer_path, capacity, schema.names), schema)
+    """``(doc_id, piece, start, length, ids)`` for every document row; ``ids`` are
+    little-endian unsigned 32-bit numbers."""
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("piece", T.IntegerType()),
+                           T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
+                           T.StructField("ids", T.BinaryType())])
+    return docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer_path, capacity, schema.names), schema)
 
 
 # ------------------------------------------------------------ genetic algorithm
@@ -282,7 +282,7 @@ def crossover(a: list[list[int]], b: list[list[int]], sizes: list[int], capacity
               rng: np.random.Generator) -> list[list[int]]:
     """Whole well-filled bins of ``b`` go into ``a``: a random half of the
     ``share`` fullest.  Bins of ``a`` with a duplicate are removed; their other
-    pieces are displaced and best-fitted."""
+    pieces are displaced and placed anew."""
     fill_b = [sum(sizes[i] for i in x) for x in b]
     full = sorted(range(len(b)), key=lambda i: (-fill_b[i], i))[: max(1, int(len(b) * share))]
     gift = [b[i] for i in full if rng.random() < 0.5]
@@ -294,44 +294,102 @@ def crossover(a: list[list[int]], b: list[list[int]], sizes: list[int], capacity
         else:
             loose += [i for i in x if i not in given]
     child = [list(x) for x in gift + rest]
-    best_fit(sizes, loose, child, [sum(sizes[i] for i in x) for x in child], capacity)
+    place(sizes, loose, child, capacity)
     return child
 
 
+def swap_in(sizes: list[int], loose: list[int], bins: list[list[int]], fill: list[int], capacity: int) -> list[int]:
+    """Fill bins better by exchange: one or two pieces of a bin go out, one or two
+    displaced ones that are longer together come in.  Changes bins and fill; returns
+    the pieces that are displaced now, which are shorter and so easier to place."""
+    free = sorted((sizes[i], i) for i in loose)
+    for b, items in enumerate(bins):
+        if not free or fill[b] == capacity:
+            continue
+        best = (fill[b], (), ())
+        items = sorted(set(items), key=lambda i: (sizes[i], i))
+        outs = [(i,) for i in items] + list(combinations(items[:OUT], 2))
+        for out in outs:
+            held = fill[b] - sum(sizes[i] for i in out)
+            room = capacity - held
+            k = bisect_right(free, (room, len(sizes))) - 1
+            if k >= 0 and held + free[k][0] > best[0]:
+                best = (held + free[k][0], out, (k,))
+            lo, hi = 0, k  # the best two: the ends move towards each other
+            while len(out) == 1 and lo < hi:
+                total = free[lo][0] + free[hi][0]
+                if total <= room:
+                    if held + total > best[0]:
+                        best = (held + total, out, (lo, hi))
+                    lo += 1
+                else:
+                    hi -= 1
+        if best[1]:
+            into = [free[k][1] for k in best[2]]
+            bins[b] = [i for i in bins[b] if i not in best[1]] + into
+            fill[b] = best[0]
+            free = [x for k, x in enumerate(free) if k not in best[2]]
+            for i in best[1]:
+                insort(free, (sizes[i], i))
+    return [i for _, i in free]
+
+
+def place(sizes: list[int], loose: list[int], bins: list[list[int]], capacity: int) -> None:
+    """Exchange, then best fit.  Changes the bins."""
+    fill = [sum(sizes[i] for i in x) for x in bins]
+    best_fit(sizes, swap_in(sizes, loose, bins, fill, capacity), bins, fill, capacity)
+
+
+def scattered(sizes: list[int], capacity: int, rng: np.random.Generator) -> list[list[int]]:
+    """A chromosome of its own: pieces enter in an order blurred at random, each into
+    the fullest bin that takes it."""
+    blurred = np.array(sizes, dtype=float) * rng.uniform(0.5, 1.5, size=len(sizes))
+    bins: list[list[int]] = []
+    room: list[tuple[int, int]] = []
+    for it in np.argsort(-blurred, kind="stable").tolist():
+        k = bisect_left(room, (sizes[it], -1))
+        left, b = room.pop(k) if k < len(room) else (capacity, len(bins))
+        if b == len(bins):
+            bins.append([])
+        bins[b].append(it)
+        if left > sizes[it]:
+            insort(room, (left - sizes[it], b))
+    return bins
+
+
 def mutate(a: list[list[int]], sizes: list[int], capacity: int, rng: np.random.Generator) -> list[list[int]]:
-    """Dissolve the emptiest bin and a few random ones; best-fit their pieces
-    in random order of bins."""
+    """Dissolve the emptiest bin and a few random ones and place their pieces anew."""
     fill = [sum(sizes[i] for i in x) for x in a]
     gone = {int(np.argmin(fill)), *rng.integers(0, len(a), size=max(1, len(a) // 20)).tolist()}
     child = [list(x) for i, x in enumerate(a) if i not in gone]
     rng.shuffle(child)
-    best_fit(sizes, [i for g in gone for i in a[g]], child, [sum(sizes[i] for i in x) for x in child], capacity)
+    place(sizes, [i for g in gone for i in a[g]], child, capacity)
     return child
 
 
 def evolve(sizes: list[int], immigrants: list[list[list[int]]], p: Params, seed: int) -> list[list[int]]:
-    """One island's epoch; returns its elite.  It stops early at the bound
-    ceil(sum of lengths / capacity), which no packing can beat."""
+    """One island's epoch; returns its elite.  The pool starts from the arriving elites, best fit by falling
+    length and chromosomes of random orders.  After each generation, crossover included, it may end at the
+    bound ceil(sum of lengths / capacity), which no packing can beat."""
     rng = np.random.default_rng(seed)
-    every = list(range(len(sizes)))
     bound = -(-sum(sizes) // p.capacity)
     weigh = lambda c: fitness([sum(sizes[i] for i in x) for x in c], p.capacity)
     pool = [list(map(list, c)) for c in immigrants]
     first: list[list[int]] = []
-    best_fit(sizes, every, first, [], p.capacity)
+    best_fit(sizes, list(range(len(sizes))), first, [], p.capacity)
     pool.append(first)
     while len(pool) < p.population:
-        pool.append(mutate(first, sizes, p.capacity, rng))
+        pool.append(scattered(sizes, p.capacity, rng))
     pool.sort(key=weigh, reverse=True)
     for _ in range(p.generations):
-        if len(pool[0]) <= bound:
-            break
         child = []
         for _ in range(p.population // 2):
             i, j = rng.permutation(len(pool))[:2]
             child.append(crossover(pool[i], pool[j], sizes, p.capacity, 0.5, rng))
         child.append(mutate(pool[0], sizes, p.capacity, rng))
         pool = sorted(pool + child, key=weigh, reverse=True)[: p.population]
+        if len(pool[0]) <= bound:
+            break
     return pool[0]
 
 
@@ -378,36 +436,48 @@ def _level(items: DataFrame, demes: int, p: Params, level: int) -> DataFrame:
     return state.join(best, ["deme", "island"]).select("pid", "length", "deme", "bin")
 
 
-def pack(docs: DataFrame, tokenizer_path: str, params: Params = Params()) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32,
-    sequence_id, offset."""
-    p = params
-    cut = pieces(docs, tokenizer_path, p.capacity).checkpoint()
-    # a piece's number: a hash of its document, place and ordinal among rows of equal document and place
-    same = F.row_number().over(Window.partitionBy("doc_id", "__h", "piece").orderBy("start"))
-    cut = cut.withColumn("pid", F.xxhash64("doc_id", "__h", "piece", same)).checkpoint()
-    left = cut.filter(F.col("length") < p.capacity).select("pid", "length")
-    done = cut.filter(F.col("length") >= p.capacity).select("pid", F.struct(F.lit(0).alias("level"), F.col(
-        "pid").alias("deme"), F.lit(0).cast("long").alias("bin")).alias("seq"))
+def _placed(narrow: DataFrame, p: Params) -> DataFrame:
+    """``(pid, sequence_id)`` of every piece ``(pid, length)``."""
+    # a full piece is a sequence by itself; its number lies below all numbers of levels
+    done = narrow.filter(F.col("length") >= p.capacity).select("pid", (-1 - F.col("pid")).alias("sequence_id"))
+    left = narrow.filter(F.col("length") < p.capacity)
     level, n = 1, left.count()
     while n:
         demes = max(1, -(-n // p.deme_size))
-        got = _level(left, demes, p, level).withColumn("seq", F.struct(F.lit(level).alias("level"), "deme", "bin"))
-        if demes > 1:
-            fill = got.groupBy("seq").agg(F.sum("length").alias("fill"))
-            got = got.join(fill, "seq").checkpoint()
-            ok = F.col("fill") >= p.accept * p.capacity
-            done = done.unionByName(got.filter(ok).select("pid", "seq"))
-            left = got.filter(~ok).select("pid", "length")
-            after = left.count()
-            if after > 0.7 * n:  # the pieces do not fill bins any better: take them as they are
-                done = done.unionByName(got.filter(~ok).select("pid", "seq"))
-                break
-            n, level = after, level + 1
-        else:
-            done = done.unionByName(got.select("pid", "seq"))
-            break
-    placed = cut.join(done, "pid").withColumn("sequence_id", F.xxhash64("seq.level", "seq.deme", "seq.bin"))
+        number = F.lit(level << 56) + F.col("deme") * (1 << 16) + F.col("bin")  # a deme has under 2^16 bins
+        got = _level(left, demes, p, level).withColumn("sequence_id", number)
+        if demes == 1:
+            return done.unionByName(got.select("pid", "sequence_id"))
+        fill = got.groupBy("sequence_id").agg(F.sum("length").alias("fill"))
+        # the better half of the bins stays whatever its fill, so that each level has at most about half of the last one's pieces
+        limit = min(p.accept * p.capacity, fill.agg(F.percentile_approx("fill", 0.5, 10000)).first()[0])
+        got = got.join(fill, "sequence_id").checkpoint()
+        done = done.unionByName(got.filter(F.col("fill") >= limit).select("pid", "sequence_id"))
+        left = got.filter(F.col("fill") < limit).select("pid", "length")
+        n, level = left.count(), level + 1
+    return done
+
+
+def sequences(docs: DataFrame, tokenizer_path: str, params: Params = Params()) -> DataFrame:
+    """One row per sequence: ``sequence_id``, ``ids`` (its tokens as little-endian unsigned 32-bit
+    numbers) and ``parts``, the pieces in their order: ``offset``, ``doc_id``, ``piece``, ``start``, ``length``."""
+    p = params
+    # numbered as they are written; every later step reads what was written
+    cut = pieces(docs, tokenizer_path, p.capacity).withColumn("pid", F.monotonically_increasing_id()).checkpoint()
+    narrow = cut.select("pid", "length")
     before = Window.partitionBy("sequence_id").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id",
-                         F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"))
+    place = (_placed(narrow, p).join(narrow, "pid")
+             .select("pid", "sequence_id", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset")))
+    part = F.struct("offset", "doc_id", "piece", "start", "length", "ids")
+    whole = cut.join(place, "pid").groupBy("sequence_id").agg(F.sort_array(F.collect_list(part)).alias("p"))  # capacity tokens
+    ids = F.unhex(F.array_join(F.transform("p", lambda x: F.hex(x["ids"])), ""))
+    return whole.select("sequence_id", ids.alias("ids"), F.transform("p", lambda x: x.dropFields("ids")).alias("parts"))
+
+
+def pack(docs: DataFrame, tokenizer_path: str, params: Params = Params()) -> DataFrame:
+    """One row per piece, from the sequences: doc_id, piece, start, length, ids_crc32,
+    sequence_id, offset."""
+    own = lambda x: F.substring("ids", (4 * x["offset"] + 1).cast("int"), (4 * x["length"]).cast("int"))
+    parts = F.transform("parts", lambda x: x.withField("ids_crc32", F.crc32(own(x))))
+    each = sequences(docs, tokenizer_path, params).select("sequence_id", F.explode(parts).alias("x"))
+    return each.select("x.doc_id", "x.piece", "x.start", "x.length", "x.ids_crc32", "sequence_id", "x.offset")

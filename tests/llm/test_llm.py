@@ -208,6 +208,64 @@ def test_packing(docs, texts):
     assert pack.pack(docs.limit(0), path).count() == 0
 
 
+def test_packed_sequences_hold_their_ids(docs):
+    """The real output: the ids of a sequence are those of its pieces, one after another."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    texts = {}
+    for r in docs.collect():
+        texts.setdefault(r["doc_id"], set()).add(tuple(tok.encode(r["text"] or "", add_special_tokens=False).ids + [1]))
+    got = pack.sequences(docs, path, pack.Params(capacity=256, deme_size=16)).collect()
+    n = 0
+    for s in got:
+        ids = np.frombuffer(s["ids"], dtype="<u4").tolist()
+        assert len(ids) == sum(x["length"] for x in s["parts"]) <= 256
+        for x in s["parts"]:
+            own = tuple(ids[x["offset"]: x["offset"] + x["length"]])
+            assert any(t[x["start"]: x["start"] + x["length"]] == own for t in texts[x["doc_id"]])
+            n += 1
+    assert n == pack.pieces(docs, path, 256).count() and len({s["sequence_id"] for s in got}) == len(got)
+
+
+def test_the_genetic_search_saves_bins():
+    """Lengths where best fit by falling length is far from the bound."""
+    for low, high, at_most in ((1000, 1700, 0.94), (800, 2000, 0.98)):
+        sizes = sorted(np.random.default_rng(low).integers(low, high + 1, size=600).tolist(), reverse=True)
+        plain = []
+        pack.best_fit(sizes, list(range(600)), plain, [], 4096)
+        best = pack.evolve(sizes, [], pack.Params(), 1)
+        assert sorted(i for x in best for i in x) == list(range(600))
+        assert max(sum(sizes[i] for i in x) for x in best) <= 4096
+        assert -(-sum(sizes) // 4096) <= len(best) <= at_most * len(plain)
+
+
+def test_the_genetic_search_against_all_packings():
+    """Small sets: the fewest bins, found by trying everything."""
+    def fewest(sizes, room):
+        best = [len(sizes)]
+
+        def put(k, fill):
+            if len(fill) >= best[0]:
+                return
+            if k == len(sizes):
+                best[0] = len(fill)
+                return
+            for i in {f: i for i, f in enumerate(fill) if f + sizes[k] <= room}.values():
+                put(k + 1, [f + sizes[k] * (j == i) for j, f in enumerate(fill)])
+            put(k + 1, [*fill, sizes[k]])
+        put(0, [])
+        return best[0]
+
+    rng = np.random.default_rng(8)
+    for k in range(25):
+        sizes = sorted(rng.integers(1, 60, size=10).tolist(), reverse=True)
+        assert len(pack.evolve(sizes, [], pack.Params(capacity=100), k)) == fewest(sizes, 100)
+    assert pack.evolve([5], [], pack.Params(capacity=5), 0) == [[0]]
+
+
 def test_unit_ids_on_odd_texts():
     import public_tokenizers
     from tokenizers import Tokenizer
