@@ -28,6 +28,7 @@ columns are ignored.
 from __future__ import annotations
 
 import os
+import uuid
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslm.llm import vec
+from corpuslm.session import ensure_checkpoint_dir
 
 CAPACITY = 4096
 END_ID = 1
@@ -220,8 +222,14 @@ def _tokenizer(path: str) -> UnitIds:
     return _UNIT_IDS[path]
 
 
-def _pieces(path: str, capacity: int, fields: list[str]):
-    end = np.array([END_ID], dtype="<u4").tobytes()
+def id_width(path: str) -> int:
+    """The bytes that hold any id of the tokenizer: 2 or 4."""
+    return 2 if _tokenizer(path).tokenizer.get_vocab_size() <= 1 << 16 else 4
+
+
+def _pieces(path: str, capacity: int, width: int, fields: list[str]):
+    kind = f"<u{width}"
+    end = np.array([END_ID], dtype=kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _tokenizer(path)
@@ -230,13 +238,13 @@ def _pieces(path: str, capacity: int, fields: list[str]):
             for sl in vec.slices(b.column(1)):
                 flat, first = ids.encode(sl)
                 for r in range(sl.rows):
-                    t = flat[first[r]: first[r + 1]].astype("<u4").tobytes() + end
-                    for k, at in enumerate(range(0, len(t), 4 * capacity)):
-                        cut = t[at: at + 4 * capacity]
+                    t = flat[first[r]: first[r + 1]].astype(kind).tobytes() + end
+                    for k, at in enumerate(range(0, len(t), width * capacity)):
+                        cut = t[at: at + width * capacity]
                         row.append(sl.row0 + r)
                         piece.append(k)
-                        start.append(at // 4)
-                        length.append(len(cut) // 4)
+                        start.append(at // width)
+                        length.append(len(cut) // width)
                         cuts.append(cut)
             at = pa.array(row, type=pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -247,11 +255,12 @@ def _pieces(path: str, capacity: int, fields: list[str]):
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """``(doc_id, piece, start, length, ids)`` for every document row; ``ids`` are
-    little-endian unsigned 32-bit numbers."""
+    little-endian unsigned numbers of ``id_width`` bytes."""
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("piece", T.IntegerType()),
                            T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
                            T.StructField("ids", T.BinaryType())])
-    return docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer_path, capacity, schema.names), schema)
+    return docs.select("doc_id", "text").mapInArrow(
+        _pieces(tokenizer_path, capacity, id_width(tokenizer_path), schema.names), schema)
 
 
 # ------------------------------------------------------------ genetic algorithm
@@ -369,12 +378,14 @@ def mutate(a: list[list[int]], sizes: list[int], capacity: int, rng: np.random.G
 
 def evolve(sizes: list[int], immigrants: list[list[list[int]]], p: Params, seed: int) -> list[list[int]]:
     """One island's epoch; returns its elite.  The pool starts from the arriving elites, best fit by falling
-    length and chromosomes of random orders.  After each generation, crossover included, it may end at the
-    bound ceil(sum of lengths / capacity), which no packing can beat."""
+    length and chromosomes of random orders.  An elite that arrives at the bound ceil(sum of lengths /
+    capacity), which no packing can beat, is taken; else generations follow, crossover included, until one is there."""
     rng = np.random.default_rng(seed)
     bound = -(-sum(sizes) // p.capacity)
     weigh = lambda c: fitness([sum(sizes[i] for i in x) for x in c], p.capacity)
     pool = [list(map(list, c)) for c in immigrants]
+    if pool and len(best := max(pool, key=weigh)) <= bound:
+        return best
     first: list[list[int]] = []
     best_fit(sizes, list(range(len(sizes))), first, [], p.capacity)
     pool.append(first)
@@ -462,16 +473,31 @@ def sequences(docs: DataFrame, tokenizer_path: str, params: Params = Params()) -
     """One row per sequence: ``sequence_id``, ``ids`` (its tokens as little-endian unsigned 32-bit
     numbers) and ``parts``, the pieces in their order: ``offset``, ``doc_id``, ``piece``, ``start``, ``length``."""
     p = params
-    # numbered as they are written; every later step reads what was written
-    cut = pieces(docs, tokenizer_path, p.capacity).withColumn("pid", F.monotonically_increasing_id()).checkpoint()
+    spark = docs.sparkSession
+    # numbered as they are written; every later step reads what was written, the search its lengths only
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pieces-{uuid.uuid4().hex}"
+    numbered = pieces(docs, tokenizer_path, p.capacity).withColumn("pid", F.monotonically_increasing_id())
+    numbered.write.option("compression", "zstd").parquet(path)
+    cut = spark.read.schema(numbered.schema).parquet(path)
     narrow = cut.select("pid", "length")
     before = Window.partitionBy("sequence_id").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     place = (_placed(narrow, p).join(narrow, "pid")
              .select("pid", "sequence_id", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset")))
     part = F.struct("offset", "doc_id", "piece", "start", "length", "ids")
     whole = cut.join(place, "pid").groupBy("sequence_id").agg(F.sort_array(F.collect_list(part)).alias("p"))  # capacity tokens
-    ids = F.unhex(F.array_join(F.transform("p", lambda x: F.hex(x["ids"])), ""))
-    return whole.select("sequence_id", ids.alias("ids"), F.transform("p", lambda x: x.dropFields("ids")).alias("parts"))
+    joined = whole.select("sequence_id", F.col("p.ids").alias("ids"), F.transform("p", lambda x: x.dropFields("ids")).alias("parts"))
+    schema = T.StructType([f if f.name != "ids" else T.StructField("ids", T.BinaryType()) for f in joined.schema])
+    return joined.mapInArrow(_joined(id_width(tokenizer_path)), schema)
+
+
+def _joined(width: int):
+    """The ids of each row's pieces as one string of 32-bit numbers."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cuts = b.column(1).to_pylist()
+            ids = [np.frombuffer(b"".join(x), dtype=f"<u{width}").astype("<u4").tobytes() for x in cuts]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, type=pa.binary()), b.column(2)], names=b.schema.names)
+    return run
 
 
 def pack(docs: DataFrame, tokenizer_path: str, params: Params = Params()) -> DataFrame:
