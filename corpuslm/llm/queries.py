@@ -64,13 +64,13 @@ def op6_prob_minhash(spark, sf):
 
 @query
 def op2_virtual_slots(spark, sf):
-    """Every document's shard.  The map of slots is stored, with its versions,
-    in the session's shared folder."""
-    placed, versions = shards.shard_by_bytes(table(spark, sf, "documents"))
-    path = f"{prepare(spark).rstrip('/')}/slot-map-{uuid.uuid4().hex}"
-    shards.write_map(spark, versions, path)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-                         F.lit(None).cast("int").alias("grown_shard"), "vslot", F.lit(2).alias("map_version"))
+    """Every document's shard, read back from the shards' files.  Records, files and the map of
+    slots lie in the session's shared folder."""
+    path = f"{prepare(spark).rstrip('/')}/shards-{uuid.uuid4().hex}"
+    version = shards.write_shards(table(spark, sf, "documents"), path)
+    return shards.placed(spark, path, version).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "vslot", F.lit(version).alias("map_version"))
 
 
 @query

@@ -391,3 +391,35 @@ def test_pipeline_equals_its_stages_by_hand(spark):
         docs = after
     assert {r["doc_id"] for r in P.run(spark, sf).select("doc_id").collect()} == {
         r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_written_shards_hold_whole_records_and_the_map_is_edited(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    long = "word " * 30_000
+    rows = [(i, f"text {i} " * (i % 9), "x", i) for i in range(300)] + [(7, "copy", "x", 1)] * 9_000 + [
+        (7, "copy", "y", 1), (None, None, None, None), (None, "", None, None), (5, long, "z", 2), (5, long, "z", 2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, shard string, vslot int")
+    at = str(tmp_path / "s")
+    version = shards.write_shards(docs, at, n_shards=4, n_slots=64)
+    assert version == 2
+    files = spark.read.parquet(at + "/files")
+    key = lambda r: tuple((x is not None, x or 0) if i in (0, 3) else (x is not None, x or "") for i, x in enumerate(r))
+    assert sorted((tuple(r) for r in files.select("record.*").collect()), key=key) == sorted(rows, key=key)
+    got = shards.placed(spark, at, version).collect()
+    load = {}
+    for r in got:
+        load.setdefault(r["shard"], []).append(r["slot"])
+    assert set(load) <= set(range(4)) and all(sorted(v) == list(range(len(v))) for v in load.values())
+    slot_map = shards.read_map(spark, at + "/map", version)
+    assert all(slot_map[r["vslot"]] == r["shard"] for r in got)
+    # the copies are spread; the next run finds the stored map, and no move is left
+    assert len({r["vslot"] for r in got if r["doc_id"] == 7}) == 64
+    assert shards.write_shards(docs, at, n_shards=4, n_slots=64) == version
+    # other bytes: an edited version beside the stored ones; a slot stays or moves, records stay in their slots
+    more = docs.unionByName(docs.filter("doc_id < 40 AND text NOT LIKE 'copy%'").withColumn("text", F.repeat("text", F.lit(50))))
+    newer = shards.write_shards(more, at, n_shards=5, n_slots=64)
+    assert newer == 3 and shards.read_map(spark, at + "/map", 2) == slot_map
+    assert {v for v, s in shards.read_map(spark, at + "/map", 3).items() if s != slot_map[v]}
+    assert len(shards.placed(spark, at, newer).collect()) == more.count()
+    assert shards.write_shards(docs.limit(0), str(tmp_path / "none"), n_shards=4, n_slots=64) == 1
