@@ -89,3 +89,11 @@ def test_loss_sums_up_only_the_contexts_of_its_targets(spark):
     assert "LeftSemi" in loss._jdf.queryExecution().optimizedPlan().toString()
     import math
     assert loss.first()["loss"] == pytest.approx(-(math.log(3 / 5) + math.log(4 / 7)) / 2)
+
+
+def test_windows_of_a_stream_with_empty_places(spark):
+    runs = spark.createDataFrame([(0, [1, 2, 3]), (0, [1, 2, 3])], "start long, ids array<int>")
+    got = sorted(D.windows(runs.limit(1).unionByName(spark.createDataFrame([(8, [7])], "start long, ids array<int>")), 2, 1, 8).collect())
+    assert got == [(0, [1, 2], [2, 3]), (1, [2, 3], [3, 7])]
+    got = sorted(D.windows(spark.createDataFrame([(0, [1, 2]), (1, [3]), (9, [4, 5, 6])], "start long, ids array<int>"), 2, 2, 4).collect())
+    assert got == [(0, [1, 2], [2, 3]), (1, [3], [])]
