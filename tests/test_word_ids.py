@@ -39,3 +39,17 @@ def test_words_encoded_together(merges):
 
 def test_no_words():
     assert _encoded([], TRAINED, {"a": 0}) == ([], [])
+
+
+def test_tokens_are_numbered_without_a_sort(monkeypatch):
+    import numpy as np
+    from corpuslm.operators import ngram as N
+    rng = np.random.default_rng(3)
+    few, far, below = rng.integers(0, 50, 4000).astype(np.int32), rng.integers(0, 1 << 40, 4000), rng.integers(-3, 3, 200)
+    want = [np.unique(x, return_inverse=True, return_counts=True)[1:] for x in (few, far, below, few[:0])]
+    for x, w in zip((few, far, below, few[:0]), want, strict=True):
+        assert all(np.array_equal(a, b) for a, b in zip(N._numbered(x), w, strict=True))
+    monkeypatch.delattr(np, "unique")
+    assert np.array_equal(N._numbered(few)[1], want[0][1])
+    ids = np.arange(200, dtype=np.int32) % 9
+    assert len(list(N._count_levels([(ids, np.array([200])), (ids[:1], np.array([1]))], 2))) == 2
