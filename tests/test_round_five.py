@@ -1,10 +1,15 @@
-"""A long training keeps its plans short."""
+"""A long training keeps its plans short; what is written and shuffled on the way is small; the keyed order is no loop."""
 
 import random
+from pathlib import Path
 
 from bpe_brute import train_brute
+from corpuslm import session
 from corpuslm.operators import bpe as B
+from corpuslm.operators import dataset as D
+from corpuslm.operators import segments as SEG
 from corpuslm.operators import words as W
+from pyspark.sql import functions as F
 
 
 def test_lineage_of_a_round_does_not_grow_with_the_merges(spark, monkeypatch):
@@ -19,3 +24,23 @@ def test_lineage_of_a_round_does_not_grow_with_the_merges(spark, monkeypatch):
     m = B.train_bpe(W.word_table(docs), vocab_size=50)
     assert (m.alphabet, m.merges) == train_brute(texts, 50)
     assert len(depth) > 8 and max(depth) <= depth[0] + 2 * 6  # six more for each time that blocks are made from blocks
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_stored_rows_are_equal_and_small(spark, tmp_path):
+    rng = random.Random(4)
+    words = [[rng.randrange(70) for _ in range(rng.randint(1, 6))] for _ in range(300)]
+    rows = [(i, [t for _ in range(400) for t in rng.choice(words)] if i % 9 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, ids array<int>").repartition(4)
+    kept = session.stored(df)
+    assert kept.schema == df.schema and sorted(map(tuple, kept.collect())) == rows
+    held = sum(len(r[1] or ()) for r in rows)
+    assert sum(Path(f.removeprefix("file:")).stat().st_size for f in kept.inputFiles()) < 1.5 * held
+
+
+def test_segments_are_stored_as_columns(spark):
+    docs = spark.createDataFrame([(1, "some words here " * 40), (2, "short")], "doc_id long, text string")
+    assert any("/stored-" in f for f in SEG.word_segments(docs, size=64).inputFiles())
