@@ -30,6 +30,14 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_shuffled_batches_leave_the_hash_behind(spark):
+    b = D.shuffle_batches(spark.range(100).withColumnRenamed("id", "win_id"), 8, 2, 0, rows_per_bucket=20)
+    moved = _plan(b).split("RepartitionByExpression")[1].splitlines()
+    assert moved[0].startswith(" [epoch#") and " AS h#" not in moved[1]
+    rows = sorted((r["epoch"], r["win_id"]) for r in b.collect())
+    assert rows == [(e, i) for e in (0, 1) for i in range(100)]
+
+
 def test_stored_rows_are_equal_and_small(spark, tmp_path):
     rng = random.Random(4)
     words = [[rng.randrange(70) for _ in range(rng.randint(1, 6))] for _ in range(300)]
