@@ -30,6 +30,15 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_keyed_order_is_the_same_without_a_loop_in_an_expression(spark):
+    rows = spark.range(10).select("id", D.place_of(F.col("id"), 10, 7, F.lit(3)).alias("p"))
+    assert [r["p"] for r in rows.orderBy("id").collect()] == [3, 6, 8, 2, 1, 4, 7, 0, 5, 9]
+    placed = spark.range(100).withColumn("p", D.place_of(F.col("id"), 100, 7, F.lit(3)))
+    assert "lambda" not in _plan(placed)
+    nested = D.window_at(D.place_of(F.col("id"), 100, 7, F.lit(3)), 100, 7, F.lit(3))
+    assert placed.filter(nested == F.col("id")).filter(D.window_at(F.col("p"), 100, 7, F.lit(3)) == F.col("id")).count() == 100
+
+
 def test_shuffled_batches_leave_the_hash_behind(spark):
     b = D.shuffle_batches(spark.range(100).withColumnRenamed("id", "win_id"), 8, 2, 0, rows_per_bucket=20)
     moved = _plan(b).split("RepartitionByExpression")[1].splitlines()
